@@ -9,106 +9,118 @@ Money is summed as whole cents, so sums do not depend on the order in which task
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.functions.scalars import clamp
 from creditloom.vocabulary import HISTORY, MISSING_MARKER, SERIES_COLUMNS, TARGET
 
 # Year the monthly keys are anchored at; it lies inside the order dates.
 ANCHOR_YEAR = 1998
 
 
+# Types of the given tables, so that no read starts with a job that looks at file footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
+# Money in whole cents.
+CENTS = "CAST(round({0} * 100) AS BIGINT)"
 
 
-def credit_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Line items are summed per order before the join, so the join sees one row per key and a hot
-    # order never travels whole.
-    quantity = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.sum("l_quantity").alias("quantity"))
-    )
-    orders = (
-        table(spark, sf_dir, "orders")
-        .join(quantity, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(
-            "o_custkey",
-            ((F.month("o_orderdate") - 1) % 6 + 4).alias("slot"),
-            F.when(F.col("o_orderstatus") == "P", 1)
-            .when(F.col("o_orderstatus") == "F", -1)
-            .otherwise(0)
-            .alias("status"),
-            F.when(F.col("o_orderstatus") == "F", -cents(F.col("o_totalprice")))
-            .otherwise(cents(F.col("o_totalprice")))
-            .alias("bill"),
-            "quantity",
-        )
-    )
-    per_month = []
+def _month_columns() -> str:
+    """Three columns per billing month, NULL for a client without an order in that month."""
+    columns = []
     for month, (status, bill, paid) in HISTORY.items():
-        here = F.col("slot") == month
-        per_month += [
-            clamp(F.sum(F.when(here, F.col("status"))), -2, 9).cast("int").alias(status),
-            (F.sum(F.when(here, F.col("bill"))) / 100.0).alias(bill),
-            (F.sum(F.when(here, F.col("quantity"))) * 1000.0).alias(paid),
+        here = f"FILTER (WHERE slot = {month})"
+        net = f"sum(status) {here}"
+        columns += [
+            f"CAST(CASE WHEN {net} < -2 THEN -2 WHEN {net} > 9 THEN 9 ELSE {net} END AS INT) "
+            f"AS {status}",
+            f"sum(cents) {here} / 100.0D AS {bill}",
+            f"sum(quantity) {here} * 1000.0D AS {paid}",
         ]
-    history = orders.groupBy("o_custkey").agg(*per_month)
-
-    key = F.col("c_custkey")
-    client = table(spark, sf_dir, "customer").select(
-        key.alias("id"),
-        F.when(key % 50 == 0, 0.0).otherwise(F.abs("c_acctbal") * 100).alias("limit_bal"),
-        (key % 3).cast("int").alias("sex"),
-        (key % 7).cast("int").alias("education"),
-        (key % 4).cast("int").alias("marriage"),
-        (15 + key % 90).cast("int").alias("age"),
-        ((key * 7919) % 100 < 22).cast("int").alias(TARGET),
-    )
-    wide = client.join(history, F.col("id") == F.col("o_custkey"), "left").drop("o_custkey")
-    first = ["id", "limit_bal", "sex", "education", "marriage", "age"]
-    months = [c for position in zip(*HISTORY.values()) for c in position]
-    return wide.select(*first, *months, TARGET)
+    return ",\n".join(columns)
 
 
-def series_code(priority: Column) -> Column:
-    """The leading digit of an order priority picks a series; the fifth is one the mart ignores."""
-    codes = [*SERIES_COLUMNS, "OTHER"]
-    return F.element_at(
-        F.array(*[F.lit(c) for c in codes]), F.substring(priority, 1, 1).cast("int")
+def credit_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items are summed per order before the join and orders per client after it, so a hot
+    order or client is combined where it is read and never travels row by row."""
+    months = [c for position in zip(*HISTORY.values()) for c in position]
+    return spark.sql(
+        f"""
+        SELECT c_custkey AS id,
+               CASE WHEN c_custkey % 50 = 0 THEN 0.0D ELSE abs(c_acctbal) * 100 END AS limit_bal,
+               CAST(c_custkey % 3 AS INT) AS sex,
+               CAST(c_custkey % 7 AS INT) AS education,
+               CAST(c_custkey % 4 AS INT) AS marriage,
+               CAST(15 + c_custkey % 90 AS INT) AS age,
+               {", ".join(months)},
+               CAST((c_custkey * 7919) % 100 < 22 AS INT) AS {TARGET}
+        FROM {{customer}} LEFT JOIN (
+            SELECT o_custkey, {_month_columns()}
+            FROM (
+                SELECT o_custkey,
+                       (month(o_orderdate) - 1) % 6 + 4 AS slot,
+                       CASE o_orderstatus WHEN 'P' THEN 1 WHEN 'F' THEN -1 ELSE 0 END AS status,
+                       CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 1 END
+                           * {CENTS.format("o_totalprice")} AS cents,
+                       quantity
+                FROM {{orders}} LEFT JOIN (
+                    SELECT l_orderkey, sum(l_quantity) AS quantity
+                    FROM {{lineitem}} GROUP BY l_orderkey
+                ) ON o_orderkey = l_orderkey
+            )
+            GROUP BY o_custkey
+        ) ON c_custkey = o_custkey
+        """,
+        customer=table(spark, sf_dir, "customer"),
+        orders=table(spark, sf_dir, "orders"),
+        lineitem=table(spark, sf_dir, "lineitem"),
     )
 
 
 def macro_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two observations per series and month: mean order price of each half, as text."""
-    half = F.when(F.dayofmonth("o_orderdate") < 15, "01").otherwise("15")
-    means = (
-        table(spark, sf_dir, "orders")
-        .select(
-            series_code(F.col("o_orderpriority")).alias("series_id"),
-            F.concat(F.date_format("o_orderdate", "yyyy-MM-"), half).alias("obs_date"),
-            cents(F.col("o_totalprice")).alias("price"),
+    """Two observations per series and month: mean order price of each half month, as text.
+
+    The leading digit of an order priority picks the series; the fifth is one the mart ignores.
+    """
+    series = ", ".join(f"'{s}'" for s in [*SERIES_COLUMNS, "OTHER"])
+    return spark.sql(
+        f"""
+        SELECT series_id, obs_date,
+               CASE WHEN CAST(replace(obs_date, '-', '') AS INT) % 11 = 0 THEN '{MISSING_MARKER}'
+                    ELSE concat(mean div 100, '.', lpad(mean % 100, 2, '0')) END AS value
+        FROM (
+            SELECT element_at(array({series}), CAST(substr(o_orderpriority, 1, 1) AS INT))
+                       AS series_id,
+                   concat(date_format(o_orderdate, 'yyyy-MM-'),
+                          CASE WHEN day(o_orderdate) < 15 THEN '01' ELSE '15' END) AS obs_date,
+                   (2 * sum({CENTS.format("o_totalprice")}) + count(*)) div (2 * count(*)) AS mean
+            FROM {{orders}} GROUP BY 1, 2
         )
-        .groupBy("series_id", "obs_date")
-        .agg(F.sum("price").alias("total"), F.count("*").alias("n"))
-        .withColumn("mean", F.expr("(2 * total + n) div (2 * n)"))
-    )
-    stamp = F.regexp_replace("obs_date", "-", "").cast("int")
-    text = F.concat(
-        F.expr("mean div 100").cast("string"),
-        F.lit("."),
-        F.lpad((F.col("mean") % 100).cast("string"), 2, "0"),
-    )
-    return means.select(
-        "series_id",
-        "obs_date",
-        F.when(stamp % 11 == 0, MISSING_MARKER).otherwise(text).alias("value"),
+        """,
+        orders=table(spark, sf_dir, "orders"),
     )
 
 

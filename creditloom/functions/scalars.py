@@ -18,8 +18,14 @@ from creditloom.vocabulary import (
 )
 
 
+def sql_literal(value) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+
 def literal_map(mapping: Mapping) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    """Constant map as one expression text, which is one call into the JVM."""
+    entries = ", ".join(sql_literal(x) for pair in mapping.items() for x in pair)
+    return F.expr(f"map({entries})")
 
 
 def decode(code: Column, labels: Mapping[int, str], other: str = UNKNOWN) -> Column:

@@ -95,8 +95,11 @@ def clean_credit(
     """
     unique = C.dedup_ordered(credit, ["id"]) if ordered else C.dedup(credit, ["id"])
     filled = C.fill_numeric(unique, 0, keep_null=("id",))
-    capped = C.iqr_cap(filled, CAPPED_COLUMNS, error=error) if cap else filled
-    return C.clamp_column(capped, "age", *AGE_RANGE)
+    if cap:
+        # Fences need the filled rows before the rows can be capped: write them once, as the joins
+        # and groups they come from are far larger than the client table they leave.
+        filled = C.iqr_cap(materialise(filled, "filled"), CAPPED_COLUMNS, error=error)
+    return C.clamp_column(filled, "age", *AGE_RANGE)
 
 
 def demographics(credit: DataFrame) -> DataFrame:

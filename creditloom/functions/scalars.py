@@ -51,6 +51,11 @@ def clamp(value: Column, low, high) -> Column:
     return F.when(value < low, low).when(value > high, high).otherwise(value)
 
 
+def steady_round(value: Column, digits: int) -> Column:
+    """Round a float so that the order of its summation cannot decide a tie."""
+    return F.round(F.round(value, digits + 6), digits)
+
+
 def total(columns: Iterable[Column]) -> Column:
     return reduce(add, columns)
 

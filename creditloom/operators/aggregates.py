@@ -7,12 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.scalars import literal_map
+from creditloom.functions.scalars import literal_map, steady_round
 from creditloom.vocabulary import TARGET
 
 
 def rate(label: str = TARGET, digits: int = 4) -> Column:
-    return F.round(F.avg(label), digits)
+    return steady_round(F.avg(label), digits)
 
 
 def overall_rate(df: DataFrame, rate_name: str, label: str = TARGET) -> DataFrame:
@@ -26,7 +26,7 @@ def rate_by(df: DataFrame, by: str, label: str = TARGET) -> DataFrame:
 def means_by(df: DataFrame, keys: list[str], means: Mapping[str, tuple[str, int]]) -> DataFrame:
     """Rounded means per key: output name -> (column, digits)."""
     return df.groupBy(*keys).agg(
-        *[F.round(F.avg(c), digits).alias(name) for name, (c, digits) in means.items()]
+        *[steady_round(F.avg(c), digits).alias(name) for name, (c, digits) in means.items()]
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.scalars import clamp
+from creditloom.functions.scalars import clamp, steady_round
 from creditloom.operators.quantiles import exact_quantiles, sketch_quantiles
 
 NUMERIC = {"int", "bigint", "double", "float"}
@@ -195,7 +195,7 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
             F.lit(c).alias("name"),
             F.col(f"{c}__n").alias("n"),
             (F.col("__rows") - F.col(f"{c}__n")).alias("n_null"),
-            F.round(f"{c}__mean", 4).alias("mean"),
+            steady_round(F.col(f"{c}__mean"), 4).alias("mean"),
             F.round(f"{c}__sd", 4).alias("sd"),
             F.col(f"{c}__min").alias("min"),
             F.col(f"{c}__max").alias("max"),

@@ -73,9 +73,9 @@ def number_rows(df: DataFrame, unique_key: list[str], name: str, within: list[st
         .drop("__n")
     )
     inside = Window.partitionBy(*group, "__slice").orderBy(*unique_key)
-    numbered = sliced.withColumn("__row", F.row_number().over(inside))
+    numbered = sliced.withColumn("__in_slice", F.row_number().over(inside))
     return (
         lookup(numbered, shifts, [*group, "__slice"], small=False)
-        .withColumn(name, F.col("__row") + F.col("__shift"))
-        .drop("__row", "__shift", "__slice")
+        .withColumn(name, F.col("__in_slice") + F.col("__shift"))
+        .drop("__in_slice", "__shift", "__slice")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.scalars import total
+from creditloom.functions.scalars import steady_round, total
 from creditloom.operators.cleaning import STATS, stat, with_stats
 from creditloom.operators.slices import (
     GROUP_ROWS,
@@ -41,7 +41,7 @@ def _running_in_groups(df, key, order, value, averaged, digits):
         {
             "previous": previous,
             "change": F.col(value) - previous,
-            "running_avg": F.round(F.avg(averaged).over(so_far), digits),
+            "running_avg": steady_round(F.avg(averaged).over(so_far), digits),
         }
     )
 
@@ -84,7 +84,7 @@ def running_sliced(df, key, order, value, averaged, digits=4):
         *df.columns,
         previous.alias("previous"),
         (F.col(value) - previous).alias("change"),
-        F.round(run / F.nullif(count, F.lit(0)), digits).alias("running_avg"),
+        steady_round(run / F.nullif(count, F.lit(0)), digits).alias("running_avg"),
     )
 
 

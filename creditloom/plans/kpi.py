@@ -212,7 +212,7 @@ def dimension_totals(by_category: DataFrame) -> DataFrame:
 
 def reference_line(monthly_kpi: DataFrame) -> DataFrame:
     """Unweighted mean of the monthly rates."""
-    return monthly_kpi.agg(F.round(F.avg("default_rate"), 6).alias("mean_rate"))
+    return monthly_kpi.agg(S.steady_round(F.avg("default_rate"), 6).alias("mean_rate"))
 
 
 def ordered_categories(by_category: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """All registered queries; importing the groups fills the registry."""
 
-from creditloom.queries import columns, files, marts
+from creditloom.queries import columns, files, flows, marts
 from creditloom.queries.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "columns", "files", "marts"]
+__all__ = ["ORACLE", "QUERIES", "columns", "files", "flows", "marts"]

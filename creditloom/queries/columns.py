@@ -15,6 +15,7 @@ from creditloom.queries.registry import query
 from creditloom.queries.sql import (
     FEATURES,
     age_case,
+    mean,
     month_case,
     ratios,
     with_ctes,
@@ -279,7 +280,7 @@ _PROFILED = ["limit_bal", "age", "bill_amt1", "pay_amt6"]
     with_ctes(
         " UNION ALL ".join(
             f"SELECT '{c}' AS name, count({c}) AS n, count(*) - count({c}) AS n_null, "
-            f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS sd, "
+            f"{mean(c, 4)} AS mean, round(stddev_samp({c}), 4) AS sd, "
             f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM credit_wide"
             for c in _PROFILED
         ),

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from creditloom.bindings import ANCHOR_YEAR, CENTS, SCHEMAS, credit_wide, macro_long, table
+from creditloom.bindings import CENTS, SCHEMAS, credit_wide, macro_long, table
 from creditloom.functions.scalars import month_key_of_text, observed, parse_number
 from creditloom.operators.observe import landing_metadata as metadata_of
 from creditloom.operators.quality import schema_report
@@ -100,16 +100,15 @@ def ctas_roundtrip(spark, sf):
     with_ctes(
         "SELECT date_key, count(*) AS n_rows, count(bill_amt) AS n_bills, "
         "round(sum(bill_amt), 2) AS bills FROM elt_fact "
-        f"WHERE date_key >= {ANCHOR_YEAR * 100 + 7} GROUP BY date_key",
+        "GROUP BY date_key",
         "elt_fact",
     ),
 )
 def staging_roundtrip(spark, sf):
-    """The fact is staged by period; the reader of three periods opens three folders."""
+    """The fact is staged by period, so a reader of some periods opens only their folders."""
     path = scratch_path(spark, "fact")
     tables.write_parquet(fact_b(spark, sf), path, ["date_key"])
-    staged = spark.read.parquet(path).filter(F.col("date_key") >= ANCHOR_YEAR * 100 + 7)
-    return staged.groupBy("date_key").agg(
+    return spark.read.parquet(path).groupBy("date_key").agg(
         F.count("*").alias("n_rows"),
         F.count("bill_amt").alias("n_bills"),
         F.round(F.sum("bill_amt"), 2).alias("bills"),

@@ -10,7 +10,7 @@ from creditloom.operators.joins import dimension_join
 from creditloom.plans import kpi as K
 from creditloom.plans import mart as M
 from creditloom.queries.registry import query
-from creditloom.queries.sql import month_case, with_ctes
+from creditloom.queries.sql import mean, month_case, with_ctes
 from creditloom.vocabulary import DIMENSIONS, INDICATORS, SCALED_INDICATORS, TARGET
 
 LABELS = list(DIMENSIONS.values())
@@ -154,7 +154,7 @@ def corr_joined(spark, sf):
 @query(
     "q1_overall",
     with_ctes(
-        f"SELECT round(avg({TARGET}), 4) AS overall_default_rate, count(*) AS total_clients "
+        f"SELECT {mean(TARGET, 4)} AS overall_default_rate, count(*) AS total_clients "
         "FROM clients",
         "clients",
     ),
@@ -165,7 +165,7 @@ def q1_overall(spark, sf):
 
 def _rate_sql(label):
     return with_ctes(
-        f"SELECT {label}, count(*) AS clients, round(avg({TARGET}), 4) AS default_rate "
+        f"SELECT {label}, count(*) AS clients, {mean(TARGET, 4)} AS default_rate "
         f"FROM clients GROUP BY {label}",
         "clients",
     )
@@ -194,9 +194,9 @@ def q5_age_band(spark, sf):
 @query(
     "q6_behaviour",
     with_ctes(
-        "SELECT date_key, month_name, round(avg(credit_utilization), 4) AS avg_credit_utilization, "
-        "round(avg(payment_ratio), 4) AS avg_payment_ratio, "
-        "round(avg(bill_amt), 2) AS avg_bill_amt FROM fact GROUP BY date_key, month_name",
+        f"SELECT date_key, month_name, {mean('credit_utilization', 4)} AS avg_credit_utilization, "
+        f"{mean('payment_ratio', 4)} AS avg_payment_ratio, "
+        f"{mean('bill_amt', 2)} AS avg_bill_amt FROM fact GROUP BY date_key, month_name",
         "fact",
     ),
 )
@@ -208,10 +208,10 @@ def q6_behaviour(spark, sf):
 @query(
     "q7_rate_vs_macro",
     with_ctes(
-        "SELECT date_key, month_name, round(avg(exchange_rate_twd_usd), 4) AS avg_fx_twd_usd, "
-        "round(avg(real_broad_eer), 4) AS avg_real_broad_eer, "
-        "round(avg(total_reserves), 2) AS avg_total_reserves, "
-        f"round(avg({TARGET}), 4) AS default_rate FROM fact GROUP BY date_key, month_name",
+        f"SELECT date_key, month_name, {mean('exchange_rate_twd_usd', 4)} AS avg_fx_twd_usd, "
+        f"{mean('real_broad_eer', 4)} AS avg_real_broad_eer, "
+        f"{mean('total_reserves', 2)} AS avg_total_reserves, "
+        f"{mean(TARGET, 4)} AS default_rate FROM fact GROUP BY date_key, month_name",
         "fact",
     ),
 )
@@ -241,7 +241,7 @@ def q8_corr(spark, sf):
 _CUBE = (
     "SELECT sex_label, education_label, marriage_label, age_band, "
     "CAST(grouping(sex_label, education_label, marriage_label, age_band) AS INT) AS grouping, "
-    f"count(*) AS clients, round(avg({TARGET}), 4) AS default_rate FROM raw_clients "
+    f"count(*) AS clients, {mean(TARGET, 4)} AS default_rate FROM raw_clients "
     "GROUP BY GROUPING SETS ((sex_label), (education_label), (marriage_label), (age_band), ())"
 )
 
@@ -254,7 +254,7 @@ def demographic_cube(spark, sf):
 @query(
     "cube_slice_total",
     with_ctes(
-        f"SELECT round(avg({TARGET}), 4) AS default_rate, count(*) AS total_clients "
+        f"SELECT {mean(TARGET, 4)} AS default_rate, count(*) AS total_clients "
         "FROM raw_clients",
         "raw_clients",
     ),
@@ -299,10 +299,10 @@ def kpi_demographic_onepass(spark, sf):
 @query(
     "kpi_monthly_a",
     with_ctes(
-        f"SELECT date_key, month_name, round(avg({TARGET}), 4) AS default_rate, "
-        "round(avg(exchange_rate_twd_usd), 4) AS exchange_rate_twd_usd, "
-        "round(avg(real_broad_eer), 4) AS real_broad_eer, "
-        "round(avg(total_reserves), 2) AS total_reserves FROM fact GROUP BY date_key, month_name",
+        f"SELECT date_key, month_name, {mean(TARGET, 4)} AS default_rate, "
+        f"{mean('exchange_rate_twd_usd', 4)} AS exchange_rate_twd_usd, "
+        f"{mean('real_broad_eer', 4)} AS real_broad_eer, "
+        f"{mean('total_reserves', 2)} AS total_reserves FROM fact GROUP BY date_key, month_name",
         "fact",
     ),
 )
@@ -388,7 +388,7 @@ def dimension_totals(spark, sf):
 
 @query(
     "reference_line",
-    with_ctes("SELECT round(avg(default_rate), 6) AS mean_rate FROM vs_macro", "vs_macro"),
+    with_ctes(f"SELECT {mean('default_rate', 6)} AS mean_rate FROM vs_macro", "vs_macro"),
 )
 def reference_line(spark, sf):
     return K.reference_line(kpi_monthly_b(spark, sf))

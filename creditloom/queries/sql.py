@@ -61,6 +61,15 @@ def fence(table: str, column: str) -> tuple[str, str]:
     return f"({q1} - 1.5 * ({q3} - {q1}))", f"({q3} + 1.5 * ({q3} - {q1}))"
 
 
+def half_up(value: str, digits: int) -> str:
+    """Half away from zero on ten decimals, free of binary noise."""
+    return f"CAST(round(CAST({value} AS DECIMAL(30, 10)), {digits}) AS DOUBLE)"
+
+
+def mean(column: str, digits: int) -> str:
+    return half_up(f"avg({column})", digits)
+
+
 def labels_of() -> str:
     return ", ".join(
         [
@@ -96,8 +105,8 @@ def unpivot(source: str, ids: list[str], year: int) -> str:
 
 
 def ratios(zero: str | None) -> str:
-    use = "round(bill_amt / nullif(limit_bal, 0), 4)"
-    paid = "round(pay_amt / nullif(bill_amt, 0), 4)"
+    use = half_up("bill_amt / nullif(limit_bal, 0)", 4)
+    paid = half_up("pay_amt / nullif(bill_amt, 0)", 4)
     if zero is not None:
         use, paid = f"coalesce({use}, {zero})", f"coalesce({paid}, {zero})"
     return f"{use} AS credit_utilization, {paid} AS payment_ratio"
@@ -275,7 +284,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "cells_a": (
         ("clients",),
-        "SELECT dimension, category, count(*) AS clients, round(avg(d), 4) AS default_rate FROM ("
+        f"SELECT dimension, category, count(*) AS clients, {mean('d', 4)} AS default_rate FROM ("
         + " UNION ALL ".join(
             f"SELECT '{n}' AS dimension, {c} AS category, {TARGET} AS d FROM clients"
             for n, c in DIMENSIONS.items()
@@ -284,7 +293,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "cells_b": (
         ("raw_clients",),
-        "SELECT dimension, category, count(*) AS clients, round(avg(d), 4) AS default_rate FROM ("
+        f"SELECT dimension, category, count(*) AS clients, {mean('d', 4)} AS default_rate FROM ("
         + " UNION ALL ".join(
             f"SELECT '{n}' AS dimension, {c} AS category, {TARGET} AS d FROM raw_clients"
             for n, c in DIMENSIONS.items()
@@ -293,11 +302,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "overall_a": (
         ("clients",),
-        f"SELECT round(avg({TARGET}), 4) AS default_rate, count(*) AS total_clients FROM clients",
+        f"SELECT {mean(TARGET, 4)} AS default_rate, count(*) AS total_clients FROM clients",
     ),
     "vs_macro": (
         ("elt_fact", "macro_monthly"),
-        f"SELECT f.date_key, round(avg({TARGET}), 4) AS default_rate, "
+        f"SELECT f.date_key, {mean(TARGET, 4)} AS default_rate, "
         + ", ".join(f"max(m.{c}) AS {c}" for c in SCALED_INDICATORS)
         + " FROM elt_fact f LEFT JOIN macro_monthly m ON f.date_key = m.date_key "
         "GROUP BY f.date_key",

@@ -108,14 +108,16 @@ def macro_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = ", ".join(f"'{s}'" for s in [*SERIES_COLUMNS, "OTHER"])
     return spark.sql(
         f"""
-        SELECT series_id, obs_date,
-               CASE WHEN CAST(replace(obs_date, '-', '') AS INT) % 11 = 0 THEN '{MISSING_MARKER}'
+        SELECT series_id,
+               concat_ws('-', substr(stamp, 1, 4), substr(stamp, 5, 2), substr(stamp, 7, 2))
+                   AS obs_date,
+               CASE WHEN stamp % 11 = 0 THEN '{MISSING_MARKER}'
                     ELSE concat(mean div 100, '.', lpad(mean % 100, 2, '0')) END AS value
         FROM (
             SELECT element_at(array({series}), CAST(substr(o_orderpriority, 1, 1) AS INT))
                        AS series_id,
-                   concat(date_format(o_orderdate, 'yyyy-MM-'),
-                          CASE WHEN day(o_orderdate) < 15 THEN '01' ELSE '15' END) AS obs_date,
+                   year(o_orderdate) * 10000 + month(o_orderdate) * 100
+                       + CASE WHEN day(o_orderdate) < 15 THEN 1 ELSE 15 END AS stamp,
                    (2 * sum({CENTS.format("o_totalprice")}) + count(*)) div (2 * count(*)) AS mean
             FROM {{orders}} GROUP BY 1, 2
         )

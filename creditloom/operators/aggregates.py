@@ -31,12 +31,13 @@ def means_by(df: DataFrame, keys: list[str], means: Mapping[str, tuple[str, int]
 
 
 def correlation(x: str, y: str, digits: int = 4) -> Column:
-    """Rounded Pearson correlation over complete pairs; NULL where one side does not vary."""
+    """Rounded Pearson correlation over complete pairs; NULL where one side does not vary.
+
+    ``corr`` itself fails on a constant column under ANSI rules before any guard around it applies.
+    """
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    varies = (F.count_if(both) > 1) & (
-        F.min(F.when(both, F.col(x))) < F.max(F.when(both, F.col(x)))
-    ) & (F.min(F.when(both, F.col(y))) < F.max(F.when(both, F.col(y))))
-    return F.when(varies, F.round(F.corr(x, y), digits) + 0.0)
+    spread = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.round(F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0)), digits) + 0.0
 
 
 def label_counts(df: DataFrame, labels: list[str], target: str = TARGET) -> DataFrame:

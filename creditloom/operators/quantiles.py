@@ -30,38 +30,45 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     """
     sliced = range_slices(value_counts(df, columns), F.col("name"), F.col("value"))
 
-    # One row per (column, slice): at most slices + columns rows.
+    # One row per (column, slice), at most slices + columns rows, each with the wanted ranks that
+    # lie in it, counted from the start of the slice.
     totals = sliced.groupBy("name", "slice").agg(F.sum("n").alias("rows"))
+    before = F.coalesce(F.sum("rows").over(earlier(["name"], "slice")), F.lit(0))
+    total = F.sum("rows").over(Window.partitionBy("name"))
     placed = totals.select(
-        "name",
-        "slice",
-        "rows",
-        F.coalesce(F.sum("rows").over(earlier(["name"], "slice")), F.lit(0)).alias("before"),
-        F.sum("rows").over(Window.partitionBy("name")).alias("total"),
+        "name", "slice", "rows", before.alias("before"), total.alias("total")
     )
-    wanted = (
-        placed.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("position", (F.col("total") - 1) * F.col("prob"))
-        .withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
-        .withColumn("rank", F.col("rank") - F.col("before"))
-        .filter((F.col("rank") >= 0) & (F.col("rank") < F.col("rows")))
-        .select("name", "slice", "prob", "position", "rank")
+    every = ", ".join(
+        f"struct({p}D AS prob, (total - 1) * {p}D AS position, {side}((total - 1) * {p}D) - before "
+        "AS rank)"
+        for p in map(float, probs)
+        for side in ("floor", "ceil")
     )
+    wanted = placed.select(
+        "name",
+        "slice",
+        F.expr(f"filter(array({every}), w -> w.rank >= 0 AND w.rank < rows)").alias("wanted"),
+    ).filter(F.size("wanted") > 0)
 
-    # At most two ranks per column and probability, so the wanted slices fit a broadcast.
-    wanted_slices = F.broadcast(wanted.select("name", "slice").distinct())
+    # At most two ranks per column and probability lie in a slice worth reading.
     inside = Window.partitionBy("name", "slice").orderBy("value")
     ranked = (
-        sliced.join(wanted_slices, ["name", "slice"], "left_semi")
+        sliced.join(F.broadcast(wanted), ["name", "slice"])
         .withColumn("last", F.sum("n").over(inside))
-        .withColumn("first", F.col("last") - F.col("n"))
-    )
-    hits = ranked.join(F.broadcast(wanted), ["name", "slice"]).filter(
-        (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
+        .select(
+            "name",
+            "value",
+            F.expr("inline(filter(wanted, w -> w.rank >= last - n AND w.rank < last))"),
+        )
     )
+    # What is left is two rows per column and probability; one task finishes them.
     low, high = F.min("value"), F.max("value")
     share = F.first("position") - F.floor(F.first("position"))
-    return hits.groupBy("name", "prob").agg((low + (high - low) * share).alias("quantile"))
+    return (
+        ranked.repartition(1)
+        .groupBy("name", "prob")
+        .agg((low + (high - low) * share).alias("quantile"))
+    )
 
 
 def sketch_quantiles(

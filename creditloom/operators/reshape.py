@@ -88,12 +88,14 @@ def macro_spine(
     Years of the observations are not looked at, as the spine stands for one year.
     """
     number = parse_number(F.col("value"))
-    valued = observations.filter(
-        number.isNotNull() & F.col("series_id").isin(*series)
-    ).withColumn("month", month_of_text(F.col("obs_date")))
-    last = latest_by(valued, ["series_id", "month"], number, F.col("obs_date"), "value")
-    wide = pivot_case(last, [F.col("month")], series, "series_id", F.col("value"))
-    # ``last`` has at most 12 months x the named series, so the joined side is a dozen rows.
+    valued = observations.filter(number.isNotNull() & F.col("series_id").isin(*series))
+    # ``max_by`` skips rows without an order, so one aggregate both picks the last observation of
+    # each series and turns the series into columns. It leaves at most twelve rows.
+    picks = [
+        F.max_by(number, F.when(F.col("series_id") == s, F.col("obs_date"))).alias(column)
+        for s, column in series.items()
+    ]
+    wide = valued.groupBy(month_of_text(F.col("obs_date")).alias("month")).agg(*picks)
     return (
         calendar.select("date_key", "month")
         .join(F.broadcast(wide), "month", "left")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalars import steady_round, total
-from creditloom.operators.cleaning import STATS, stat, with_stats
 from creditloom.operators.slices import (
     GROUP_ROWS,
     earlier,
@@ -155,21 +154,19 @@ def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def composition(
-    df: DataFrame, indicators: list[str], digits: int = 6
-) -> DataFrame:
+def composition(df: DataFrame, indicators: list[str], digits: int = 6) -> DataFrame:
     """Share of each indicator in its row after scaling all of them to a common range.
 
     Adds ``<indicator>_share`` and the running upper bound ``<indicator>_upper`` in list order.
+    ``df`` holds one row per period, so a window over all of it is calendar-sized.
     """
-    parts = [F.min(c).alias(f"{c}_min") for c in indicators]
-    parts += [F.max(c).alias(f"{c}_max") for c in indicators]
+    periods = Window.partitionBy(F.lit(1))
     scaled = {}
     for c in indicators:
-        low, high = stat(f"{c}_min"), stat(f"{c}_max")
+        low, high = F.min(c).over(periods), F.max(c).over(periods)
         span = F.when(high == low, F.lit(1.0)).otherwise(high - low)
         scaled[f"__{c}"] = COMPOSITION_FLOOR + COMPOSITION_SPAN * (F.col(c) - low) / span
-    out = with_stats(df, df, parts).withColumns(scaled)
+    out = df.withColumns(scaled)
     whole = total([F.col(f"__{c}") for c in indicators])
     shares = {
         f"{c}_share": F.round(F.col(f"__{c}") / F.when(whole == 0, 1.0).otherwise(whole), digits)
@@ -183,4 +180,4 @@ def composition(
         )
         for i, c in enumerate(indicators)
     }
-    return out.withColumns({**shares, **uppers}).drop(STATS, *scaled)
+    return out.withColumns({**shares, **uppers}).drop(*scaled)

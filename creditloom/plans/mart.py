@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions import scalars as S
+from creditloom.functions.names import rename_all, warehouse_name
 from creditloom.operators import cleaning as C
 from creditloom.operators import reshape as R
-from creditloom.operators.aggregates import rate
+from creditloom.operators.aggregates import rate, rate_cube
 from creditloom.operators.joins import dimension_join
 from creditloom.operators.windows import rank_in_group, running
 from creditloom.session import materialise
@@ -24,6 +25,7 @@ from creditloom.vocabulary import (
     BILL_COLUMNS,
     BILLING_MONTHS,
     CAPPED_COLUMNS,
+    DIMENSIONS,
     EDUCATION_LABELS,
     HISTORY,
     INDICATORS,
@@ -171,29 +173,28 @@ def dim_macro(observations: DataFrame, calendar: DataFrame) -> DataFrame:
     """Dense macro dimension: indicators, their z-scores, imputed and scaled values.
 
     Scores are taken before the mean fills a missing month (it keeps a NULL score). The mean never
-    leaves the range, so the bounds for scaling can come from the same single aggregate.
+    leaves the range, so the bounds for scaling are those of the observed values.
     """
+    # The spine has one row per calendar month, so a window over all of it is small; a subquery
+    # would go back to the observations for its statistics.
     spine = R.macro_spine(observations, calendar, SERIES_COLUMNS)
-    parts = []
-    for c in INDICATORS:
-        parts += [
-            F.avg(c).alias(f"{c}_mean"),
-            F.stddev_samp(c).alias(f"{c}_sd"),
-            F.min(c).alias(f"{c}_min"),
-            F.max(c).alias(f"{c}_max"),
-        ]
+    months = Window.partitionBy(F.lit(1))
+
+    def over(measure, c):
+        return measure(c).over(months)
+
     def filled(c):
-        return F.coalesce(F.col(c), C.stat(f"{c}_mean"))
+        return F.coalesce(F.col(c), over(F.avg, c))
 
-    return C.with_stats(spine, spine, parts).select(
+    return spine.select(
         "date_key",
         *[filled(c).alias(c) for c in INDICATORS],
         *[
-            C.zscore_of(F.col(c), C.stat(f"{c}_mean"), C.stat(f"{c}_sd")).alias(f"{c}_zscore")
+            C.zscore_of(F.col(c), over(F.avg, c), over(F.stddev_samp, c)).alias(f"{c}_zscore")
             for c in INDICATORS
         ],
         *[
-            C.minmax_of(filled(c), C.stat(f"{c}_min"), C.stat(f"{c}_max")).alias(f"{c}_norm")
+            C.minmax_of(filled(c), over(F.min, c), over(F.max, c)).alias(f"{c}_norm")
             for c in SCALED_INDICATORS
         ],
     )
@@ -246,13 +247,18 @@ TABLES = ("dim_client", "dim_date", "dim_macro", "fact_credit_monthly")
 
 
 def stage_mart(
-    credit: DataFrame, observations: DataFrame, year: int, folder: str, error: float | None = None
+    credit: DataFrame,
+    observations: DataFrame,
+    year: int,
+    folder: str,
+    error: float | None = None,
+    ordered: bool = False,
 ) -> dict[str, str]:
     """Write the four path A tables. The cleaned clients are written once and read for both the
     dimension and the fact, so the two cannot disagree about a duplicate."""
     spark = credit.sparkSession
     calendar = calendar_year(spark, year)
-    clean = materialise(clean_credit(credit, error=error, ordered=True), "clean")
+    clean = materialise(clean_credit(credit, error=error, ordered=ordered), "clean")
     macro = materialise(dim_macro(observations, calendar), "macro")
     frames = {
         "dim_client": (dim_client(clean), None),
@@ -321,3 +327,42 @@ def elt_default_vs_macro(fact: DataFrame, macro: DataFrame) -> DataFrame:
     return per_month.join(macro, "date_key", "left").select(
         "date_key", "default_rate", *SCALED_INDICATORS
     )
+
+
+ELT_TABLES = (
+    "elt_macro_monthly",
+    "elt_fact_monthly",
+    "elt_client_trends",
+    "elt_default_by_demographic",
+    "elt_default_vs_macro",
+)
+
+
+def land_raw(
+    credit: DataFrame, observations: DataFrame, database: str, location: str | None = None
+) -> None:
+    """Land both sources unchanged, with names the catalog accepts."""
+    spark = credit.sparkSession
+    tables.rebuild_database(spark, database, location)
+    tables.save_table(rename_all(credit, warehouse_name), f"{database}.raw_credit")
+    tables.save_table(observations, f"{database}.raw_macro")
+
+
+def build_elt(spark: SparkSession, database: str, year: int) -> None:
+    """The five analytic tables, each built from landed or already built tables."""
+
+    def table(name: str) -> DataFrame:
+        return spark.table(f"{database}.{name}")
+
+    def save(name: str, df: DataFrame, by: list[str] | None = None) -> None:
+        tables.save_table(df, f"{database}.{name}", by)
+
+    save("elt_macro_monthly", elt_macro(table("raw_macro")))
+    save("elt_fact_monthly", elt_fact(table("raw_credit"), year), ["date_key"])
+    save("elt_client_trends", elt_trends(table("elt_fact_monthly")), ["date_key"])
+    cube = rate_cube(demographics(table("raw_credit")), list(DIMENSIONS.values()))
+    save("elt_default_by_demographic", cube)
+    save(
+        "elt_default_vs_macro",
+        elt_default_vs_macro(table("elt_fact_monthly"), table("elt_macro_monthly")),
+    )

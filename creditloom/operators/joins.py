@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.operators.slices import deal_join
+
 # Rows up to which a dimension is sent to every executor.
 BROADCAST_ROWS = 100_000
 
@@ -20,11 +22,15 @@ def dimension_join(
     """Join a fact onto a dimension with unique keys.
 
     A dimension of bounded or checked size is broadcast, so few hot keys (a fact has a handful of
-    months) do not decide how many tasks work. A larger one is joined by key and left to adaptive
-    execution.
+    months) do not decide how many tasks work. A larger one is joined by key with the rows of hot
+    keys dealt over several tasks. A NULL key in the fact finds nothing.
     """
-    small = bounded or fits_broadcast(dim)
-    return fact.join(F.broadcast(dim) if small else dim, keys, how)
+    if bounded or fits_broadcast(dim):
+        return fact.join(F.broadcast(dim), keys, how)
+    known = dim.dropna(subset=keys)
+    joined = deal_join(fact, known, keys, how)
+    rest = [c for c in fact.columns if c not in keys]
+    return joined.select(*keys, *rest, *[c for c in dim.columns if c not in keys])
 
 
 def orphan_rows(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators.slices import number_rows
+from creditloom.operators.slices import number_rows, slice_total
 
-# Draws produced by one task.
-DRAWS_PER_TASK = 1_000_000
+# Draws in one block; blocks are spread over the tasks.
+DRAWS_PER_BLOCK = 100_000
 
 
 def class_quota(df: DataFrame, label: str, size: int, balanced: bool = False) -> DataFrame:
@@ -37,22 +37,24 @@ def resample(
     labelled = df.filter(F.col(label).isNotNull())
     numbered = number_rows(labelled, key, "__row", within=[label])
     quota = class_quota(df, label, size, balanced).filter(F.col("quota") > 0)
+    # The number of partitions is given, since adaptive execution would pack these short rows into
+    # one task before they unfold into draws.
     blocks = quota.select(
         F.col(label).alias("__class"),
         F.col("rows").alias("__rows"),
         "quota",
         F.explode(
             F.sequence(
-                F.lit(0), F.floor((F.col("quota") - 1) / DRAWS_PER_TASK).cast("int")
+                F.lit(0), F.floor((F.col("quota") - 1) / DRAWS_PER_BLOCK).cast("int")
             )
         ).alias("__block"),
-    ).repartition("__class", "__block")
-    first = F.col("__block").cast("bigint") * DRAWS_PER_TASK
+    ).repartition(slice_total(df), "__class", "__block")
+    first = F.col("__block").cast("bigint") * DRAWS_PER_BLOCK
     draws = blocks.select(
         "__class",
         "__rows",
         F.explode(
-            F.sequence(first, F.least(first + DRAWS_PER_TASK, F.col("quota")) - 1)
+            F.sequence(first, F.least(first + DRAWS_PER_BLOCK, F.col("quota")) - 1)
         ).alias("draw"),
     ).withColumn(
         "__pick", F.pmod(F.xxhash64("__class", "draw", F.lit(seed)), F.col("__rows")) + 1

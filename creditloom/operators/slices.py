@@ -23,6 +23,9 @@ from creditloom.session import materialise
 
 # Rows of one group that a single task may sort; larger groups go through range slices.
 GROUP_ROWS = 2_000_000
+# A key is hot if it holds more than one row in HOT_SHARE, and at least HOT_ROWS.
+HOT_SHARE = 1000
+HOT_ROWS = 100_000
 # Number of hash slices. Fixed, because the numbering (and draws made from it) depends on it.
 HASH_SLICES = 4096
 
@@ -31,14 +34,52 @@ def slice_total(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def lookup(left: DataFrame, right: DataFrame, keys: list[str], small: bool) -> DataFrame:
-    """Left join onto a table with unique ``keys``; ``small`` says its size is bounded."""
+def lookup(
+    left: DataFrame, right: DataFrame, keys: list[str], small: bool, how: str = "left"
+) -> DataFrame:
+    """Join onto a table with unique ``keys``, NULL included; ``small`` says its size is bounded."""
     twin = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     condition = reduce(and_, [left[k].eqNullSafe(twin[f"__{k}"]) for k in keys])
-    joined = left.join(F.broadcast(twin) if small else twin, condition, "left")
+    joined = left.join(F.broadcast(twin) if small else twin, condition, how)
     return joined.drop(*[f"__{k}" for k in keys])
 
 
+def deal_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    counts: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join onto a large table with unique ``keys`` where a few keys may hold most of ``left``.
+
+    Rows of a hot key are dealt over parts and its one row on the right is repeated per part, so no
+    task gets more than its share. A key is hot from ``hot_rows`` rows on if it also holds more than
+    one row in HOT_SHARE; hence at most HOT_SHARE keys are hot, which bounds the broadcast.
+    ``counts`` (keys, ``n``) saves the counting where it is known. NULL keys pair with each other.
+    """
+    if counts is None:
+        counts = left.groupBy(*keys).agg(F.count("*").alias("n"))
+    n_rows = counts.agg(F.sum("n").alias("n")).scalar()
+    limit = F.greatest(n_rows / HOT_SHARE, F.lit(hot_rows))
+    hot = counts.select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("__parts")).filter(
+        F.col("__parts") > 1
+    )
+    parts = F.coalesce("__parts", F.lit(1))
+    # The partition id separates full copies of a row, which share their hash.
+    draw = F.xxhash64(*left.columns) + F.spark_partition_id()
+    dealt = lookup(left, hot, keys, small=True).withColumn(
+        "__part", F.pmod(draw, parts).cast("int")
+    )
+    repeated = lookup(right, hot, keys, small=True).withColumn(
+        "__part", F.explode(F.sequence(F.lit(0), parts - 1))
+    )
+    return lookup(
+        dealt.drop("__parts"), repeated.drop("__parts"), [*keys, "__part"], small=False, how=how
+    ).drop("__part")
+
+
 def largest_group(df: DataFrame, keys: list[str]) -> int:
     """Rows of the largest group: one aggregate with map-side combine, one number back."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
@@ -64,18 +105,26 @@ def number_rows(df: DataFrame, unique_key: list[str], name: str, within: list[st
     Each slice is numbered on its own and then shifted by the rows in the slices before it. The
     window and the shift share one hash partitioning, so the rows are shuffled once.
     """
-    group = list(within or [])
-    sliced = df.withColumn("__slice", F.pmod(F.xxhash64(*unique_key), F.lit(HASH_SLICES)))
+    # A struct key keeps NULL groups apart from others and is never NULL itself, so the window, the
+    # totals and the join all work on plain equality of the same column.
+    slice_no = F.pmod(F.xxhash64(*unique_key), F.lit(HASH_SLICES)).alias("slice")
+    sliced = df.withColumn("__key", F.struct(*(within or []), slice_no))
+    groups = [f"__key.{g}" for g in within or []] or [F.lit(1)]
+    order = Window.partitionBy(*groups).orderBy("__key.slice")
     shifts = (
-        sliced.groupBy(*group, "__slice")
+        sliced.groupBy("__key")
         .agg(F.count("*").alias("__n"))
-        .withColumn("__shift", F.coalesce(F.sum("__n").over(earlier(group, "__slice")), F.lit(0)))
+        .withColumn(
+            "__shift",
+            F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            - F.col("__n"),
+        )
         .drop("__n")
     )
-    inside = Window.partitionBy(*group, "__slice").orderBy(*unique_key)
-    numbered = sliced.withColumn("__in_slice", F.row_number().over(inside))
+    inside = Window.partitionBy("__key").orderBy(*unique_key)
     return (
-        lookup(numbered, shifts, [*group, "__slice"], small=False)
+        sliced.withColumn("__in_slice", F.row_number().over(inside))
+        .join(shifts, "__key")
         .withColumn(name, F.col("__in_slice") + F.col("__shift"))
-        .drop("__in_slice", "__shift", "__slice")
+        .drop("__in_slice", "__shift", "__key")
     )

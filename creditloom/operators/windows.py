@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from creditloom.functions.scalars import steady_round, total
 from creditloom.operators.slices import (
     GROUP_ROWS,
+    HOT_ROWS,
+    deal_join,
     earlier,
     largest_group,
     lookup,
@@ -15,9 +17,6 @@ from creditloom.operators.slices import (
 )
 from creditloom.vocabulary import COMPOSITION_FLOOR, COMPOSITION_SPAN
 
-# A value that holds more than one row in HOT_SHARE counts as hot; there are at most HOT_SHARE.
-HOT_SHARE = 1000
-
 
 def running(
     df: DataFrame, key: str, order: list[str], value: str, averaged: str, digits: int = 4
@@ -99,7 +98,7 @@ def rank_in_group(df: DataFrame, group: str, value: str, name: str) -> DataFrame
 
 
 def rank_in_group_sliced(
-    df: DataFrame, group: str, value: str, name: str, hot_rows: int = 100_000
+    df: DataFrame, group: str, value: str, name: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Rank = 1 + rows with a larger value, counted over distinct values.
 
@@ -120,29 +119,12 @@ def rank_in_group_sliced(
     ).select(
         group,
         value,
-        "__n",
         (F.col("__larger") + F.coalesce("__before", F.lit(0)) + 1).alias(name),
     )
 
-    # Back to the rows. A value shared by many rows (a capped amount, a zero) is split: its rank
-    # is repeated per part and its rows are dealt over the parts. At most HOT_SHARE values can
-    # hold more than one row in HOT_SHARE, which bounds the broadcast.
-    n_rows = sliced.agg(F.sum("__n").alias("n")).scalar()
-    limit = F.greatest(n_rows / HOT_SHARE, F.lit(hot_rows))
-    parts = F.ceil(F.col("__n") / limit).cast("int")
-    ranks = ranks.withColumn("__parts", parts).drop("__n")
-    hot = ranks.filter(F.col("__parts") > 1).select(group, value, "__parts")
-    dealt = lookup(df, hot, [group, value], small=True).withColumn(
-        "__part",
-        F.pmod(
-            F.xxhash64(*df.columns) + F.spark_partition_id(),
-            F.coalesce("__parts", F.lit(1)),
-        ).cast("int"),
-    ).drop("__parts")
-    repeated = ranks.withColumn(
-        "__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))
-    ).drop("__parts")
-    return lookup(dealt, repeated, [group, value, "__part"], small=False).drop("__part")
+    # Back to the rows: a value shared by many of them (a capped amount, a zero) is a hot key.
+    counts = sliced.select(group, value, F.col("__n").alias("n"))
+    return deal_join(df, ranks, [group, value], counts=counts, hot_rows=hot_rows)
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

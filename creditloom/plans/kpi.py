@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions import scalars as S
 from creditloom.operators import aggregates as A
+from creditloom.operators.joins import dimension_join
 from creditloom.plans import mart as M
 from creditloom.sinks import tables
 from creditloom.vocabulary import (
@@ -150,7 +151,7 @@ def kpi_tables_b(labelled: DataFrame, fact: DataFrame, macro: DataFrame) -> dict
         "kpi_overall": A.total_of_cube(cube, labels),
         "kpi_default_by_demographic": A.long_of_cube(cube, DIMENSIONS),
         "kpi_monthly_default_vs_macro": monthly_b(M.elt_default_vs_macro(fact, macro)),
-        "kpi_corr_default_macro": correlations(fact.join(macro, "date_key")),
+        "kpi_corr_default_macro": correlations(dimension_join(fact, macro, ["date_key"], "inner")),
     }
 
 

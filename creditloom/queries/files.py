@@ -12,7 +12,7 @@ from creditloom.operators.observe import landing_metadata as metadata_of
 from creditloom.operators.quality import schema_report
 from creditloom.plans import kpi as K
 from creditloom.plans import mart as M
-from creditloom.queries.marts import clients_a, clients_b, fact_b, macro_b, mart
+from creditloom.queries.marts import clients_a, clients_b, fact_b, landed_macro, mart
 from creditloom.queries.registry import query
 from creditloom.queries.sql import with_ctes
 from creditloom.session import scratch_path
@@ -193,7 +193,7 @@ def kpi_export(spark, sf):
     K.save_kpis(
         spark,
         databases["b"],
-        K.kpi_tables_b(clients_b(spark, sf), fact_b(spark, sf), macro_b(spark, sf)),
+        K.kpi_tables_b(clients_b(spark, sf), fact_b(spark, sf), landed_macro(spark, sf)),
     )
     written = tables.export_tables(
         spark, databases.values(), KPI_TABLES, scratch_path(spark, "exports")

@@ -11,6 +11,7 @@ from creditloom.plans import kpi as K
 from creditloom.plans import mart as M
 from creditloom.queries.registry import query
 from creditloom.queries.sql import mean, month_case, with_ctes
+from creditloom.session import materialise
 from creditloom.vocabulary import DIMENSIONS, INDICATORS, SCALED_INDICATORS, TARGET
 
 LABELS = list(DIMENSIONS.values())
@@ -40,6 +41,11 @@ def macro_b(spark, sf):
     return M.elt_macro(macro_long(spark, sf))
 
 
+def landed_macro(spark, sf):
+    """Path B keeps its macro table; its size is then checked without a second look at the source."""
+    return materialise(macro_b(spark, sf), "elt_macro")
+
+
 def by_category_a(spark, sf):
     return A.long_of_cube(A.rate_cube(clients_a(spark, sf), LABELS), DIMENSIONS)
 
@@ -112,7 +118,7 @@ def mart_fact(spark, sf):
 )
 def fact_macro_left(spark, sf):
     fact = fact_b(spark, sf).select("id", "date_key", "bill_amt")
-    return dimension_join(fact, macro_b(spark, sf), ["date_key"], "left")
+    return dimension_join(fact, landed_macro(spark, sf), ["date_key"], "left")
 
 
 @query(
@@ -142,7 +148,7 @@ _CORR = ", ".join(
     ),
 )
 def corr_joined(spark, sf):
-    joined = dimension_join(fact_b(spark, sf), macro_b(spark, sf), ["date_key"], "inner")
+    joined = dimension_join(fact_b(spark, sf), landed_macro(spark, sf), ["date_key"], "inner")
     pairs = [(TARGET, c, n) for n, c in K.CORRELATIONS.items()]
     pairs += [("bill_amt", c, n.replace("corr_", "bill_")) for n, c in K.CORRELATIONS.items()]
     return joined.agg(*[A.correlation(x, y).alias(n) for x, y, n in pairs])

@@ -23,13 +23,20 @@ def read_bus(
     topics: list[str],
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
+    per_batch: int | None = None,
 ) -> DataFrame:
     """Streaming (topic, key, value) of the wanted topics, from the earliest message.
 
+    ``per_batch`` bounds a batch (files, or messages of a broker), so a long backlog is drained in
+    several batches rather than in one that has to be held at once.
+
     ``fmt="kafka"`` subscribes at the broker ``source`` where the connector is installed; any file
     format reads a folder of envelopes.
     """
     reader = spark.readStream.format(fmt).options(**dict(options or {}))
+    if per_batch is not None:
+        name = "maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"
+        reader = reader.option(name, per_batch)
     if fmt == "kafka":
         raw = (
             reader.option("kafka.bootstrap.servers", source)

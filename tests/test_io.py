@@ -128,7 +128,8 @@ def test_restarted_stream_neither_loses_nor_repeats(spark, shared):
 
     _publish(spark, folder, "one", 10, 15)
     for _ in range(2):  # the second run finds nothing new
-        bus.land(bus.read_bus(spark, folder, list(LAYOUTS)), zones, progress, LAYOUTS)
+        messages = bus.read_bus(spark, folder, list(LAYOUTS), per_batch=1)
+        bus.land(messages, zones, progress, LAYOUTS)
     for zone in zones:
         one = bus.landed(spark, zone, "one", "csv", PAYLOAD)
         two = bus.landed(spark, zone, "two", "json", PAYLOAD)

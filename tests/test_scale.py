@@ -106,7 +106,7 @@ def test_numbers_are_dense_and_stable(skewed):
 
 
 def test_resample_meets_its_quota_and_repeats(spark, skewed, monkeypatch):
-    monkeypatch.setattr(Y, "DRAWS_PER_TASK", 700)
+    monkeypatch.setattr(Y, "DRAWS_PER_BLOCK", 700)
     df = skewed.withColumn("label", (F.col("n") % 5 == 0).cast("int"))
     quota = {r.label: r.quota for r in Y.class_quota(df, "label", 4000).collect()}
     assert quota == {0: 3200, 1: 800}
@@ -146,6 +146,18 @@ def test_dimension_join_with_and_without_broadcast(skewed, monkeypatch):
     assert same(small, J.dimension_join(skewed, dim, ["key"], bounded=False))
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_keys_are_dealt_over_parts(skewed, how):
+    dim = skewed.filter("key % 2 = 1").groupBy("key").agg(F.max("at").alias("top"))
+    want = skewed.join(dim, "key", how)
+    got = slices.deal_join(skewed, dim, ["key"], how, hot_rows=10)
+    assert same(got, want)
+    copies = skewed.select("key").unionByName(skewed.select("key"))
+    assert same(
+        slices.deal_join(copies, dim, ["key"], how, hot_rows=10), copies.join(dim, "key", how)
+    )
+
+
 def test_cube_equals_union_and_separates_null_labels(spark):
     rows = [("a", "x", 1), ("a", None, 0), (None, "y", 1), ("b", "x", None)]
     df = spark.createDataFrame(rows, "p string, q string, hit int")

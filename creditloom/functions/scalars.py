@@ -106,14 +106,15 @@ def number_or_text(text: Column) -> Column:
     return F.when(whole, number.cast("bigint").cast("string")).otherwise(text)
 
 
-# Fixed value: the line terminators of Unicode text.
-LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+# Fixed value: the line terminators of Unicode text, each a single character.
+LINE_END_CHARS = [chr(c) for c in (10, 11, 12, 13, 28, 29, 30, 0x85, 0x2028, 0x2029)]
+LINE_ENDS = "\\r\\n|[" + "".join(f"\\x{{{ord(c):x}}}" for c in LINE_END_CHARS) + "]"
 
 
 def line_count(text: Column) -> Column:
     """Lines of a text; a last line counts whether or not it is terminated."""
     ends = F.regexp_count(text, F.lit(LINE_ENDS))
-    open_line = (F.length(text) > 0) & ~text.rlike(f"(?:{LINE_ENDS})\\z")
+    open_line = (F.length(text) > 0) & ~F.substring(text, -1, 1).isin(*LINE_END_CHARS)
     return (ends + open_line.cast("int")).cast("bigint")
 
 

@@ -15,24 +15,24 @@ def unpivot_groups(
 ) -> DataFrame:
     """One row per id and group of columns, from a single scan.
 
-    ``groups`` maps a key value to the columns that hold its measures. The rows come out of an
-    in-line generator, so there is neither a union of scans nor a shuffle.
+    ``groups`` maps a key value to the columns that hold its measures. Only the key is unfolded and
+    each measure is picked by it, so there is neither a union of scans nor a shuffle, and a measure
+    nobody reads is pruned together with its columns (an array of structs would keep them all).
     """
     types = dict(df.dtypes)
-    wide = {
-        m: "double" if any(types[cols[i]] == "double" for cols in groups.values()) else None
-        for i, m in enumerate(measures)
-    }
-
-    def cell(column: str, measure: str) -> Column:
-        value = F.col(column)
-        return (value.cast(wide[measure]) if wide[measure] else value).alias(measure)
-
-    rows = [
-        F.struct(F.lit(value).alias(key), *[cell(c, m) for c, m in zip(cols, measures)])
-        for value, cols in groups.items()
-    ]
-    return df.select(*ids, F.inline(F.array(*rows)))
+    keys = F.array(*[F.lit(value) for value in groups])
+    unfolded = df.withColumn(key, F.explode(keys))
+
+    def picked(position: int) -> Column:
+        columns = [cols[position] for cols in groups.values()]
+        common = "double" if any(types[c] == "double" for c in columns) else types[columns[0]]
+        arms = " ".join(
+            f"WHEN {value} THEN CAST(`{cols[position]}` AS {common})"
+            for value, cols in groups.items()
+        )
+        return F.expr(f"CASE `{key}` {arms} END")
+
+    return unfolded.select(*ids, key, *[picked(i).alias(m) for i, m in enumerate(measures)])
 
 
 def stack_sql(groups: Mapping[int, Sequence], types: Sequence[str]) -> str:

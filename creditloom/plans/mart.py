@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.functions import scalars as S
@@ -178,23 +178,21 @@ def dim_macro(observations: DataFrame, calendar: DataFrame) -> DataFrame:
     # The spine has one row per calendar month, so a window over all of it is small; a subquery
     # would go back to the observations for its statistics.
     spine = R.macro_spine(observations, calendar, SERIES_COLUMNS)
-    months = Window.partitionBy(F.lit(1))
-
     def over(measure, c):
-        return measure(c).over(months)
+        return F.expr(f"{measure}({c}) OVER (PARTITION BY 1)")
 
     def filled(c):
-        return F.coalesce(F.col(c), over(F.avg, c))
+        return F.coalesce(F.col(c), over("avg", c))
 
     return spine.select(
         "date_key",
         *[filled(c).alias(c) for c in INDICATORS],
         *[
-            C.zscore_of(F.col(c), over(F.avg, c), over(F.stddev_samp, c)).alias(f"{c}_zscore")
+            C.zscore_of(F.col(c), over("avg", c), over("stddev_samp", c)).alias(f"{c}_zscore")
             for c in INDICATORS
         ],
         *[
-            C.minmax_of(filled(c), over(F.min, c), over(F.max, c)).alias(f"{c}_norm")
+            C.minmax_of(filled(c), over("min", c), over("max", c)).alias(f"{c}_norm")
             for c in SCALED_INDICATORS
         ],
     )

@@ -363,8 +363,8 @@ def path_parity(spark, sf):
     ),
 )
 def category_vs_overall(spark, sf):
-    clients = clients_a(spark, sf)
-    return K.versus_overall(by_category_a(spark, sf), A.overall_rate(clients, "default_rate"))
+    cube = A.rate_cube(clients_a(spark, sf), LABELS)
+    return K.versus_overall(A.long_of_cube(cube, DIMENSIONS), A.total_of_cube(cube, LABELS))
 
 
 @query(

@@ -20,6 +20,9 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval"):
+        assert node not in plan
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert df.count() > 0
@@ -27,6 +30,37 @@ def test_query(spark, con, name):
         assert compare(df, con, sql) is None
 
 
+def _scans(spark, name):
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return {
+        line.split(SF_DIR + "/")[1].split(".parquet")[0]: line.split("ReadSchema: ")[1]
+        for line in plan.splitlines()
+        if "FileScan parquet" in line
+    }
+
+
+@pytest.mark.parametrize(
+    "name, tables",
+    [
+        ("q3_education", {"customer"}),
+        ("demographic_cube", {"customer"}),
+        ("q7_rate_vs_macro", {"customer", "orders"}),
+        ("unpivot_stack", {"customer", "orders", "lineitem"}),
+    ],
+)
+def test_unused_tables_are_not_read(spark, name, tables):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 500)
+    assert set(_scans(spark, name)) == tables
+
+
+def test_unused_columns_are_not_read(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 500)
+    assert _scans(spark, "q3_education")["customer"].startswith("struct<c_custkey:bigint>")
+    assert _scans(spark, "dq_uniqueness")["lineitem"].startswith(
+        "struct<l_orderkey:bigint,l_linenumber:int>"
+    )
+
+
 def test_flagship(spark):
     result = entry.entry(spark)
     assert result.columns[0] == "date_key" and result.count() == 6

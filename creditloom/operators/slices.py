@@ -70,7 +70,7 @@ def deal_join(
     # The partition id separates full copies of a row, which share their hash.
     draw = F.xxhash64(*left.columns) + F.spark_partition_id()
     dealt = lookup(left, hot, keys, small=True).withColumn(
-        "__part", F.pmod(draw, parts).cast("int")
+        "__part", F.when(parts > 1, F.pmod(draw, parts).cast("int")).otherwise(0)
     )
     repeated = lookup(right, hot, keys, small=True).withColumn(
         "__part", F.explode(F.sequence(F.lit(0), parts - 1))

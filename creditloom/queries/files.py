@@ -12,14 +12,14 @@ from creditloom.operators.observe import landing_metadata as metadata_of
 from creditloom.operators.quality import schema_report
 from creditloom.plans import kpi as K
 from creditloom.plans import mart as M
-from creditloom.queries.marts import clients_a, clients_b, fact_b, landed_macro, mart
+from creditloom.queries.marts import LABELS, clients_a, clients_b, fact_b, landed_macro, mart
 from creditloom.queries.registry import query
 from creditloom.queries.sql import with_ctes
-from creditloom.session import scratch_path
+from creditloom.session import materialise, scratch_path
 from creditloom.sinks import tables
 from creditloom.sources import files
 from creditloom.streaming.bus import ENVELOPE
-from creditloom.vocabulary import CREDIT_TOPIC, KPI_TABLES, MACRO_TOPIC, TARGET
+from creditloom.vocabulary import CREDIT_TOPIC, KPI_TABLES, MACRO_TOPIC, SCALED_INDICATORS, TARGET
 
 _MONEY = f"CAST(sum({CENTS.format('o_totalprice')}) AS BIGINT)"
 _ORDERS_SQL = (
@@ -152,13 +152,15 @@ def bus_envelope(spark, sf):
 @query(
     "bus_first_records",
     with_ctes(
-        "SELECT id, sex, age FROM credit_wide ORDER BY id LIMIT 25",
+        f"SELECT '{CREDIT_TOPIC}' AS topic, CAST(id AS VARCHAR) AS key, "
+        "'{\"id\":' || id || ',\"age\":' || age || '}' AS value FROM "
+        "(SELECT id, age FROM credit_wide ORDER BY id LIMIT 25)",
         "credit_wide",
     ),
 )
 def bus_first_records(spark, sf):
-    """Row cap of the publisher (its smoke-test option), by key so that it is repeatable."""
-    return credit_wide(spark, sf).select("id", "sex", "age").orderBy("id").limit(25)
+    """The row cap of a publisher (a trial run), by key so that it is repeatable."""
+    return tables.envelope(credit_wide(spark, sf).select("id", "age"), CREDIT_TOPIC, "id", 25)
 
 
 _ALL_TABLES = (
@@ -188,12 +190,16 @@ def table_counts(spark, sf):
 def kpi_export(spark, sf):
     """KPI tables of both paths as managed tables, exported to CSV, read back from the export."""
     m = mart(spark, sf, cap=False)
+    measures = ["date_key", TARGET, *SCALED_INDICATORS]
+    clients = materialise(clients_a(spark, sf).select(*LABELS, TARGET), "clients_a")
+    fact = materialise(m.fact.select(*measures), "fact_a")
+    labelled = materialise(clients_b(spark, sf).select(*LABELS, TARGET), "clients_b")
+    landed = materialise(fact_b(spark, sf).select("date_key", TARGET), "fact_b")
+
     databases = {"a": _database(spark), "b": _database(spark)}
-    K.save_kpis(spark, databases["a"], K.kpi_tables_a(clients_a(spark, sf), m.fact, m.dim_date))
+    K.save_kpis(spark, databases["a"], K.kpi_tables_a(clients, fact, m.dim_date))
     K.save_kpis(
-        spark,
-        databases["b"],
-        K.kpi_tables_b(clients_b(spark, sf), fact_b(spark, sf), landed_macro(spark, sf)),
+        spark, databases["b"], K.kpi_tables_b(labelled, landed, landed_macro(spark, sf))
     )
     written = tables.export_tables(
         spark, databases.values(), KPI_TABLES, scratch_path(spark, "exports")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -69,9 +69,13 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def envelope(df: DataFrame, topic: str, key: str) -> DataFrame:
-    """Rows as keyed JSON messages: (topic, key, value)."""
-    return df.select(
+def envelope(df: DataFrame, topic: str, key: str, limit: int | None = None) -> DataFrame:
+    """Rows as keyed JSON messages: (topic, key, value).
+
+    ``limit`` keeps the first rows by key, for a trial run of a publisher.
+    """
+    rows = df if limit is None else df.orderBy(key).limit(limit)
+    return rows.select(
         F.lit(topic).alias("topic"),
         F.col(key).cast("string").alias("key"),
         F.to_json(F.struct(*df.columns)).alias("value"),
@@ -80,10 +84,16 @@ def envelope(df: DataFrame, topic: str, key: str) -> DataFrame:
 
 def publish(
     messages: DataFrame, target: str, fmt: str = "parquet", options: Mapping[str, str] | None = None
-) -> None:
-    """Append messages to a bus: a folder of files, or a broker with ``fmt="kafka"``."""
-    writer = messages.write.format(fmt).mode("append").options(**dict(options or {}))
+) -> int:
+    """Append messages to a bus and return how many there were, counted while they are written.
+
+    The bus is a folder of files, or a broker with ``fmt="kafka"``.
+    """
+    seen = Observation()
+    counted = messages.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.format(fmt).mode("append").options(**dict(options or {}))
     if fmt == "kafka":
         writer.option("kafka.bootstrap.servers", target).save()
     else:
         writer.save(target)
+    return seen.get["rows"]

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditloom.sources.files import path_exists
+
 ENVELOPE = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -92,7 +94,9 @@ def land(
 
 
 def landed(spark: SparkSession, zone: str, topic: str, fmt: str, schema: T.StructType) -> DataFrame:
-    """Batch view of everything a zone holds of a topic."""
+    """Batch view of everything a zone holds of a topic; nothing landed yet reads as no rows."""
+    if not path_exists(spark, f"{zone}/{topic}"):
+        return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)

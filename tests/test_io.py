@@ -101,7 +101,7 @@ def _publish(spark, folder, topic, first, last):
     rows = spark.range(first, last).select(
         F.col("id").alias("k"), F.concat(F.lit('say "x", '), F.col("id")).alias("text")
     )
-    tables.publish(tables.envelope(rows, topic, "k"), folder)
+    assert tables.publish(tables.envelope(rows, topic, "k"), folder) == last - first
 
 
 def test_restarted_stream_neither_loses_nor_repeats(spark, shared):
@@ -138,6 +138,16 @@ def test_restarted_stream_neither_loses_nor_repeats(spark, shared):
         assert one.filter("k = 3").first().text == 'say "x", 3'
 
 
+def test_topic_without_messages_reads_empty(spark, shared):
+    assert bus.landed(spark, shared("zone"), "one", "csv", PAYLOAD).count() == 0
+
+
+def test_trial_run_publishes_the_first_rows_by_key(spark):
+    rows = spark.range(20).select((19 - F.col("id")).alias("k"))
+    few = tables.envelope(rows, "t", "k", limit=3)
+    assert sorted(r.key for r in few.collect()) == ["0", "1", "2"]
+
+
 def test_topic_counts(spark, shared):
     folder = shared("bus")
     _publish(spark, folder, "one", 0, 6)

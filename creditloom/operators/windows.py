@@ -45,8 +45,14 @@ def _running_in_groups(df, key, order, value, averaged, digits):
 
 
 def running_sliced(df, key, order, value, averaged, digits=4):
-    """The same over range slices, so a key may hold any share of the rows."""
-    sliced = range_slices(df, F.col(key), *[F.col(c) for c in order])
+    """The same over range slices, so a key may hold any share of the rows.
+
+    Full copies of a row are interchangeable, so they may be cut apart as well: the partition they
+    are read in comes last in the order.
+    """
+    tied = df.withColumn("__tie", F.spark_partition_id())
+    order = [*order, "__tie"]
+    sliced = range_slices(tied, F.col(key), *[F.col(c) for c in order])
 
     # What a slice leaves to the next one. A slice continues at most one key of an earlier slice,
     # so ``carried`` has at most one row per slice.

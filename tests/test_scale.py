@@ -53,6 +53,16 @@ def test_running_over_slices(spark, skewed, width):
     spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
+def test_copies_of_one_row_are_cut_apart(spark):
+    rows = spark.range(0, 4000, 1, 8).select(
+        F.lit(1).alias("key"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("at"),
+        F.when(F.col("id") % 3 == 0, 2.0).otherwise(F.col("id") * 1.0).alias("value"),
+    )
+    got = W.running_sliced(rows, "key", ["at"], "value", "value", 4)
+    assert same(got, W._running_in_groups(rows, "key", ["at"], "value", "value", 4))
+
+
 def test_large_groups_take_the_sliced_way(skewed, monkeypatch):
     plain = W.running(skewed, "key", ["at", "n"], "value", "value")
     ranked = W.rank_in_group(skewed, "key", "value", "place")

@@ -57,14 +57,26 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | None = None) -> D
     return reader.schema(schema).csv(path)
 
 
+def header_schema(spark: SparkSession, path: str, type_of: Callable[[str], str]) -> T.StructType:
+    """Schema of a CSV from its header line and a rule for types; no pass over the data."""
+    names = spark.read.option("header", True).csv(path).columns
+    fields = ", ".join(f"`{n}` {type_of(n)}" for n in names)
+    return T.StructType.fromDDL(fields)
+
+
 def read_credit(
     spark: SparkSession,
     candidates: Iterable[str],
-    schema: T.StructType | None = None,
+    type_of: Callable[[str], str] | None = None,
     rule: Callable[[DataFrame], DataFrame] = standardise_columns,
 ) -> DataFrame:
-    """Credit rows of the first source present, with names made canonical."""
-    return rule(read_csv(spark, first_existing(spark, candidates), schema))
+    """Credit rows of the first source present, with names made canonical.
+
+    Types come from ``type_of`` where it is given, else they are inferred.
+    """
+    path = first_existing(spark, candidates)
+    schema = header_schema(spark, path, type_of) if type_of else None
+    return rule(read_csv(spark, path, schema))
 
 
 def read_observations(

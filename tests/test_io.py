@@ -53,10 +53,10 @@ def test_nested_series_files(spark, tmp_path):
 
 
 def test_numbers_kept_as_text(spark):
-    rows = [("3.0",), ("2.5",), ("abc",), (None,), ("",), ("1e3",)]
-    df = spark.createDataFrame(rows, "v string")
+    texts = ["3.0", "2.5", "abc", None, "", "1e3", "Infinity", "NaN", "1e300", "-4.0"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
     got = [r[0] for r in df.select(S.number_or_text(F.col("v"))).collect()]
-    assert got == ["3", "2.5", "abc", None, "", "1000"]
+    assert got == ["3", "2.5", "abc", None, "", "1000", "Infinity", "NaN", "1e300", "-4"]
 
 
 def test_absent_kpi_file_reads_empty(spark, shared):

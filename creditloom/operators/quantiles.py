@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators.slices import earlier, range_slices
+from creditloom.operators.slices import earlier, range_slices, so_far
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -51,7 +51,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     ).filter(F.size("wanted") > 0)
 
     # At most two ranks per column and probability lie in a slice worth reading.
-    inside = Window.partitionBy("name", "slice").orderBy("value")
+    inside = so_far(Window.partitionBy("name", "slice").orderBy("value"))
     ranked = (
         sliced.join(F.broadcast(wanted), ["name", "slice"])
         .withColumn("last", F.sum("n").over(inside))

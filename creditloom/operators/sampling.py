@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators.slices import number_rows, slice_total
+from creditloom.operators.slices import earlier, number_rows, slice_total
 
 # Draws in one block; blocks are spread over the tasks.
 DRAWS_PER_BLOCK = 100_000
@@ -31,33 +31,36 @@ def resample(
     """Draw each class to its quota with replacement; the same seed gives the same rows.
 
     Rows are numbered per class, quota draws are spread over tasks in blocks, each draw picks a
-    row number by hash, and one join fetches the rows. Picks are uniform, so no key is hot. The
-    draw number is returned as ``draw``.
+    row number by hash, and one join fetches the rows. Picks are uniform, so no key is hot. ``draw``
+    numbers the result densely from 1: a class starts where the quotas before it end.
     """
     labelled = df.filter(F.col(label).isNotNull())
     numbered = number_rows(labelled, key, "__row", within=[label])
-    quota = class_quota(df, label, size, balanced).filter(F.col("quota") > 0)
+    classes = earlier([], label)
+    quota = class_quota(df, label, size, balanced).withColumn(
+        "__start", F.coalesce(F.sum("quota").over(classes), F.lit(0))
+    )
     # The number of partitions is given, since adaptive execution would pack these short rows into
     # one task before they unfold into draws.
-    blocks = quota.select(
-        F.col(label).alias("__class"),
-        F.col("rows").alias("__rows"),
-        "quota",
-        F.explode(
-            F.sequence(
-                F.lit(0), F.floor((F.col("quota") - 1) / DRAWS_PER_BLOCK).cast("int")
-            )
-        ).alias("__block"),
-    ).repartition(slice_total(df), "__class", "__block")
+    last_block = F.floor((F.col("quota") - 1) / DRAWS_PER_BLOCK).cast("int")
+    blocks = (
+        quota.filter(F.col("quota") > 0)
+        .select(
+            F.col(label).alias("__class"),
+            F.col("rows").alias("__rows"),
+            "quota",
+            "__start",
+            F.explode(F.sequence(F.lit(0), last_block)).alias("__block"),
+        )
+        .repartition(slice_total(df), "__class", "__block")
+    )
     first = F.col("__block").cast("bigint") * DRAWS_PER_BLOCK
-    draws = blocks.select(
-        "__class",
-        "__rows",
-        F.explode(
-            F.sequence(first, F.least(first + DRAWS_PER_BLOCK, F.col("quota")) - 1)
-        ).alias("draw"),
-    ).withColumn(
-        "__pick", F.pmod(F.xxhash64("__class", "draw", F.lit(seed)), F.col("__rows")) + 1
+    last = F.least(first + DRAWS_PER_BLOCK, F.col("quota")) - 1
+    picks = F.pmod(F.xxhash64("__class", "__draw", F.lit(seed)), F.col("__rows")) + 1
+    draws = (
+        blocks.withColumn("__draw", F.explode(F.sequence(first, last)))
+        .withColumn("__pick", picks)
+        .select("__class", "__pick", (F.col("__start") + F.col("__draw") + 1).alias("draw"))
     )
     return draws.join(
         numbered,
@@ -65,8 +68,14 @@ def resample(
     ).select(*df.columns, "draw")
 
 
+def draw_as_key(drawn: DataFrame, old_key: str, name: str) -> DataFrame:
+    """Drop the source key of a resample; the draw, dense already, becomes the key."""
+    kept = [c for c in drawn.columns if c not in (old_key, name, "draw")]
+    return drawn.select(F.col("draw").alias(name), *kept)
+
+
 def replace_key(df: DataFrame, old_key: str, name: str, unique_key: list[str]) -> DataFrame:
-    """Drop the source key and number the rows densely from 1."""
-    renumbered = number_rows(df, unique_key, f"__{name}")
-    kept = [c for c in df.columns if c not in (old_key, name, "draw")]
-    return renumbered.select(F.col(f"__{name}").alias(name), *kept)
+    """Drop the source key of any table and number the rows densely from 1."""
+    renumbered = number_rows(df, unique_key, "__number")
+    kept = [c for c in df.columns if c not in (old_key, name)]
+    return renumbered.select(F.col("__number").alias(name), *kept)

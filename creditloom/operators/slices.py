@@ -95,8 +95,13 @@ def range_slices(df: DataFrame, *order: Column) -> DataFrame:
 
 
 def earlier(by: list[str], order: str):
-    """Window over all rows of a group before the current one."""
-    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    """Window over all rows of a group (of the whole, if ``by`` is empty) before the current one."""
+    return Window.partitionBy(*(by or [F.lit(1)])).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def so_far(window):
+    """The rows of ``window`` up to the current one."""
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def number_rows(df: DataFrame, unique_key: list[str], name: str, within: list[str] | None = None):
@@ -116,8 +121,7 @@ def number_rows(df: DataFrame, unique_key: list[str], name: str, within: list[st
         .agg(F.count("*").alias("__n"))
         .withColumn(
             "__shift",
-            F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            - F.col("__n"),
+            F.sum("__n").over(so_far(order)) - F.col("__n"),
         )
         .drop("__n")
     )

@@ -14,6 +14,7 @@ from creditloom.operators.slices import (
     largest_group,
     lookup,
     range_slices,
+    so_far,
 )
 from creditloom.vocabulary import COMPOSITION_FLOOR, COMPOSITION_SPAN
 
@@ -33,13 +34,12 @@ def running(
 
 def _running_in_groups(df, key, order, value, averaged, digits):
     group = Window.partitionBy(key).orderBy(*order)
-    so_far = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     previous = F.lag(value).over(group)
     return df.withColumns(
         {
             "previous": previous,
             "change": F.col(value) - previous,
-            "running_avg": steady_round(F.avg(averaged).over(so_far), digits),
+            "running_avg": steady_round(F.avg(averaged).over(so_far(group)), digits),
         }
     )
 
@@ -71,13 +71,12 @@ def running_sliced(df, key, order, value, averaged, digits=4):
     ).filter(F.col("__from").isNotNull())
 
     group = Window.partitionBy("slice", key).orderBy(*order)
-    so_far = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = sliced.withColumns(
         {
             "__row": F.row_number().over(group),
             "__prev": F.lag(value).over(group),
-            "__run": F.sum(averaged).over(so_far),
-            "__cnt": F.count(averaged).over(so_far),
+            "__run": F.sum(averaged).over(so_far(group)),
+            "__cnt": F.count(averaged).over(so_far(group)),
         }
     )
     joined = lookup(inside, carried, [key, "slice"], small=True)
@@ -119,7 +118,7 @@ def rank_in_group_sliced(
         group, "slice", F.sum("__rows").over(earlier([group], "slice")).alias("__before")
     ).filter(F.col("__before").isNotNull())
     inside = Window.partitionBy("slice", group).orderBy(F.col(value).desc_nulls_last())
-    larger = F.sum("__n").over(inside) - F.col("__n")
+    larger = F.sum("__n").over(so_far(inside)) - F.col("__n")
     ranks = lookup(
         sliced.withColumn("__larger", larger), shifts, [group, "slice"], small=True
     ).select(

@@ -526,7 +526,7 @@ def _resampled(spark, sf):
     clients = credit_wide(spark, sf).select("id", "limit_bal", "sex", "education", "age", TARGET)
     size = _GROWTH * table(spark, sf, "customer").count()
     drawn = Y.resample(clients, ["id"], TARGET, size, _SEED)
-    return Y.replace_key(drawn, "id", "id", [TARGET, "draw"])
+    return Y.draw_as_key(drawn, "id", "id")
 
 
 @query("stratified_resample")
@@ -572,3 +572,21 @@ def surrogate_ids(spark, sf):
         F.count_distinct("id").alias("distinct_ids"),
         F.count("*").alias("rows"),
     )
+
+
+@query(
+    "surrogate_ids_of_table",
+    "SELECT CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS distinct_ids, "
+    "count(*) AS rows, CAST(sum(o_totalprice > 0) AS BIGINT) AS priced FROM orders",
+)
+def surrogate_ids_of_table(spark, sf):
+    """New dense ids for a table that has a key but no dense one."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    fresh = Y.replace_key(orders, "o_orderkey", "id", ["o_orderkey"])
+    return fresh.agg(
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.count_distinct("id").alias("distinct_ids"),
+        F.count("*").alias("rows"),
+        F.count_if(F.col("o_totalprice") > 0).alias("priced"),
+    )

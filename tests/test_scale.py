@@ -127,8 +127,11 @@ def test_resample_meets_its_quota_and_repeats(spark, skewed, monkeypatch):
     assert drawn.select("n").distinct().count() > 1500  # spread over the source rows
     even = Y.class_quota(df, "label", 4001, balanced=True)
     assert {r.quota for r in even.collect()} == {2000}
-    fresh = Y.replace_key(drawn, "n", "id", ["label", "draw"])
+    fresh = Y.draw_as_key(drawn, "n", "id")
     assert "n" not in fresh.columns and "draw" not in fresh.columns
+    assert fresh.filter("label = 1").agg(F.min("id")).first()[0] == 3201
+    renumbered = Y.replace_key(skewed, "n", "id", ["n"])
+    assert renumbered.columns[0] == "id" and "n" not in renumbered.columns
     assert fresh.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first() == (1, 4000, 4000)
 
 
@@ -148,6 +151,18 @@ def test_latest_keeps_one_row_per_key(skewed):
     assert same(got, want)
 
 
+def test_orphans_are_counted_before_the_join(skewed):
+    dim = skewed.select("key").filter("key <> 1").distinct()
+    found = J.orphan_rows(skewed, dim, "key")
+    assert found.first().violations == skewed.filter("key = 1").count()
+    optimized = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {
+        word: min(i for i, line in enumerate(optimized) if word in line)
+        for word in ("Join LeftOuter", "Aggregate [key")
+    }
+    assert depth["Join LeftOuter"] < depth["Aggregate [key"]
+
+
 def test_dimension_join_with_and_without_broadcast(skewed, monkeypatch):
     dim = skewed.groupBy("key").agg(F.max("at").alias("top"))
     small = J.dimension_join(skewed, dim, ["key"])

@@ -7,6 +7,7 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from creditloom.queries import catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="given tables are not here")
@@ -17,7 +18,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.llm import line_dedup
+from creditloom.llm import decontaminate, line_dedup, pii
 from creditloom.llm.common import read
 from creditloom.llm.registry import query
 
@@ -36,3 +36,118 @@ def line_dedup_documents(spark, sf_dir):
     return out.select(
         "doc.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept"), 256).alias("kept_sha256")
     )
+
+
+def _gap_sql(kind: str, pattern: str, sure: str, near: str, score: float | None) -> str:
+    """Spans of one kind: gaps and matches alternate, so running lengths give the places."""
+    keep = f"({score} + CASE WHEN regexp_matches(right(b, 40), '{near}') OR regexp_matches(left(a, 40), '{near}') THEN 0.4 ELSE 0 END) >= 0.7" if score else "true"
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, s, s + length(h) AS e FROM (
+    SELECT doc_id, h, b, a,
+           sum(length(b) + length(h)) OVER (PARTITION BY doc_id ORDER BY i) - length(h) AS s
+    FROM (SELECT doc_id, unnest(hits) AS h, unnest(gaps[1:len(hits)]) AS b, unnest(gaps[2:]) AS a,
+                 unnest(range(len(hits))) AS i
+          FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS hits,
+                       string_split_regex(t, '{pattern}') AS gaps FROM d))
+  ) WHERE {sure} AND {keep}"""
+
+
+_LUHN = """length(regexp_replace(h, '[^0-9]', '', 'g')) BETWEEN 16 AND 19 AND
+    list_sum(list_transform(string_split(reverse(regexp_replace(h, '[^0-9]', '', 'g')), ''), lambda c, i:
+      CASE WHEN i % 2 = 1 THEN c::int ELSE c::int * 2 - CASE WHEN c::int > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+_MOD97 = """list_reduce(list_prepend(0, list_transform(string_split(
+      regexp_replace(h, ' ', '', 'g')[5:] || regexp_replace(h, ' ', '', 'g')[1:4], ''),
+      lambda c: CASE WHEN ascii(c) >= 65 THEN ascii(c) - 55 ELSE ascii(c) - 48 END)),
+    lambda x, y: CASE WHEN y >= 10 THEN (x * 100 + y) % 97 ELSE (x * 10 + y) % 97 END) = 1"""
+
+
+def _near(kind: str) -> str:
+    return f"(?i)(^|[^a-z])({pii.WORDS[kind]})([^a-z]|$)"
+
+
+PII_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS (
+{" UNION ALL ".join((
+    _gap_sql("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+", "true", "", None),
+    _gap_sql("ip", "[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+",
+             f"regexp_full_match(h, '{pii.OCTET}[.]{pii.OCTET}[.]{pii.OCTET}[.]{pii.OCTET}')", "", None),
+    _gap_sql("card", "[0-9](?:[ -]?[0-9])+", _LUHN, "", None),
+    _gap_sql("phone", "[+][0-9][ ().0-9-]+[0-9]",
+             "length(regexp_replace(h, '[^0-9]', '', 'g')) BETWEEN 8 AND 15", "", None),
+    _gap_sql("iban", pii.IBAN, _MOD97, _near("iban"), 0.9),
+    _gap_sql("ssn", pii.SSN, "true", _near("ssn"), 0.4),
+))}
+),
+o AS (SELECT doc_id, kind, list_position(['email', 'ip', 'card', 'phone', 'iban', 'ssn'], kind) AS k, s,
+             kind || ':' || s::bigint || ':' || e::bigint AS span FROM m)
+SELECT d.doc_id,
+       count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+       count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+       sha256(coalesce(string_agg(span, ',' ORDER BY k, s) FILTER (k <= 4), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY k, s), '') AS spans
+FROM d LEFT JOIN o ON o.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+
+@query("op7_pii", PII_SQL)
+def pii_documents(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+
+    def joined(of):
+        return F.array_join(F.transform(of, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    out = pii.find_spans(docs).select("doc.doc_id", "spans")
+    return out.select(
+        "doc_id",
+        *(count(k.name) for k in pii.KINDS if k.base),
+        F.sha2(joined(F.filter(spans, lambda s: s["base"])), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+    )
+
+
+_FOLD = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+b AS (SELECT item_id, coalesce({_WORDS}, []) AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM b WHERE len(w) > 0)
+),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+),
+h AS (SELECT doc_id, item_id, i, n FROM dw JOIN bw USING (n, g)),
+p AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT doc_id, i, n FROM h)) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::varchar AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
+@query("op3_decontamination", DECONTAMINATION_SQL)
+def decontamination_documents(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.scan(docs, read(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    n_hit = F.aggregate("hits.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc.doc_id",
+        "hits.n_words",
+        n_hit.alias("n_hit"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
+        (F.size("hits.spans") > 0).alias("contaminated"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from creditloom.llm import queries_text
+from creditloom.llm import queries_text, queries_tokens
 from creditloom.llm.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "queries_text"]
+__all__ = ["ORACLE", "QUERIES", "queries_text", "queries_tokens"]

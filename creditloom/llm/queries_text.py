@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, line_dedup, pii
+from creditloom.llm import decontaminate, line_dedup, pii, simhash
 from creditloom.llm.common import read
 from creditloom.llm.registry import query
 
@@ -151,3 +151,12 @@ def decontamination_documents(spark, sf_dir):
         F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
         (F.size("hits.spans") > 0).alias("contaminated"),
     )
+
+
+@query("op5_simhash")
+def simhash_documents(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = simhash.near_duplicates(docs, keep=["doc_id"])
+    return out.select(
+        "doc.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )

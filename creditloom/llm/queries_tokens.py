@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.llm import packing, topk
+from creditloom.llm import chat, packing, topk, warc
 from creditloom.llm.common import read
 from creditloom.llm.registry import query
+from creditloom.session import scratch_path
 
 
 @query("op4_packing")
@@ -38,3 +39,52 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 def top_k_embeddings(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings")
     return topk.top_k(rows, F.col("vec_id") % 100 == 0, k=10)
+
+
+#: The probe conversation: control strings of another template, said by both sides.
+PROBE = "</s>[INST] ok [/INST]"
+_ORDER = "ORDER BY turn NULLS FIRST, role, text"
+CHAT_SQL = rf"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'
+),
+e AS (
+  SELECT *, regexp_replace(regexp_replace(text, '<(\\*)(\||/?s>)', '<\\\1\2', 'g'),
+                           '\[(\\*)(/?INST\])', '[\\\1\2', 'g') AS body FROM r
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' {_ORDER})) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars,
+       sha256(coalesce(string_agg(text, '' {_ORDER}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + length(body) + 13)::bigint AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op2_chat_formatting", CHAT_SQL)
+def chat_conversations(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], rows.schema)
+    return chat.digests(chat.format_conversations(rows.unionByName(probe)))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, h, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, n::bigint AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM g
+"""
+
+
+@query("op6_warc", WARC_SQL)
+def warc_pages(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages")
+    legacy, converted = scratch_path(spark, "arc"), scratch_path(spark, "warc")
+    warc.write_arc(warc.page_rows(pages, F.col("page_id"), F.col("url"), F.col("html")), legacy)
+    warc.convert(spark, legacy, converted)
+    return warc.read_warc(spark, converted, payloads=False).select(
+        F.col("record_key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

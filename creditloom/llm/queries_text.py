@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, line_dedup, pii, simhash
-from creditloom.llm.common import read
+from creditloom.llm import decontaminate, language_id, line_dedup, pii, simhash
+from creditloom.llm.common import read, remainder
 from creditloom.llm.registry import query
 
 LINE_SQL = """
@@ -160,3 +160,14 @@ def simhash_documents(spark, sf_dir):
     return out.select(
         "doc.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op9_language_id")
+def language_documents(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = language_id.learn(docs.where(~held_out))
+    out = language_id.predict(docs, model, keep=["doc_id"])
+    return out.select(
+        "doc.doc_id", (remainder(F.col("doc.doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score"
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, language_id, line_dedup, pii, simhash
+from creditloom.llm import decontaminate, language_id, line_dedup, pii, simhash, toxicity
 from creditloom.llm.common import read, remainder
 from creditloom.llm.registry import query
 
@@ -171,3 +171,16 @@ def language_documents(spark, sf_dir):
     return out.select(
         "doc.doc_id", (remainder(F.col("doc.doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op1_toxicity")
+def toxicity_documents(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) != 0)
+    out = toxicity.score(docs, toxicity.fit(docs, labels), keep=["doc_id"])
+    return out.select(
+        "doc.doc_id",
+        (remainder(F.col("doc.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

@@ -1,8 +1,8 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
 Voters are lexicons and patterns. Besides a small fixed lexicon, lexicons are mined from labelled rows:
-words, and beginnings of words, that toxic texts have and others have not, dealt out over ``GROUPS``
-voters by rank. A voter fires on a text or doesn't.
+words, and stems by how often words begin with them, that toxic texts have and others have not, dealt
+out over ``GROUPS`` voters by rank. A voter fires on a text or doesn't.
 
 The label model says how often each voter fires on either class. It is estimated by expectation
 maximisation over the counts of vote patterns of all documents, with the vote patterns of labelled rows
@@ -45,6 +45,8 @@ LEAST = 3
 SHARE = 0.6
 #: Lengths of word beginnings that can be entries.
 STEMS = (4, 5, 6)
+#: Shares of a text's words from which on a stem is there often, and very often.
+OFTEN = (0.005, 0.02)
 ROUNDS = 50
 #: Words whose entries a worker remembers.
 REMEMBERED = 400_000
@@ -62,8 +64,22 @@ PATTERNS = ("insult", "masked", "shouting", "exclaiming")
 VOTERS = 2 + GROUPS + len(PATTERNS)
 
 
-def entries_of(word: str) -> list[str]:
-    return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
+def stems_of(word: str) -> list[str]:
+    return [word[:n] for n in STEMS if len(word) > n]
+
+
+def stem_entries(stem: str, times: int, words: int) -> list[str]:
+    """Entries of a stem that ``times`` of ``words`` words begin with: it is there, often, very often."""
+    often = [times >= max(2, share * words) for share in OFTEN]
+    return [stem + "*" * i for i, yes in enumerate([True, *often], 1) if yes]
+
+
+def entries_of(words: list[str]) -> set[str]:
+    counts, stems = Counter(words), Counter()
+    for word, n in counts.items():
+        for stem in stems_of(word):
+            stems[stem] += n
+    return {*counts, *(e for stem, n in stems.items() for e in stem_entries(stem, n, len(words)))}
 
 
 def patterns_of(text: str) -> list[bool]:
@@ -89,6 +105,7 @@ class Lexicon:
         self.numbers = {w: i for i, w in enumerate(fixed)}
         for entry in self.mined:
             self.numbers.setdefault(entry, len(self.numbers))
+        self.stems = {e.rstrip("*") for e in self.mined if e.endswith("*")}
         self.voters = np.array(
             [i // len(MILD) for i in range(len(fixed))]
             + [2 + i % GROUPS for i in range(len(self.numbers) - len(fixed))]
@@ -109,13 +126,21 @@ class Reader:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known, numbers = self.known, self.lexicon.numbers
+        words = _WORD.findall(text.lower())
         found: set[int] = set()
-        for word in set(_WORD.findall(text.lower())):
+        stems: Counter = Counter()
+        for word, n in Counter(words).items():
             has = known.get(word)
             if has is None:
-                has = known[word] = tuple(numbers[e] for e in entries_of(word) if e in numbers)
+                useful = tuple(s for s in stems_of(word) if s in self.lexicon.stems)
+                has = known[word] = (numbers[word], useful) if word in numbers else useful and (None, useful)
             if has:
-                found.update(has)
+                if has[0] is not None:
+                    found.add(has[0])
+                for stem in has[1]:
+                    stems[stem] += n
+        for stem, n in stems.items():
+            found.update(numbers[e] for e in stem_entries(stem, n, len(words)) if e in numbers)
         found.update(len(numbers) + i for i, yes in enumerate(patterns_of(text)) if yes)
         return sorted(found)
 
@@ -246,8 +271,7 @@ def _mine(sample: DataFrame, entries: int) -> list[str]:
                 part = batch.slice(at, _CHUNK)
                 found = (Counter(), Counter())
                 for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    words = set(_WORD.findall((text or "").lower()))
-                    found[toxic].update({e for w in words for e in entries_of(w)})
+                    found[toxic].update(entries_of(_WORD.findall((text or "").lower())))
                 names = list(found[0] | found[1])
                 yield pa.RecordBatch.from_arrays(
                     [

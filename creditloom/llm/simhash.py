@@ -184,6 +184,18 @@ def links(fps: DataFrame, reach: int = REACH, dense: int = DENSE) -> DataFrame:
     return pairs.unionByName(stars).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
 
 
+def _rows(docs: DataFrame, text_col: str, keep: list[str] | None) -> DataFrame:
+    """Rows with fingerprint and a number of their own, written so that both stay what they are."""
+    found = fingerprints(docs, text_col, keep).withColumn("row", F.monotonically_increasing_id())
+    return materialise(found, "fingerprints")
+
+
+def _roots(fps: DataFrame, reach: int) -> DataFrame:
+    """Of each distinct fingerprint the smallest one that it reaches."""
+    roots = components(links(fps.select("fp"), reach))
+    return fps.join(roots, fps.fp == roots.node, "left").select(*fps.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -192,14 +204,21 @@ def near_duplicates(
     reach: int = REACH,
 ) -> DataFrame:
     """Per input row: ``doc`` (the row, or its columns ``keep``), ``fp`` and ``component_id``."""
-    rows = materialise(fingerprints(docs, text_col, keep), "fingerprints")
-    heads = materialise(
-        rows.groupBy("fp").agg(F.min(F.col("doc")[id_col]).alias("head")), "fingerprint-heads"
-    )
-    roots = components(links(heads.select("fp"), reach))
-    linked = heads.join(roots, heads.fp == roots.node, "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "head"
-    )
+    rows = _rows(docs, text_col, keep)
+    heads = rows.groupBy("fp").agg(F.min(F.col("doc")[id_col]).alias("head"))
+    linked = _roots(materialise(heads, "fingerprint-heads"), reach)
     named = linked.groupBy("root").agg(F.min("head").alias("component_id"))
     members = linked.select("fp", "root").join(named, "root").select("fp", "component_id")
     return rows.join(members, "fp").select("doc", "fp", "component_id")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH
+) -> DataFrame:
+    """One row of each component: that with the smallest id, and one of several such rows."""
+    rows = _rows(docs, text_col, None)
+    doc_id = F.col("doc")[id_col]
+    first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("row")))
+    heads = materialise(rows.groupBy("fp").agg(first.alias("head")), "fingerprint-heads")
+    kept = _roots(heads, reach).groupBy("root").agg(F.min("head").alias("head")).select(F.col("head.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")

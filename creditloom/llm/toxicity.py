@@ -8,7 +8,7 @@ The label model says how often each voter fires on either class. It is estimated
 maximisation over the counts of vote patterns of all documents, with the vote patterns of labelled rows
 as an anchor, so that the class it finds is the labelled one. Voters that agree beyond what the classes
 explain are counted as less than one voter each: the correlations left inside the classes give the
-weights of a second estimation. The posterior labels then train a logistic classifier over the mined and
+weights of the next estimation. The posterior labels then train a logistic classifier over the mined and
 fixed entries and the pattern voters, and it scores whole texts.
 
 What is learned from labels takes a bounded sample of about ``SAMPLE`` labelled rows, chosen by a hash
@@ -47,7 +47,9 @@ SHARE = 0.6
 STEMS = (4, 5, 6)
 #: Shares of a text's words from which on a stem is there often, and very often.
 OFTEN = (0.005, 0.02)
-ROUNDS = 50
+#: Estimations of the label model, each with the correlations of the last, and their rounds.
+PASSES = 3
+ROUNDS = 20
 #: Words whose entries a worker remembers.
 REMEMBERED = 400_000
 _CHUNK = 500
@@ -196,33 +198,35 @@ def fit_label_model(
     # the labelled rows weigh as much as all others together
     scale = counts.sum() / total if len(anchor) else 0.0
     model = LabelModel(prior, np.tile([0.02, 0.5], (VOTERS, 1)), np.ones(VOTERS))
-    for correlated in (False, True):
-        if correlated:
-            model.weights = _weights(votes, counts, model)
-        for round_ in range(ROUNDS):
-            if round_ or correlated or not len(anchor):
-                toxic = counts * model.posterior(votes)
-            else:
-                toxic = np.zeros(len(counts))
-            clean = counts - toxic if round_ or correlated or not len(anchor) else np.zeros(len(counts))
-            fires = []
-            for share, c in ((clean, 0), (toxic, 1)):
-                own = scale * times * (label == c)
-                # as if one clean and one toxic text more had been seen, with half a vote each
-                fires.append((share @ votes + own @ known + 0.5) / (share.sum() + own.sum() + 1.0))
-            model.fires = np.clip(np.array(fires).T, 1e-5, 1 - 1e-5)
+    own = scale * times
+
+    def estimate(toxic: np.ndarray, clean: np.ndarray) -> None:
+        fires = []
+        for share, mine in ((clean, own * (label == 0)), (toxic, own * (label == 1))):
+            # as if one clean and one toxic text more had been seen, with half a vote each
+            fires.append((share @ votes + mine @ known + 0.5) / (share.sum() + mine.sum() + 1.0))
+        model.fires = np.clip(np.array(fires).T, 1e-5, 1 - 1e-5)
+
+    if len(anchor):  # the labelled rows alone to begin with
+        estimate(np.zeros(len(counts)), np.zeros(len(counts)))
+        model.weights = _weights(known, times, label.astype(float))
+    for _ in range(PASSES):
+        for _ in range(ROUNDS):
+            toxic = counts * model.posterior(votes)
+            estimate(toxic, counts - toxic)
+        model.weights = _weights(votes, counts, model.posterior(votes))
     return model
 
 
-def _weights(votes: np.ndarray, counts: np.ndarray, model: LabelModel) -> np.ndarray:
+def _weights(votes: np.ndarray, counts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """One over the sum of a voter's correlations inside the classes, its own 1 included."""
-    toxic = model.posterior(votes)
     shared = np.zeros((VOTERS, VOTERS))
-    for c, weight in ((0, counts * (1 - toxic)), (1, counts * toxic)):
-        off = votes - model.fires[:, c]
-        cov = (off * weight[:, None]).T @ off / max(weight.sum(), 1e-9)
-        sd = np.sqrt(np.maximum(np.diag(cov), 1e-12))
-        shared += weight.sum() / counts.sum() * np.clip(cov / np.outer(sd, sd), -1, 1)
+    for weight in (counts * (1 - toxic), counts * toxic):
+        if weight.sum() > 0:
+            off = votes - weight @ votes / weight.sum()
+            cov = (off * weight[:, None]).T @ off / weight.sum()
+            sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))  # a voter that never fires goes with no other
+            shared += weight.sum() / counts.sum() * np.clip(cov / np.outer(sd, sd), -1, 1)
     np.fill_diagonal(shared, 1)
     return 1 / np.maximum(shared, 0).sum(axis=1)
 

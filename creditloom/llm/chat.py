@@ -37,7 +37,7 @@ LEARNED_ROLE = "assistant"
 # Control strings that never stand unescaped inside a text. The first one opens all marks
 # of this template; the others are those of common templates.
 _CONTROL = re.compile(r"(<)(\\*)(\||/?s>)|(\[)(\\*)(/?INST\])")
-_ESCAPED = re.compile(r"(<|\[)\\(\\*)(\||/?s>|/?INST\])")
+_ESCAPED = re.compile(r"(<)\\(\\*)(\||/?s>)|(\[)\\(\\*)(/?INST\])")
 _TURN = re.compile(r"<\|(?!end\|>)(.*?)\|>\n(.*?)<\|end\|>\n", re.S)
 
 
@@ -46,7 +46,7 @@ def escape(text: str) -> str:
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(lambda m: m[1] + m[2] + m[3], text)
+    return _ESCAPED.sub(lambda m: f"{m[1] or m[4]}{m[2] or m[5] or ''}{m[3] or m[6]}", text)
 
 
 def escape_role(role: str) -> str:

@@ -5,32 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.operators.slices import deal_join
-
-# Rows up to which a dimension is sent to every executor.
-BROADCAST_ROWS = 100_000
-
-
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Checks the size by reading at most ``rows + 1`` rows."""
-    return df.limit(rows + 1).count() <= rows
-
 
 def dimension_join(
     fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left", bounded: bool = False
 ) -> DataFrame:
     """Join a fact onto a dimension with unique keys.
 
-    A dimension of bounded or checked size is broadcast, so few hot keys (a fact has a handful of
-    months) do not decide how many tasks work. A larger one is joined by key with the rows of hot
-    keys dealt over several tasks. A NULL key in the fact finds nothing.
+    A dimension of bounded size (a calendar) is broadcast, so few hot keys do not decide how many tasks
+    work. Any other is left to adaptive execution, which broadcasts by the bytes it has measured and
+    splits the fact's hot keys where it joins by key. A NULL key in the fact finds nothing.
     """
-    if bounded or fits_broadcast(dim):
-        return fact.join(F.broadcast(dim), keys, how)
-    known = dim.dropna(subset=keys)
-    joined = deal_join(fact, known, keys, how)
-    rest = [c for c in fact.columns if c not in keys]
-    return joined.select(*keys, *rest, *[c for c in dim.columns if c not in keys])
+    return fact.join(F.broadcast(dim) if bounded else dim, keys, how)
 
 
 def orphan_rows(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

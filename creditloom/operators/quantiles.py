@@ -2,72 +2,138 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators.slices import earlier, range_slices, so_far
+from creditloom.operators.slices import so_far
 
+# Rank error of the sketch that brackets a wanted rank is rows / ACCURACY.
+ACCURACY = 20_000
+# Values of a bracket that one task sorts; a bracket with more is narrowed again.
+BRACKET_ROWS = 5_000_000
 
-def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(name, value, n) for all columns: one scan, combined on the map side."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    return (
-        df.select(F.inline(pairs))
-        .filter(F.col("value").isNotNull())
-        .groupBy("name", "value")
-        .agg(F.count("*").alias("n"))
-    )
+
+@dataclass
+class Wanted:
+    """One quantile: the ranks it lies between, and the values that bracket them (None: no bound)."""
+
+    name: str
+    prob: float
+    rows: int
+    low: float | None = None
+    high: float | None = None
+    # whether the next bracket keeps its old bound on either side
+    keeps: tuple[bool, bool] = (True, True)
+
+    @property
+    def position(self) -> float:
+        return (self.rows - 1) * self.prob
+
+    def below(self) -> Column:
+        value = F.col(self.name).cast("double")
+        return F.lit(False) if self.low is None else value < self.low
+
+    def inside(self) -> Column:
+        value = F.col(self.name).cast("double")
+        inside = value.isNotNull()
+        if self.low is not None:
+            inside &= value >= self.low
+        return inside if self.high is None else inside & (value <= self.high)
+
+
+def _bracket(df: DataFrame, wanted: list[Wanted], counts: list[tuple[int, int]]) -> None:
+    """Narrow each bracket to a few of its own ranks around the wanted ones, by one aggregate."""
+    margin = 3 / ACCURACY
+    asked = []
+    for w, (below, inside) in zip(wanted, counts):
+        ranks = math.floor(w.position) - below, math.ceil(w.position) - below
+        low, high = (r / max(inside - 1, 1) for r in ranks)
+        probs = [F.lit(max(low - margin, 0.0)), F.lit(min(high + margin, 1.0))]
+        value = F.when(w.inside(), F.col(w.name).cast("double"))
+        asked.append(F.percentile_approx(value, F.array(*probs), ACCURACY))
+        w.keeps = (low - margin <= 0, high + margin >= 1)
+    found = df.agg(*[a.alias(f"q{i}") for i, a in enumerate(asked)]).first()
+    for w, (low, high) in zip(wanted, found):
+        no_low, no_high = w.keeps
+        w.low = w.low if no_low else low
+        w.high = w.high if no_high else high
+
+
+def _counts(df: DataFrame, wanted: list[Wanted]) -> list[tuple[int, int]]:
+    """Rows below and rows inside each bracket."""
+    parts = [F.count_if(f()) for w in wanted for f in (w.below, w.inside)]
+    row = df.agg(*[p.alias(f"n{i}") for i, p in enumerate(parts)]).first()
+    return list(zip(row[::2], row[1::2]))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
     """(name, prob, quantile) by linear interpolation between neighbouring ranks.
 
     The built-in exact ``percentile`` keeps every distinct value of a column in the buffer of one
-    task. Here the distinct values are sorted into slices across the cluster; the slice totals tell
-    which slices hold the wanted ranks, and only those are read again.
+    task. Here a sketch of bounded size gives two values that bracket each wanted rank; a second scan
+    counts the rows below and inside; only the values inside, a few in ten thousand, are grouped and
+    the rank is picked from them. A bracket that still holds too many distinct rows is narrowed again.
+    ``df`` is scanned a few times and should be a table. A column without values has no quantile.
     """
-    sliced = range_slices(value_counts(df, columns), F.col("name"), F.col("value"))
-
-    # One row per (column, slice), at most slices + columns rows, each with the wanted ranks that
-    # lie in it, counted from the start of the slice.
-    totals = sliced.groupBy("name", "slice").agg(F.sum("n").alias("rows"))
-    before = F.coalesce(F.sum("rows").over(earlier(["name"], "slice")), F.lit(0))
-    total = F.sum("rows").over(Window.partitionBy("name"))
-    placed = totals.select(
-        "name", "slice", "rows", before.alias("before"), total.alias("total")
+    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    wanted = [Wanted(c, float(p), sizes[c]) for c in columns for p in probs if sizes[c]]
+    if not wanted:
+        return df.sparkSession.createDataFrame([], "name string, prob double, quantile double")
+    counts = [(0, w.rows) for w in wanted]
+    while True:
+        before = counts
+        _bracket(df, wanted, counts)
+        counts = _counts(df, wanted)
+        for i, (w, (below, inside)) in enumerate(zip(wanted, counts)):
+            if below > math.floor(w.position) or below + inside <= math.ceil(w.position):
+                w.low = w.high = None  # the sketch was off: all values are inside then
+                counts[i] = (0, w.rows)
+        # a bracket that is one value doesn't get narrower, nor does it need to: values are grouped
+        wide = [
+            inside > BRACKET_ROWS and w.low != w.high and inside < was
+            for w, (_, inside), (_, was) in zip(wanted, counts, before)
+        ]
+        if not any(wide):
+            break
+    picked = F.array(
+        *[
+            F.when(
+                w.inside(),
+                F.struct(F.lit(i).alias("i"), F.col(w.name).cast("double").alias("value")),
+            )
+            for i, w in enumerate(wanted)
+        ]
     )
-    every = ", ".join(
-        f"struct({p}D AS prob, (total - 1) * {p}D AS position, {side}((total - 1) * {p}D) - before "
-        "AS rank)"
-        for p in map(float, probs)
-        for side in ("floor", "ceil")
+    values = (
+        df.select(F.inline(F.filter(picked, lambda x: x.isNotNull())))
+        .groupBy("i", "value")
+        .agg(F.count("*").alias("n"))
     )
-    wanted = placed.select(
-        "name",
-        "slice",
-        F.expr(f"filter(array({every}), w -> w.rank >= 0 AND w.rank < rows)").alias("wanted"),
-    ).filter(F.size("wanted") > 0)
-
-    # At most two ranks per column and probability lie in a slice worth reading.
-    inside = so_far(Window.partitionBy("name", "slice").orderBy("value"))
-    ranked = (
-        sliced.join(F.broadcast(wanted), ["name", "slice"])
-        .withColumn("last", F.sum("n").over(inside))
-        .select(
-            "name",
-            "value",
-            F.expr("inline(filter(wanted, w -> w.rank >= last - n AND w.rank < last))"),
-        )
+    spec = F.array(
+        *[
+            F.struct(
+                F.lit(w.name).alias("name"),
+                F.lit(w.prob).alias("prob"),
+                F.lit(below).cast("bigint").alias("below"),
+                F.lit(w.position).alias("position"),
+            )
+            for w, (below, _) in zip(wanted, counts)
+        ]
     )
-    # What is left is two rows per column and probability; one task finishes them.
-    low, high = F.min("value"), F.max("value")
-    share = F.first("position") - F.floor(F.first("position"))
+    last = F.sum("n").over(so_far(Window.partitionBy("i").orderBy("value"))) + F.col("w.below")
+    low, high = F.floor(F.col("w.position")), F.ceil(F.col("w.position"))
+    ranked = values.withColumn("w", F.get(spec, F.col("i"))).withColumn("last", last)
+    # a value holds the ranks from last - n up to last, counted from 0
+    holds = lambda rank: (rank >= F.col("last") - F.col("n")) & (rank < F.col("last"))
+    share = F.first("w.position") - F.floor(F.first("w.position"))
+    at = lambda rank: F.max(F.when(holds(rank), F.col("value")))
     return (
-        ranked.repartition(1)
-        .groupBy("name", "prob")
-        .agg((low + (high - low) * share).alias("quantile"))
+        ranked.where(holds(low) | holds(high))
+        .groupBy(F.col("w.name").alias("name"), F.col("w.prob").alias("prob"))
+        .agg((at(low) + (at(high) - at(low)) * share).alias("quantile"))
     )
 
 

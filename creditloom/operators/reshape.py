@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from creditloom.functions.scalars import month_key_of_text, month_of_text, observed, parse_number
+from creditloom.functions.scalars import month_key_of_text, observed, parse_number
 
 
 def unpivot_groups(
@@ -17,15 +18,14 @@ def unpivot_groups(
 
     ``groups`` maps a key value to the columns that hold its measures. Only the key is unfolded and
     each measure is picked by it, so there is neither a union of scans nor a shuffle, and a measure
-    nobody reads is pruned together with its columns (an array of structs would keep them all).
+    nobody reads is pruned together with its columns (an array of structs would keep them all). A
+    measure has the widest type of its columns: none is narrowed, and text does not mix with numbers.
     """
-    types = dict(df.dtypes)
     keys = F.array(*[F.lit(value) for value in groups])
     unfolded = df.withColumn(key, F.explode(keys))
 
     def picked(position: int) -> Column:
-        columns = [cols[position] for cols in groups.values()]
-        common = "double" if any(types[c] == "double" for c in columns) else types[columns[0]]
+        common = widest(df, [cols[position] for cols in groups.values()])
         arms = " ".join(
             f"WHEN {value} THEN CAST(`{cols[position]}` AS {common})"
             for value, cols in groups.items()
@@ -35,6 +35,18 @@ def unpivot_groups(
     return unfolded.select(*ids, key, *[picked(i).alias(m) for i, m in enumerate(measures)])
 
 
+def widest(df: DataFrame, columns: list[str]) -> str:
+    """The type that holds every value of the columns, as the analyzer's CASE would choose it."""
+    kinds = {df.schema[c].dataType for c in columns}
+    if len(kinds) == 1:
+        return kinds.pop().simpleString()
+    if not all(isinstance(k, T.NumericType) for k in kinds):
+        found = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
+        raise TypeError(f"no common type: {found}")
+    arms = " ".join(f"WHEN {i} THEN `{c}`" for i, c in enumerate(columns))
+    return df.select(F.expr(f"CASE 0 {arms} END AS v")).schema["v"].dataType.simpleString()
+
+
 def stack_sql(groups: Mapping[int, Sequence], types: Sequence[str]) -> str:
     """``stack`` call over the same groups; a position must hold one type, hence the casts."""
     rows = [
@@ -83,21 +95,19 @@ def macro_by_month(observations: DataFrame, series: Mapping[str, str]) -> DataFr
 def macro_spine(
     observations: DataFrame, calendar: DataFrame, series: Mapping[str, str]
 ) -> DataFrame:
-    """Every month of ``calendar``: the last observation of each series for that month number.
+    """Every month of ``calendar``: the last observation of each series within that month.
 
-    Years of the observations are not looked at, as the spine stands for one year.
+    Observations of other years, earlier or later, do not stand in for a month without one.
     """
     number = parse_number(F.col("value"))
     valued = observations.filter(number.isNotNull() & F.col("series_id").isin(*series))
     # ``max_by`` skips rows without an order, so one aggregate both picks the last observation of
-    # each series and turns the series into columns. It leaves at most twelve rows.
+    # each series and turns the series into columns. It leaves one row per month.
     picks = [
         F.max_by(number, F.when(F.col("series_id") == s, F.col("obs_date"))).alias(column)
         for s, column in series.items()
     ]
-    wide = valued.groupBy(month_of_text(F.col("obs_date")).alias("month")).agg(*picks)
-    return (
-        calendar.select("date_key", "month")
-        .join(F.broadcast(wide), "month", "left")
-        .select("date_key", *series.values())
-    )
+    months = calendar.select("date_key")
+    key = month_key_of_text(F.col("obs_date")).alias("date_key")
+    wide = valued.groupBy(key).agg(*picks).join(F.broadcast(months), "date_key", "left_semi")
+    return months.join(F.broadcast(wide), "date_key", "left").select("date_key", *series.values())

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators.slices import earlier, number_rows, slice_total
+from creditloom.operators.slices import HOT_ROWS, earlier, number_rows
+from creditloom.session import materialise
 
 # Draws in one block; blocks are spread over the tasks.
 DRAWS_PER_BLOCK = 100_000
@@ -31,8 +32,10 @@ def resample(
     """Draw each class to its quota with replacement; the same seed gives the same rows.
 
     Rows are numbered per class, quota draws are spread over tasks in blocks, each draw picks a
-    row number by hash, and one join fetches the rows. Picks are uniform, so no key is hot. ``draw``
-    numbers the result densely from 1: a class starts where the quotas before it end.
+    row number by hash, and one join fetches the rows. Picks are uniform inside a class; a row of a
+    rare class is drawn quota / rows times, so it is repeated once per HOT_ROWS draws of it and the
+    draws are dealt over the copies. ``draw`` numbers the result densely from 1: a class starts where
+    the quotas before it end.
     """
     labelled = df.filter(F.col(label).isNotNull())
     numbered = number_rows(labelled, key, "__row", within=[label])
@@ -40,6 +43,7 @@ def resample(
     quota = class_quota(df, label, size, balanced).withColumn(
         "__start", F.coalesce(F.sum("quota").over(classes), F.lit(0))
     )
+    quota = materialise(quota.withColumn("__copies", _copies()), "quota")  # a row per class
     # The number of partitions is given, since adaptive execution would pack these short rows into
     # one task before they unfold into draws.
     last_block = F.floor((F.col("quota") - 1) / DRAWS_PER_BLOCK).cast("int")
@@ -50,9 +54,10 @@ def resample(
             F.col("rows").alias("__rows"),
             "quota",
             "__start",
+            "__copies",
             F.explode(F.sequence(F.lit(0), last_block)).alias("__block"),
         )
-        .repartition(slice_total(df), "__class", "__block")
+        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__class", "__block")
     )
     first = F.col("__block").cast("bigint") * DRAWS_PER_BLOCK
     last = F.least(first + DRAWS_PER_BLOCK, F.col("quota")) - 1
@@ -60,14 +65,30 @@ def resample(
     draws = (
         blocks.withColumn("__draw", F.explode(F.sequence(first, last)))
         .withColumn("__pick", picks)
-        .select("__class", "__pick", (F.col("__start") + F.col("__draw") + 1).alias("draw"))
+        .select(
+            "__class",
+            "__pick",
+            F.pmod("__draw", F.col("__copies")).alias("__copy"),
+            (F.col("__start") + F.col("__draw") + 1).alias("draw"),
+        )
+    )
+    copies = quota.select(F.col(label).alias("__class"), "__copies")
+    repeated = numbered.join(F.broadcast(copies), numbered[label] == copies["__class"]).select(
+        *numbered.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__copies") - 1)).alias("__n")
     )
     return draws.join(
-        numbered,
-        (F.col("__class") == F.col(label)) & (F.col("__pick") == F.col("__row")),
+        repeated,
+        (F.col("__class") == F.col(label))
+        & (F.col("__pick") == F.col("__row"))
+        & (F.col("__copy") == F.col("__n")),
     ).select(*df.columns, "draw")
 
 
+def _copies():
+    """Copies of each row of a class, so that one copy is drawn about HOT_ROWS times at most."""
+    return F.greatest(F.ceil(F.col("quota") / F.col("rows") / HOT_ROWS), F.lit(1)).cast("bigint")
+
+
 def draw_as_key(drawn: DataFrame, old_key: str, name: str) -> DataFrame:
     """Drop the source key of a resample; the draw, dense already, becomes the key."""
     kept = [c for c in drawn.columns if c not in (old_key, name, "draw")]

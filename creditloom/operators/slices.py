@@ -21,17 +21,21 @@ from pyspark.sql import functions as F
 
 from creditloom.session import materialise
 
-# Rows of one group that a single task may sort; larger groups go through range slices.
-GROUP_ROWS = 2_000_000
-# A key is hot if it holds more than one row in HOT_SHARE, and at least HOT_ROWS.
+# Rows of a range slice, about: more rows make more slices.
+SLICE_ROWS = 1_000_000
+# A key is hot if it holds more than one row in HOT_SHARE, and more than HOT_ROWS, which is also what
+# one of its parts holds: more rows make more parts.
 HOT_SHARE = 1000
 HOT_ROWS = 100_000
-# Number of hash slices. Fixed, because the numbering (and draws made from it) depends on it.
+# Number of hash slices. The numbering (and draws made from it) depends on it, so it does not follow the
+# data by itself: give more for a table with over about 4e9 rows, and the same again to repeat numbers.
 HASH_SLICES = 4096
 
 
 def slice_total(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Slices for the rows of ``df``, counted; at least as many as a shuffle has partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // SLICE_ROWS))
 
 
 def lookup(
@@ -55,17 +59,18 @@ def deal_join(
     """Join onto a large table with unique ``keys`` where a few keys may hold most of ``left``.
 
     Rows of a hot key are dealt over parts and its one row on the right is repeated per part, so no
-    task gets more than its share. A key is hot from ``hot_rows`` rows on if it also holds more than
-    one row in HOT_SHARE; hence at most HOT_SHARE keys are hot, which bounds the broadcast.
+    task gets more than about ``hot_rows`` of them. A key is hot if it holds more than that and more
+    than one row in HOT_SHARE; hence at most HOT_SHARE keys are hot, which bounds the broadcast.
     ``counts`` (keys, ``n``) saves the counting where it is known. NULL keys pair with each other.
     """
     if counts is None:
         counts = left.groupBy(*keys).agg(F.count("*").alias("n"))
     n_rows = counts.agg(F.sum("n").alias("n")).scalar()
-    limit = F.greatest(n_rows / HOT_SHARE, F.lit(hot_rows))
-    hot = counts.select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("__parts")).filter(
-        F.col("__parts") > 1
+    hot = counts.filter(F.col("n") > F.greatest(n_rows / HOT_SHARE, F.lit(hot_rows))).select(
+        *keys, F.ceil(F.col("n") / hot_rows).cast("int").alias("__parts")
     )
+    # Both sides look up the hot keys: a table of at most HOT_SHARE rows, found once.
+    hot = materialise(hot, "hot-keys")
     parts = F.coalesce("__parts", F.lit(1))
     # The partition id separates full copies of a row, which share their hash.
     draw = F.xxhash64(*left.columns) + F.spark_partition_id()
@@ -80,14 +85,12 @@ def deal_join(
     ).drop("__part")
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group: one aggregate with map-side combine, one number back."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def range_slices(df: DataFrame, *order: Column) -> DataFrame:
-    """Cut ``df`` into slices of the given order and write it, one folder per slice."""
+    """Cut ``df`` into slices of the given order and write it, one folder per slice.
+
+    The rows are counted, sampled for the cut points and sorted apart, so ``df`` should be a table or
+    cheap to make; it is written first where it is neither.
+    """
     ranged = df.repartitionByRange(slice_total(df), *order)
     return materialise(
         ranged.withColumn("slice", F.spark_partition_id()), "slices", partition_by=["slice"]
@@ -104,31 +107,35 @@ def so_far(window):
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def number_rows(df: DataFrame, unique_key: list[str], name: str, within: list[str] | None = None):
-    """Dense numbers from 1 (per ``within`` group), the same on every run for the same rows.
+def number_rows(
+    df: DataFrame,
+    unique_key: list[str],
+    name: str,
+    within: list[str] | None = None,
+    slices: int = HASH_SLICES,
+):
+    """Dense numbers from 1 (per ``within`` group), the same on every run for the same rows and slices.
 
-    Each slice is numbered on its own and then shifted by the rows in the slices before it. The
-    window and the shift share one hash partitioning, so the rows are shuffled once.
+    Each slice is numbered on its own and then shifted by the rows in the slices before it. The rows
+    are read twice, so they are written first: where ``df`` picks any of several rows, both readings
+    see the same pick. The column's metadata holds the number of slices.
     """
     # A struct key keeps NULL groups apart from others and is never NULL itself, so the window, the
     # totals and the join all work on plain equality of the same column.
-    slice_no = F.pmod(F.xxhash64(*unique_key), F.lit(HASH_SLICES)).alias("slice")
-    sliced = df.withColumn("__key", F.struct(*(within or []), slice_no))
+    slice_no = F.pmod(F.xxhash64(*unique_key), F.lit(slices)).alias("slice")
+    sliced = materialise(df, "numbered").withColumn("__key", F.struct(*(within or []), slice_no))
     groups = [f"__key.{g}" for g in within or []] or [F.lit(1)]
     order = Window.partitionBy(*groups).orderBy("__key.slice")
     shifts = (
         sliced.groupBy("__key")
         .agg(F.count("*").alias("__n"))
-        .withColumn(
-            "__shift",
-            F.sum("__n").over(so_far(order)) - F.col("__n"),
-        )
+        .withColumn("__shift", F.sum("__n").over(so_far(order)) - F.col("__n"))
         .drop("__n")
     )
     inside = Window.partitionBy("__key").orderBy(*unique_key)
+    number = (F.col("__in_slice") + F.col("__shift")).alias(name, metadata={"hash_slices": slices})
     return (
         sliced.withColumn("__in_slice", F.row_number().over(inside))
         .join(shifts, "__key")
-        .withColumn(name, F.col("__in_slice") + F.col("__shift"))
-        .drop("__in_slice", "__shift", "__key")
+        .select(*[c for c in df.columns if c != name], number)
     )

@@ -6,49 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalars import steady_round, total
-from creditloom.operators.slices import (
-    GROUP_ROWS,
-    HOT_ROWS,
-    deal_join,
-    earlier,
-    largest_group,
-    lookup,
-    range_slices,
-    so_far,
-)
+from creditloom.operators.slices import HOT_ROWS, deal_join, earlier, lookup, range_slices, so_far
 from creditloom.vocabulary import COMPOSITION_FLOOR, COMPOSITION_SPAN
 
 
 def running(
     df: DataFrame, key: str, order: list[str], value: str, averaged: str, digits: int = 4
 ) -> DataFrame:
-    """Add ``previous``, ``change`` and ``running_avg`` per key, in the given order.
+    """Add ``previous``, ``change`` (types of ``value``) and ``running_avg`` (double) per key, in order.
 
-    The order must name every row of a key once. Groups that one task can sort get a window; when
-    the largest group is beyond that, the work goes through slices.
-    """
-    if largest_group(df, [key]) <= GROUP_ROWS:
-        return _running_in_groups(df, key, order, value, averaged, digits)
-    return running_sliced(df, key, order, value, averaged, digits)
-
-
-def _running_in_groups(df, key, order, value, averaged, digits):
-    group = Window.partitionBy(key).orderBy(*order)
-    previous = F.lag(value).over(group)
-    return df.withColumns(
-        {
-            "previous": previous,
-            "change": F.col(value) - previous,
-            "running_avg": steady_round(F.avg(averaged).over(so_far(group)), digits),
-        }
-    )
-
-
-def running_sliced(df, key, order, value, averaged, digits=4):
-    """The same over range slices, so a key may hold any share of the rows.
-
-    Full copies of a row are interchangeable, so they may be cut apart as well: the partition they
-    are read in comes last in the order.
+    One way for every size: range slices, so a key may hold any share of the rows. The order must name
+    every row of a key once. Full copies of a row are interchangeable and may be cut apart as well: the
+    partition they are read in comes last in the order.
     """
     tied = df.withColumn("__tie", F.spark_partition_id())
     order = [*order, "__tie"]
@@ -56,10 +25,11 @@ def running_sliced(df, key, order, value, averaged, digits=4):
 
     # What a slice leaves to the next one. A slice continues at most one key of an earlier slice,
     # so ``carried`` has at most one row per slice.
+    measured = F.col(averaged).cast("double")
     left = sliced.groupBy(key, "slice").agg(
         F.max_by(value, F.struct(*order)).alias("last"),
-        F.sum(averaged).alias("sum"),
-        F.count(averaged).alias("n"),
+        F.sum(measured).alias("sum"),
+        F.count(measured).alias("n"),
     )
     carried = left.select(
         key,
@@ -75,7 +45,7 @@ def running_sliced(df, key, order, value, averaged, digits=4):
         {
             "__row": F.row_number().over(group),
             "__prev": F.lag(value).over(group),
-            "__run": F.sum(averaged).over(so_far(group)),
+            "__run": F.sum(measured).over(so_far(group)),
             "__cnt": F.count(averaged).over(so_far(group)),
         }
     )
@@ -83,32 +53,23 @@ def running_sliced(df, key, order, value, averaged, digits=4):
     previous = F.when(F.col("__row") == 1, F.col("__last")).otherwise(F.col("__prev"))
     run = F.coalesce("__run", F.lit(0.0)) + F.coalesce("__sum", F.lit(0.0))
     count = F.col("__cnt") + F.coalesce("__n", F.lit(0))
+    kind = dict(df.dtypes)[value]
     return joined.select(
         *df.columns,
-        previous.alias("previous"),
-        (F.col(value) - previous).alias("change"),
+        previous.cast(kind).alias("previous"),
+        (F.col(value) - previous).cast(kind).alias("change"),
         steady_round(run / F.nullif(count, F.lit(0)), digits).alias("running_avg"),
     )
 
 
-def rank_in_group(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """Rank by descending value, ties share a rank; NULL values come last.
-
-    Periods are few and large, so beyond the row limit the rank is taken from slices.
-    """
-    if largest_group(df, [group]) <= GROUP_ROWS:
-        order = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
-        return df.withColumn(name, F.rank().over(order))
-    return rank_in_group_sliced(df, group, value, name)
-
-
-def rank_in_group_sliced(
+def rank_in_group(
     df: DataFrame, group: str, value: str, name: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Rank = 1 + rows with a larger value, counted over distinct values.
+    """Rank (bigint) by descending value, ties share a rank; NULL values come last.
 
-    Equal values are counted before anything is sorted. The distinct values are cut into slices
-    across all groups, so six groups use as many tasks as there are slices.
+    Rank = 1 + rows with a larger value, counted over distinct values. Periods are few and large, so
+    equal values are counted before anything is sorted, and the distinct values are cut into slices
+    across all groups: six groups use as many tasks as there are slices.
     """
     counts = df.groupBy(group, value).agg(F.count("*").alias("__n"))
     sliced = range_slices(counts, F.col(group), F.col(value).desc_nulls_last())
@@ -124,7 +85,7 @@ def rank_in_group_sliced(
     ).select(
         group,
         value,
-        (F.col("__larger") + F.coalesce("__before", F.lit(0)) + 1).alias(name),
+        (F.col("__larger") + F.coalesce("__before", F.lit(0)) + 1).cast("bigint").alias(name),
     )
 
     # Back to the rows: a value shared by many of them (a capped amount, a zero) is a hot key.

@@ -17,7 +17,7 @@ from creditloom.functions.names import snake_case
 from creditloom.operators import observe, quality
 from creditloom.operators.windows import latest
 from creditloom.plans import kpi, mart
-from creditloom.session import materialise
+from creditloom.session import drop_scratch
 from creditloom.sinks import tables
 from creditloom.sources import files
 from creditloom.vocabulary import CAPPED_COLUMNS, KPI_TABLES, SERIES_COLUMNS
@@ -54,45 +54,57 @@ def sources(spark: SparkSession, job: Job) -> tuple[DataFrame, DataFrame]:
         lambda series: f"{job.macro}/fred_{series}_{job.year}.json",
         SERIES_COLUMNS,
         rf"fred_([A-Z0-9]+)_{job.year}",
+        multi_line=True,  # a download of one series and year: a small document over many lines
     )
     return credit, observations
 
 
+def lost(spark: SparkSession, job: Job) -> DataFrame:
+    """(column, lost): values of the credit source that its types cannot hold."""
+    return files.lost_values(files.read_credit_text(spark, job.credit), credit_type)
+
+
 def run_path_a(spark: SparkSession, job: Job, error: float | None = None) -> bool:
-    """Stage, check and load the star schema, build its KPI tables; True if every rule passes."""
+    """Stage and check; if every rule passes, load the star schema and build its KPI tables.
+
+    A failing rule leaves the database as it was; its report is written either way.
+    """
     credit, observations = sources(spark, job)
     staging = f"{job.work}/staging"
-    with observe.stage_timer(spark, job.log, "ETL", "transform") as stage:
+    with observe.StageRun(spark, job.log, "ETL", "transform") as stage:
         mart.stage_mart(credit, observations, job.year, staging, error=error)
         staged = {name: spark.read.parquet(f"{staging}/{name}") for name in mart.TABLES}
         fact, clients = staged["fact_credit_monthly"], staged["dim_client"]
-        report = materialise(
-            quality.rule_report(fact, clients, staged["dim_date"]), "report"
-        )
+        rules = quality.rule_report(fact, clients, staged["dim_date"])
+        report = rules.unionByName(quality.source_rule(lost(spark, job)))
         tables.write_report(report, f"{job.work}/validation_report")
-        stage.rows = fact.count()
-    with observe.stage_timer(spark, job.log, "ETL", "load") as stage:
+        stage.count_rows(fact)
+    written = spark.read.schema(report.schema).json(f"{job.work}/validation_report")
+    if not quality.gate(written).first().all_pass:
+        return False
+    with observe.StageRun(spark, job.log, "ETL", "load") as stage:
         mart.load_mart(spark, staging, job.database_a, f"{job.work}/{job.database_a}")
         loaded = {name: spark.table(f"{job.database_a}.{name}") for name in mart.TABLES}
         fact, clients = loaded["fact_credit_monthly"], loaded["dim_client"]
         kpi.save_kpis(
             spark, job.database_a, kpi.kpi_tables_a(clients, fact, loaded["dim_date"])
         )
-        stage.rows = fact.count()
-    return quality.gate(report).first().all_pass
+        stage.count_rows(fact)
+    return True
 
 
 def run_path_b(spark: SparkSession, job: Job) -> None:
-    """Land both sources, build the analytic tables and the KPI tables from them."""
+    """Land both sources with a record of what landed, build the analytic and the KPI tables."""
     credit, observations = sources(spark, job)
     name = job.database_b
-    with observe.stage_timer(spark, job.log, "ELT", "extract_load") as stage:
+    with observe.StageRun(spark, job.log, "ELT", "extract_load") as stage:
         mart.land_raw(credit, observations, name, f"{job.work}/{name}")
-        raw = {t: spark.table(f"{name}.{t}") for t in ("raw_credit", "raw_macro")}
-        counts = files.count_tables(raw)
-        tables.write_report(counts, f"{job.work}/load_metadata")
-        stage.rows = counts.agg({"n_rows": "sum"}).first()[0]
-    with observe.stage_timer(spark, job.log, "ELT", "transform") as stage:
+        landed = [observe.landing_metadata(spark.table(f"{name}.{t}"), t) for t in ("raw_credit", "raw_macro")]
+        record = landed[0].unionByName(landed[1])
+        tables.write_report(record, f"{job.work}/load_metadata")
+        tables.write_report(lost(spark, job).filter("lost > 0"), f"{job.work}/lost_values")
+        stage.rows = spark.read.schema(record.schema).json(f"{job.work}/load_metadata").agg({"rows": "sum"}).first()[0]
+    with observe.StageRun(spark, job.log, "ELT", "transform") as stage:
         mart.build_elt(spark, name, job.year)
         built = {t: spark.table(f"{name}.{t}") for t in mart.ELT_TABLES}
         fact, months = built["elt_fact_monthly"], built["elt_macro_monthly"]
@@ -129,14 +141,17 @@ def main() -> int:
     spark = SparkSession.builder.appName("creditloom").getOrCreate()
     job = Job(args.credit, args.macro, args.year, args.work)
     passed = True
-    if args.step in ("a", "all"):
-        passed = run_path_a(spark, job, args.error)
-    if args.step in ("b", "all"):
-        run_path_b(spark, job)
-    if args.step in ("export", "all"):
-        export(spark, job)
-    if args.step in ("compare", "all"):
-        compare(spark, job).show()
+    try:
+        if args.step in ("a", "all"):
+            passed = run_path_a(spark, job, args.error)
+        if args.step in ("b", "all"):
+            run_path_b(spark, job)
+        if passed and args.step in ("export", "all"):
+            export(spark, job)
+        if args.step in ("compare", "all"):
+            compare(spark, job).show()
+    finally:
+        drop_scratch(spark)
     return 0 if passed else 1
 
 

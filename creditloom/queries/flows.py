@@ -24,7 +24,14 @@ from creditloom.queries.sql import half_up, with_ctes
 from creditloom.session import materialise, scratch_path
 from creditloom.sinks import tables
 from creditloom.streaming import bus
-from creditloom.vocabulary import CREDIT_TOPIC, MACRO_TOPIC, SCALED_INDICATORS, TARGET
+from creditloom.vocabulary import (
+    COMPOSITION_FLOOR,
+    COMPOSITION_SPAN,
+    CREDIT_TOPIC,
+    MACRO_TOPIC,
+    SCALED_INDICATORS,
+    TARGET,
+)
 
 # --- windows ------------------------------------------------------------------------------------------
 
@@ -41,7 +48,7 @@ from creditloom.vocabulary import CREDIT_TOPIC, MACRO_TOPIC, SCALED_INDICATORS,
             4,
         )
         + " AS run_avg_utilization, "
-        "CAST(rank() OVER (PARTITION BY date_key ORDER BY bill_amt DESC NULLS LAST) AS INT) "
+        "rank() OVER (PARTITION BY date_key ORDER BY bill_amt DESC NULLS LAST) "
         "AS bill_rank_in_month FROM elt_fact WINDOW w AS (PARTITION BY id ORDER BY date_key)",
         "elt_fact",
     ),
@@ -49,12 +56,7 @@ from creditloom.vocabulary import CREDIT_TOPIC, MACRO_TOPIC, SCALED_INDICATORS,
 def client_trends(spark, sf):
     # Path B keeps its fact as a table; three passes read it here.
     trends = M.elt_trends(materialise(fact_b(spark, sf), "elt_fact"))
-    return trends.withColumns(
-        {
-            "bill_mom_change": F.round("bill_mom_change", 2),
-            "bill_rank_in_month": F.col("bill_rank_in_month").cast("int"),
-        }
-    )
+    return trends.withColumn("bill_mom_change", F.round("bill_mom_change", 2))
 
 
 _TRENDS_SQL = (
@@ -85,7 +87,7 @@ def event_trends(spark, sf):
 @query("event_trends_sliced", _TRENDS_SQL)
 def event_trends_sliced(spark, sf):
     events = client_events(spark, sf)
-    return _trend_columns(W.running_sliced(events, "id", ["ts", "event_id"], "amount", "amount"))
+    return _trend_columns(W.running(events, "id", ["ts", "event_id"], "amount", "amount", digits=4))
 
 
 _RANK_SQL = (
@@ -98,14 +100,13 @@ _RANK_SQL = (
 @query("rank_in_period", _RANK_SQL)
 def rank_in_period(spark, sf):
     events = client_events(spark, sf).select("event_id", "period", "amount")
-    ranked = W.rank_in_group(events, "period", "amount", "place")
-    return ranked.withColumn("place", F.col("place").cast("bigint"))
+    return W.rank_in_group(events, "period", "amount", "place")
 
 
 @query("rank_in_period_scaled", _RANK_SQL)
 def rank_in_period_scaled(spark, sf):
     events = client_events(spark, sf).select("event_id", "period", "amount")
-    return W.rank_in_group_sliced(events, "period", "amount", "place")
+    return W.rank_in_group(events, "period", "amount", "place", hot_rows=50)
 
 
 @query(
@@ -121,13 +122,13 @@ def rank_capped_bills(spark, sf):
     bills = fact_b(spark, sf).select(
         "id", "date_key", F.coalesce("bill_amt", F.lit(0.0)).alias("bill_amt")
     )
-    ranked = W.rank_in_group_sliced(bills, "date_key", "bill_amt", "place", hot_rows=50)
+    ranked = W.rank_in_group(bills, "date_key", "bill_amt", "place", hot_rows=50)
     return ranked.select("id", "date_key", "place")
 
 
 def _scaled(c):
     return (
-        f"(0.18 + 0.82 * ({c} - min({c}) OVER ()) / CASE WHEN max({c}) OVER () = min({c}) OVER () "
+        f"({COMPOSITION_FLOOR} + {COMPOSITION_SPAN} * ({c} - min({c}) OVER ()) / CASE WHEN max({c}) OVER () = min({c}) OVER () "
         f"THEN 1.0 ELSE max({c}) OVER () - min({c}) OVER () END)"
     )
 

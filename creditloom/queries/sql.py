@@ -247,7 +247,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "macro_last": (
         ("macro_seen",),
-        "SELECT series_id, date_key % 100 AS month, "
+        "SELECT series_id, date_key, "
         "arg_max(CAST(value AS DOUBLE), obs_date) AS value FROM macro_seen "
         f"WHERE series_id IN ({', '.join(repr(s) for s in SERIES_COLUMNS)}) GROUP BY 1, 2",
     ),
@@ -258,7 +258,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             f"max(CASE WHEN series_id = '{s}' THEN value END) AS {c}"
             for s, c in SERIES_COLUMNS.items()
         )
-        + " FROM calendar c LEFT JOIN macro_last l ON c.month = l.month GROUP BY c.date_key",
+        + " FROM calendar c LEFT JOIN macro_last l ON c.date_key = l.date_key GROUP BY c.date_key",
     ),
     "dim_macro": (("spine",), _dim_macro()),
     "long_clean": (("clean",), unpivot("clean", ["id", "limit_bal", TARGET], ANCHOR_YEAR)),

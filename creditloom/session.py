@@ -58,3 +58,13 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has written below the shared folder, at the end of a job.
+
+    Frames that read from it are of no use afterwards.
+    """
+    from creditloom.sources.files import delete_path
+
+    delete_path(spark, f"{shared_root(spark)}/creditloom/{spark.sparkContext.applicationId}")

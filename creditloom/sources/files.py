@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(conf).exists(hadoop)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.getFileSystem(conf).delete(hadoop, True)
+
+
 def first_existing(spark: SparkSession, candidates: Iterable[str]) -> str:
     candidates = list(candidates)
     for path in candidates:
@@ -64,6 +70,46 @@ def header_schema(spark: SparkSession, path: str, type_of: Callable[[str], str])
     return T.StructType.fromDDL(fields)
 
 
+def typed(text: DataFrame, type_of: Callable[[str], str]) -> DataFrame:
+    """Text columns as the types of a rule. A whole number may be written with a fraction of zero.
+
+    What a type cannot hold becomes NULL; ``lost_values`` counts it.
+    """
+    return text.select(*[_number(F.col(f"`{c}`"), type_of(c)).alias(c) for c in text.columns])
+
+
+def _number(text: Column, kind: str) -> Column:
+    if kind == "string":
+        return text
+    plain = F.trim(text)
+    if kind not in ("int", "bigint"):
+        return plain.try_cast(kind)
+    fraction = plain.try_cast("decimal(38,6)")
+    whole = F.when(fraction == F.floor(fraction), fraction.try_cast(kind))
+    return F.coalesce(plain.try_cast(kind), whole)
+
+
+def lost_values(text: DataFrame, type_of: Callable[[str], str]) -> DataFrame:
+    """(column, lost): values that are there as text and not after ``typed``; one scan."""
+    names = text.columns
+    row = text.agg(
+        *[
+            F.count_if(
+                (F.trim(F.col(f"`{c}`")) != "") & _number(F.col(f"`{c}`"), type_of(c)).isNull()
+            ).alias(f"n{i}")
+            for i, c in enumerate(names)
+        ]
+    )
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("lost")) for i, c in enumerate(names)]
+    return row.select(F.inline(F.array(*pairs)))
+
+
+def read_credit_text(spark: SparkSession, candidates: Iterable[str]) -> DataFrame:
+    """Credit rows of the first source present, every column as text."""
+    path = first_existing(spark, candidates)
+    return read_csv(spark, path, header_schema(spark, path, lambda name: "string"))
+
+
 def read_credit(
     spark: SparkSession,
     candidates: Iterable[str],
@@ -72,21 +118,24 @@ def read_credit(
 ) -> DataFrame:
     """Credit rows of the first source present, with names made canonical.
 
-    Types come from ``type_of`` where it is given, else they are inferred.
+    Types come from ``type_of`` where it is given (``lost_values`` tells what they can't hold), else
+    they are inferred.
     """
-    path = first_existing(spark, candidates)
-    schema = header_schema(spark, path, type_of) if type_of else None
-    return rule(read_csv(spark, path, schema))
+    if type_of:
+        return rule(typed(read_credit_text(spark, candidates), type_of))
+    return rule(read_csv(spark, first_existing(spark, candidates)))
 
 
 def read_observations(
-    spark: SparkSession, paths, tag_pattern: str, multi_line: bool = True
+    spark: SparkSession, paths, tag_pattern: str, multi_line: bool = False
 ) -> DataFrame:
     """(series_id, obs_date, value) of nested documents; the series is part of the file path.
 
-    Documents that are one JSON line each can be split over tasks (``multi_line=False``).
+    Documents are one JSON line each and are split over tasks. A document over several lines needs
+    ``multi_line``, with one task per file. Text that is no document fails the job.
     """
-    documents = spark.read.schema(OBSERVATIONS_SCHEMA).option("multiLine", multi_line).json(paths)
+    reader = spark.read.schema(OBSERVATIONS_SCHEMA).option("mode", "FAILFAST")
+    documents = reader.option("multiLine", multi_line).json(paths)
     return documents.select(
         F.regexp_extract(F.col("_metadata.file_path"), tag_pattern, 1).alias("series_id"),
         F.explode("observations").alias("o"),
@@ -94,13 +143,17 @@ def read_observations(
 
 
 def read_series_files(
-    spark: SparkSession, path_of: Callable[[str], str], series: Iterable[str], tag_pattern: str
+    spark: SparkSession,
+    path_of: Callable[[str], str],
+    series: Iterable[str],
+    tag_pattern: str,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Observations of the series whose file is there; an absent file means an absent series."""
     present = [p for p in map(path_of, series) if path_exists(spark, p)]
     if not present:
         return spark.createDataFrame([], "series_id string, obs_date string, value string")
-    return read_observations(spark, present, tag_pattern)
+    return read_observations(spark, present, tag_pattern, multi_line)
 
 
 def read_text_numbers(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -18,6 +18,12 @@ ENVELOPE = T.StructType(
     ]
 )
 
+FILES_PER_BATCH = 100
+MESSAGES_PER_BATCH = 10_000_000
+# Folders of a zone beside its topics: messages as received, and those that are no row of their topic.
+MESSAGES, UNDECODABLE = "_messages", "_undecodable"
+CORRUPT = "__corrupt"
+
 
 def read_bus(
     spark: SparkSession,
@@ -29,16 +35,17 @@ def read_bus(
 ) -> DataFrame:
     """Streaming (topic, key, value) of the wanted topics, from the earliest message.
 
-    ``per_batch`` bounds a batch (files, or messages of a broker), so a long backlog is drained in
-    several batches rather than in one that has to be held at once.
+    ``per_batch`` bounds a batch (files, or messages of a broker; FILES_PER_BATCH and
+    MESSAGES_PER_BATCH by default), so a long backlog is drained in several batches.
 
     ``fmt="kafka"`` subscribes at the broker ``source`` where the connector is installed; any file
     format reads a folder of envelopes.
     """
     reader = spark.readStream.format(fmt).options(**dict(options or {}))
-    if per_batch is not None:
-        name = "maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"
-        reader = reader.option(name, per_batch)
+    if fmt == "kafka":
+        reader = reader.option("maxOffsetsPerTrigger", per_batch or MESSAGES_PER_BATCH)
+    else:
+        reader = reader.option("maxFilesPerTrigger", per_batch or FILES_PER_BATCH)
     if fmt == "kafka":
         raw = (
             reader.option("kafka.bootstrap.servers", source)
@@ -51,11 +58,17 @@ def read_bus(
 
 
 def decoded(messages: DataFrame, topic: str, schema: T.StructType) -> DataFrame:
-    """Payload columns of one topic; the JSON is read with a fixed schema."""
+    """(topic, key, value, v) of one topic: the text as received and its payload by a fixed schema.
+
+    ``v`` is NULL where the text is absent, is not JSON or has a value of another type.
+    """
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", kept, {"columnNameOfCorruptRecord": CORRUPT})
+    good = F.struct(*[F.col("v")[c].alias(c) for c in schema.names])
     return (
         messages.filter(F.col("topic") == topic)
-        .select(F.from_json("value", schema).alias("v"))
-        .select("v.*")
+        .select("topic", "key", "value", parsed.alias("v"))
+        .withColumn("v", F.when(F.col("v").isNotNull() & F.col("v")[CORRUPT].isNull(), good))
     )
 
 
@@ -65,24 +78,31 @@ def land(
     checkpoint: str,
     layouts: Mapping[str, tuple[str, T.StructType]],
 ) -> None:
-    """Drain the stream into every zone: ``<zone>/<topic>/batch=<id>``, then stop.
+    """Drain the stream into every zone, then stop.
 
-    ``layouts`` maps a topic to (file format, payload schema). Progress lives in the checkpoint. A
-    batch that is run again after a crash overwrites its own folders, so each message lands once.
+    ``layouts`` maps a topic to (file format, payload schema). A zone gets the rows of a topic in
+    ``<topic>/batch=<id>``, every message unmodified in ``_messages/<topic>/batch=<id>``, and those that
+    are no row in ``_undecodable/<topic>/batch=<id>``. A message is parsed once: the first write keeps
+    text and payload, all others read it. Progress lives in the checkpoint. A batch that is run again
+    after a crash overwrites its own folders, so each message lands once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for topic, (fmt, schema) in layouts.items():
-                rows = decoded(batch, topic, schema)
-                for zone in zones:
-                    out = rows.write.mode("overwrite").format(fmt)
-                    if fmt == "csv":
-                        out = out.option("header", True)
-                    out.save(f"{zone}/{topic}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        for topic, (fmt, schema) in layouts.items():
+            place = f"{topic}/batch={batch_id}"
+            parsed = decoded(batch, topic, schema)
+            first = f"{zones[0]}/{MESSAGES}/{place}"
+            parsed.write.mode("overwrite").parquet(first)
+            seen = batch.sparkSession.read.schema(parsed.schema).parquet(first)
+            for zone in zones:
+                if zone != zones[0]:
+                    seen.write.mode("overwrite").parquet(f"{zone}/{MESSAGES}/{place}")
+                out = seen.filter(F.col("v").isNotNull()).select("v.*").write.mode("overwrite")
+                if fmt == "csv":
+                    out = out.option("header", True)
+                out.format(fmt).save(f"{zone}/{place}")
+                bad = seen.filter(F.col("v").isNull()).select("topic", "key", "value")
+                bad.write.mode("overwrite").parquet(f"{zone}/{UNDECODABLE}/{place}")
 
     query = (
         messages.writeStream.foreachBatch(write)
@@ -93,6 +113,14 @@ def land(
     query.awaitTermination()
 
 
+def received(spark: SparkSession, zone: str, topic: str, folder: str = MESSAGES) -> DataFrame:
+    """Messages of a topic as received (or, by ``folder``, those of them that are no row)."""
+    path = f"{zone}/{folder}/{topic}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ENVELOPE)
+    return spark.read.schema(ENVELOPE).parquet(f"{path}/*")
+
+
 def landed(spark: SparkSession, zone: str, topic: str, fmt: str, schema: T.StructType) -> DataFrame:
     """Batch view of everything a zone holds of a topic; nothing landed yet reads as no rows."""
     if not path_exists(spark, f"{zone}/{topic}"):

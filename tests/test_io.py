@@ -159,19 +159,64 @@ def test_topic_counts(spark, shared):
     assert {r.topic: r.messages for r in counts.collect()} == {"one": 6, "two": 2}
 
 
-def test_stage_timer_logs_success_and_failure(spark, shared):
+def test_stage_runs_are_logged(spark, shared):
     log = shared("metrics")
     assert O.read_metrics(spark, log).count() == 0
-    with O.stage_timer(spark, log, "ETL", "transform", source="x") as stage:
-        tables.write_parquet(stage.watch(spark.range(7)), shared("out"))
+    with O.StageRun(spark, log, "ETL", "transform", source="x") as stage:
+        tables.write_parquet(spark.range(7), shared("out"))
+        stage.count_rows(spark.range(7))
     with pytest.raises(ValueError, match="boom"):
-        with O.stage_timer(spark, log, "ETL", "load"):
+        with O.StageRun(spark, log, "ETL", "load"):
             raise ValueError("boom")
+    with O.StageRun(spark, log, "ETL", "nothing"):
+        pass
     rows = {r.stage: r for r in O.read_metrics(spark, log).collect()}
     assert (rows["transform"].status, rows["transform"].rows) == ("OK", 7)
-    assert rows["transform"].extra == {"source": "x"}
+    assert rows["transform"].extra == {"source": "x"} and rows["nothing"].rows is None
     assert (rows["load"].status, rows["load"].extra["error"]) == ("FAILED", "boom")
-    assert all(r.duration_s >= 0 and r.ts for r in rows.values())
+    assert all(r.duration_s >= 0 and r.ts and r.peak_rss_mb > 1 for r in rows.values())
+
+
+def test_bad_messages_are_kept_apart(spark, shared):
+    folder = shared("bus")
+    texts = ['{"k": 1, "text": "a", "more": [1]}', "no json", '{"k": "x", "text": "b"}', None, '{"k": 2}']
+    sent = spark.createDataFrame([("one", str(i), t) for i, t in enumerate(texts)], bus.ENVELOPE)
+    tables.publish(sent, folder)
+    zones = [shared("raw"), shared("lake")]
+    bus.land(bus.read_bus(spark, folder, ["one"]), zones, shared("progress"), LAYOUTS)
+    for zone in zones:
+        rows = bus.landed(spark, zone, "one", "csv", PAYLOAD).collect()
+        assert sorted((r.k, r.text) for r in rows) == [(1, "a"), (2, None)]
+        assert {r.value for r in bus.received(spark, zone, "one").collect()} == set(texts)
+        bad = bus.received(spark, zone, "one", bus.UNDECODABLE).collect()
+        assert sorted(r.key for r in bad) == ["1", "2", "3"]
+    assert bus.received(spark, zones[0], "absent").count() == 0
+
+
+def test_values_that_a_type_cannot_hold_are_counted(spark, shared):
+    path = shared("csv")
+    text = spark.createDataFrame(
+        [("1", "2.0", " 3 "), ("2.5", "x", "4e1"), ("", None, "1.25"), ("99999999999", "-1", "")],
+        "a string, b string, c string",
+    )
+    tables.write_csv(text, path)
+    kinds = {"a": "int", "b": "int", "c": "double"}
+    read = files.read_credit_text(spark, [path])
+    rows = files.typed(read, kinds.get).collect()
+    assert {(r.a, r.b, r.c) for r in rows} == {(1, 2, 3.0), (None, None, 40.0), (None, None, 1.25), (None, -1, None)}
+    lost = {r.column: r.lost for r in files.lost_values(read, kinds.get).collect()}
+    assert lost == {"a": 2, "b": 1, "c": 0}
+
+
+def test_scratch_is_dropped_by_its_owner(spark, shared):
+    from creditloom import session
+
+    kept = session.materialise(spark.range(3), "kept")
+    assert kept.count() == 3
+    root = f"{session.shared_root(spark)}/creditloom/{spark.sparkContext.applicationId}"
+    assert files.path_exists(spark, root)
+    session.drop_scratch(spark)
+    assert not files.path_exists(spark, root)
 
 
 def test_summary_has_absent_pipelines(spark):

@@ -108,8 +108,10 @@ def test_macro_dimension(mart):
 def test_missing_month_keeps_null_score_and_takes_the_mean(spark):
     values = {m: str(10.0 + m) for m in range(1, 13)}
     values[6] = "."
-    rows = [("EXTAUS", f"2004-{m:02d}-01", v) for m, v in values.items()]
-    rows += [("EXTAUS", "2004-01-20", "99.0"), ("EXTAUS", "2004-02-20", None)]
+    rows = [("EXTAUS", f"{YEAR}-{m:02d}-01", v) for m, v in values.items()]
+    rows += [("EXTAUS", f"{YEAR}-01-20", "99.0"), ("EXTAUS", f"{YEAR}-02-20", None)]
+    # other years do not stand in, be they later or the only ones with this month
+    rows += [("EXTAUS", f"{YEAR + 1}-01-20", "7.0"), ("EXTAUS", f"{YEAR - 1}-06-20", "7.0")]
     obs = spark.createDataFrame(rows, "series_id string, obs_date string, value string")
     macro = M.dim_macro(obs, M.calendar_year(spark, YEAR))
     got = {r.date_key % 100: r for r in macro.collect()}

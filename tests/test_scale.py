@@ -1,11 +1,13 @@
 """Skew-safe operators against plain Spark on data with one hot key, at several widths."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from creditloom.functions.scalars import steady_round
 from creditloom.operators import aggregates as A
 from creditloom.operators import cleaning as C
 from creditloom.operators import joins as J
@@ -32,46 +34,112 @@ def same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("width", [1, 3, 8])
-def test_rank_over_slices(spark, skewed, width):
+def plain_running(df, key, order):
+    group = Window.partitionBy(key).orderBy(*order)
+    previous = F.lag("value").over(group)
+    so_far = group.rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns(
+        {
+            "previous": previous,
+            "change": F.col("value") - previous,
+            "running_avg": steady_round(F.avg("value").over(so_far), 4),
+        }
+    )
+
+
+@pytest.mark.parametrize("width, rows", [(1, 50), (3, 1_000_000), (8, 400)])
+def test_rank_over_slices(spark, skewed, width, rows, monkeypatch):
+    monkeypatch.setattr(slices, "SLICE_ROWS", rows)
     spark.conf.set("spark.sql.shuffle.partitions", width)
     order = Window.partitionBy("key").orderBy(F.col("value").desc_nulls_last())
     want = skewed.withColumn("place", F.rank().over(order).cast("bigint"))
     for hot_rows in (3, 100_000):
-        got = W.rank_in_group_sliced(skewed, "key", "value", "place", hot_rows=hot_rows)
-        assert same(got, want)
+        got = W.rank_in_group(skewed, "key", "value", "place", hot_rows=hot_rows)
+        assert same(got, want) and got.select("place").dtypes == [("place", "bigint")]
     spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
-@pytest.mark.parametrize("width", [1, 3, 8])
-def test_running_over_slices(spark, skewed, width):
+@pytest.mark.parametrize("width, rows", [(1, 50), (3, 1_000_000), (8, 400)])
+def test_running_over_slices(spark, skewed, width, rows, monkeypatch):
+    monkeypatch.setattr(slices, "SLICE_ROWS", rows)
     spark.conf.set("spark.sql.shuffle.partitions", width)
-    plain = W._running_in_groups(skewed, "key", ["at", "n"], "value", "value", 4)
-    got = W.running_sliced(skewed, "key", ["at", "n"], "value", "value", 4)
+    got = W.running(skewed, "key", ["at", "n"], "value", "value", 4)
     rounded = lambda d: d.withColumn("change", F.round("change", 6))
-    assert same(rounded(got), rounded(plain))
+    assert same(rounded(got), rounded(plain_running(skewed, "key", ["at", "n"])))
     spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
+def test_running_types_do_not_depend_on_the_size(spark, monkeypatch):
+    rows = [(1, i, Decimal(i) / 10) for i in range(40)]
+    df = spark.createDataFrame(rows, "key int, at int, value decimal(9,2)")
+    schemas = set()
+    for size in (5, 1_000_000):
+        monkeypatch.setattr(slices, "SLICE_ROWS", size)
+        schemas.add(W.running(df, "key", ["at"], "value", "value").schema.simpleString())
+    assert schemas == {
+        "struct<key:int,at:int,value:decimal(9,2),previous:decimal(9,2),change:decimal(9,2),running_avg:double>"
+    }
+
+
 def test_copies_of_one_row_are_cut_apart(spark):
     rows = spark.range(0, 4000, 1, 8).select(
         F.lit(1).alias("key"),
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("at"),
         F.when(F.col("id") % 3 == 0, 2.0).otherwise(F.col("id") * 1.0).alias("value"),
     )
-    got = W.running_sliced(rows, "key", ["at"], "value", "value", 4)
-    assert same(got, W._running_in_groups(rows, "key", ["at"], "value", "value", 4))
-
-
-def test_large_groups_take_the_sliced_way(skewed, monkeypatch):
-    plain = W.running(skewed, "key", ["at", "n"], "value", "value")
-    ranked = W.rank_in_group(skewed, "key", "value", "place")
-    monkeypatch.setattr(W, "GROUP_ROWS", 100)
-    assert slices.largest_group(skewed, ["key"]) > 100
-    drop = lambda d: d.withColumn("change", F.round("change", 6))
-    assert same(drop(W.running(skewed, "key", ["at", "n"], "value", "value")), drop(plain))
-    sliced = W.rank_in_group(skewed, "key", "value", "place")
-    assert same(sliced, ranked.withColumn("place", F.col("place").cast("bigint")))
+    got = W.running(rows, "key", ["at"], "value", "value", 4)
+    assert same(got, plain_running(rows, "key", ["at"]))
+
+
+def largest_task(df):
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_a_hot_key_and_a_rare_class_are_spread(spark, monkeypatch):
+    """No task gets more than its share of one key's rows, nor of one drawn row's draws."""
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        hot = spark.range(40_000).select((F.col("id") % 4 == 3).cast("bigint").alias("key"), "id")
+        dim = spark.createDataFrame([(0, "a"), (1, "b")], "key long, label string")
+        joined = slices.deal_join(hot, dim, ["key"], hot_rows=500)
+        assert joined.count() == 40_000 and largest_task(joined) < 12_000
+        monkeypatch.setattr(Y, "HOT_ROWS", 500)
+        monkeypatch.setattr(Y, "DRAWS_PER_BLOCK", 1000)
+        rare = spark.range(1000).select("id", (F.col("id") == 0).cast("int").alias("label"))
+        drawn = Y.resample(rare, ["id"], "label", 20_000, seed=1, balanced=True)
+        assert drawn.filter("id = 0").count() == 10_000
+        assert largest_task(drawn.filter("id = 0")) < 4_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_numbers_of_an_arbitrary_survivor_are_dense(spark):
+    copies = spark.range(2000).select((F.col("id") % 300).alias("k"), (F.col("id") % 7).alias("v"))
+    numbered = slices.number_rows(copies.repartition(8).dropDuplicates(["k"]), ["k"], "no", within=["v"])
+    gaps = numbered.groupBy("v").agg(F.max("no").alias("m"), F.count("*").alias("n"))
+    assert gaps.filter("m <> n").count() == 0
+    assert numbered.schema["no"].metadata == {"hash_slices": slices.HASH_SLICES}
+
+
+def test_quantiles_do_not_shuffle_the_unfolded_table(spark, skewed, monkeypatch):
+    monkeypatch.setattr(QU, "ACCURACY", 100)
+    for rows in (10, 5_000_000):
+        monkeypatch.setattr(QU, "BRACKET_ROWS", rows)
+        got = QU.exact_quantiles(skewed, ["value", "at"], [0.25, 0.5])
+        want = {c: skewed.agg(F.percentile(c, F.array(F.lit(0.25), F.lit(0.5)))).first()[0] for c in ("value", "at")}
+        assert {(r.name, r.prob): r.quantile for r in got.collect()} == pytest.approx(
+            {(c, p): v for c, vs in want.items() for p, v in zip((0.25, 0.5), vs)}
+        )
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionBy") == 0
+    inside = skewed.filter("value IS NOT NULL").count()
+    w = QU.Wanted("value", 0.25, inside)
+    QU._bracket(skewed, [w], [(0, inside)])
+    assert QU._counts(skewed, [w])[0][1] < 0.75 * inside  # a third of the values are equal
 
 
 @pytest.mark.parametrize("width", [1, 5])
@@ -163,12 +231,10 @@ def test_orphans_are_counted_before_the_join(skewed):
     assert depth["Join LeftOuter"] < depth["Aggregate [key"]
 
 
-def test_dimension_join_with_and_without_broadcast(skewed, monkeypatch):
+def test_dimension_join_with_and_without_broadcast(spark, skewed):
     dim = skewed.groupBy("key").agg(F.max("at").alias("top"))
-    small = J.dimension_join(skewed, dim, ["key"])
-    monkeypatch.setattr(J, "BROADCAST_ROWS", 3)
-    assert not J.fits_broadcast(dim, 3)
-    assert same(small, J.dimension_join(skewed, dim, ["key"], bounded=False))
+    small = J.dimension_join(skewed, dim, ["key"], bounded=True)
+    assert same(small, J.dimension_join(skewed, dim, ["key"]))
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])

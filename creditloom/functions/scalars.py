@@ -100,10 +100,18 @@ def observed(text: Column, marker: str = MISSING_MARKER) -> Column:
 
 
 def number_or_text(text: Column) -> Column:
-    """Text in normal form: integral numbers without a fraction, other text untouched."""
-    number = text.try_cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(1e15))
-    return F.when(whole, number.cast("bigint").cast("string")).otherwise(text)
+    """Text in normal form: numbers as Spark writes them, whole ones without a fraction.
+
+    Numbers from 1e15 on and all other text stay as they are.
+    """
+    plain = F.trim(text)
+    number = F.when(
+        plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), plain.try_cast("double")
+    )
+    small = F.abs(number) < F.lit(1e15)
+    whole = number.cast("bigint").cast("string")
+    shown = F.when(number == F.floor(number), whole).otherwise(number.cast("string"))
+    return F.when(small, shown).otherwise(text)
 
 
 # Fixed value: the line terminators of Unicode text, each a single character.

@@ -9,6 +9,7 @@ from creditloom.functions import names as N
 from creditloom.functions import scalars as S
 from creditloom.operators import cleaning as C
 from creditloom.operators import reshape as R
+from creditloom.operators.quantiles import exact_quantiles
 from creditloom.plans import mart as M
 from creditloom.queries.marts import macro_b
 from creditloom.queries.registry import query
@@ -20,6 +21,7 @@ from creditloom.queries.sql import (
     ratios,
     with_ctes,
 )
+from creditloom.session import materialise
 from creditloom.vocabulary import (
     AGE_RANGE,
     BILL_COLUMNS,
@@ -192,15 +194,33 @@ def iqr_cap(spark, sf):
     ),
 )
 def iqr_fences(spark, sf):
-    filled = C.fill_numeric(credit_wide(spark, sf), 0, keep_null=("id",))
+    filled = materialise(C.fill_numeric(credit_wide(spark, sf), 0, keep_null=("id",)), "filled")
     fences = C.iqr_fences(filled, CAPPED_COLUMNS)
     return fences.select("name", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "low", "high")])
 
 
-@query("iqr_cap_approx")
+@query(
+    "iqr_cap_approx",
+    "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS outside_band FROM events WHERE value IS NOT NULL",
+)
 def iqr_cap_approx(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "value")
-    return C.iqr_cap(events, ["value"], error=0.01)
+    """Sketch quartiles stay inside the exact ones at ranks off by the allowed error, row by row."""
+    events = table(spark, sf, "events").select("event_id", "value").filter("value IS NOT NULL")
+    events = materialise(events, "events")
+    capped = C.iqr_cap(events, ["value"], error=0.01).withColumnRenamed("value", "capped")
+    probs = [0.24, 0.26, 0.74, 0.76]
+    exact = {r["prob"]: r["quantile"] for r in exact_quantiles(events, ["value"], probs).collect()}
+    first, below, above, third = (exact[p] for p in probs)  # bounds of either quartile
+    widest, least = 1.5 * (third - first), 1.5 * (above - below)
+
+    def clamped(low, high):
+        return F.least(F.greatest("value", F.lit(low)), F.lit(high))
+
+    lower = clamped(first - widest, above + least) - 1e-9
+    upper = clamped(below - least, third + widest) + 1e-9
+    inside = F.col("capped").between(lower, upper)
+    joined = events.join(capped, "event_id")
+    return joined.agg(F.count("*").alias("n_rows"), F.count_if(~inside).alias("outside_band"))
 
 
 @query(
@@ -541,3 +561,27 @@ def dim_date_build(spark, sf):
         F.to_date(F.max("o_orderdate")).alias("last"),
     )
     return M.dim_date_between(bounds)
+
+
+_MIXED = {1: ("a", "p"), 2: ("b", "q"), 3: ("c", "r")}
+
+
+@query(
+    "unpivot_mixed_types",
+    "SELECT o_orderkey, k, CAST(CASE k WHEN 1 THEN o_custkey WHEN 2 THEN o_totalprice + 0.25 "
+    "ELSE o_orderkey * 5000000000 END AS DOUBLE) AS v, CAST(CASE k WHEN 1 THEN o_custkey "
+    "WHEN 2 THEN o_orderkey * 5000000000 ELSE o_custkey + 1 END AS BIGINT) AS w "
+    "FROM orders, (VALUES (1), (2), (3)) AS t(k)",
+)
+def unpivot_mixed_types(spark, sf):
+    """Columns of one measure with different types: int, double and bigint, the narrow one first."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").cast("int").alias("a"),
+        (F.col("o_totalprice") + 0.25).alias("b"),
+        (F.col("o_orderkey") * 5000000000).alias("c"),
+        F.col("o_custkey").cast("int").alias("p"),
+        (F.col("o_orderkey") * 5000000000).alias("q"),
+        (F.col("o_custkey") + 1).cast("int").alias("r"),
+    )
+    return R.unpivot_groups(orders, ["o_orderkey"], "k", ["v", "w"], _MIXED)

@@ -23,6 +23,7 @@ from creditloom.queries.registry import query
 from creditloom.queries.sql import half_up, with_ctes
 from creditloom.session import materialise, scratch_path
 from creditloom.sinks import tables
+from creditloom.sources import files
 from creditloom.streaming import bus
 from creditloom.vocabulary import (
     COMPOSITION_FLOOR,
@@ -219,13 +220,48 @@ def path_summary(spark, sf):
     return O.path_summary(_latest_metrics(spark, sf), ["click", "purchase", "absent"])
 
 
-@query("stage_metrics_log")
+@query(
+    "stage_metrics_log",
+    with_ctes(
+        "SELECT 'ELT' AS pipeline, 'transform' AS stage, 'OK' AS status, count(*) AS rows, "
+        "'given tables' AS source, true AS timed FROM elt_fact",
+        "elt_fact",
+    ),
+)
 def stage_metrics_log(spark, sf):
-    """A stage that writes the monthly fact, timed and counted while it runs."""
+    """A stage that writes the monthly fact, timed and counted; clock and memory only as being there."""
+    log, out = scratch_path(spark, "metrics"), scratch_path(spark, "fact")
+    with O.StageRun(spark, log, "ELT", "transform", source="given tables") as stage:
+        tables.write_parquet(fact_b(spark, sf), out)
+        stage.count_rows(spark.read.parquet(out))
+    timed = (F.col("duration_s") > 0) & (F.col("peak_rss_mb") > 0) & F.col("ts").isNotNull()
+    return O.read_metrics(spark, log).select(
+        "pipeline", "stage", "status", "rows", F.col("extra")["source"].alias("source"), timed.alias("timed")
+    )
+
+
+@query("metrics_log_scan", _LATEST)
+def metrics_log_scan(spark, sf):
+    """The metric log as JSON lines with blank lines in between, read back; an absent log has no rows."""
     log = scratch_path(spark, "metrics")
-    with O.stage_timer(spark, log, "ELT", "transform", source="given tables") as stage:
-        tables.write_parquet(stage.watch(fact_b(spark, sf)), scratch_path(spark, "fact"))
-    return O.read_metrics(spark, log)
+    lines = _latest_metrics(spark, sf).drop("ts", "event_id").select(F.to_json(F.struct("*")).alias("value"))
+    lines.unionByName(lines.select(F.lit("").alias("value"))).write.text(log)
+    absent = O.read_metrics(spark, scratch_path(spark, "absent"))
+    return O.metrics_table(O.read_metrics(spark, log).unionByName(absent))
+
+
+@query(
+    "comparison_csv",
+    "SELECT p AS pipeline, round(sum(duration_s), 3) AS total_runtime_s, "
+    "round(max(peak_rss_mb), 1) AS peak_rss_mb FROM (VALUES ('click'), ('purchase'), ('absent')) "
+    f"AS v(p) LEFT JOIN ({_LATEST}) ON pipeline = p GROUP BY p",
+)
+def comparison_csv(spark, sf):
+    """The comparison of the paths as CSV, read back."""
+    path = scratch_path(spark, "comparison")
+    totals = O.path_summary(_latest_metrics(spark, sf), ["click", "purchase", "absent"])
+    tables.write_csv(totals, path)
+    return files.read_csv(spark, path, totals.schema)
 
 
 @query(
@@ -352,21 +388,24 @@ def dq_orphans(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+_NEGATIVE_USE = "SELECT count(*) AS v FROM planted WHERE credit_utilization < 0"
 _RULES = (
-    f"SELECT 'uniqueness_id_date' AS rule, v AS violations FROM ({_UNIQUE}) UNION ALL "
-    f"SELECT 'not_null_keys', v FROM ({_NULL_KEYS}) UNION ALL "
-    f"SELECT 'range_checks', ({_BAD}) + ({_NULL_USE}) UNION ALL "
-    "SELECT 'dtype_consistency', 0 UNION ALL "
-    f"SELECT 'referential_integrity', ({_ORPHAN_DATES}) + ({_ORPHAN_CLIENTS}) UNION ALL "
+    f"SELECT 'uniqueness_id_date' AS rule, v AS violations, NULL AS details FROM ({_UNIQUE}) UNION ALL "
+    f"SELECT 'not_null_keys', v, NULL FROM ({_NULL_KEYS}) UNION ALL "
+    f"SELECT 'range_checks', ({_BAD}) + ({_NULL_USE}), "
+    f"'{{\"neg_utilization_kept\":' || ({_NEGATIVE_USE}) || '}}' UNION ALL "
+    "SELECT 'dtype_consistency', 0, '{\"types\":[\"double\"]}' UNION ALL "
+    f"SELECT 'referential_integrity', ({_ORPHAN_DATES}) + ({_ORPHAN_CLIENTS}), '{{\"orphan_dates\":' "
+    f"|| ({_ORPHAN_DATES}) || ',\"orphan_clients\":' || ({_ORPHAN_CLIENTS}) || '}}' UNION ALL "
     f"SELECT 'distribution_default_rate', CASE WHEN avg({TARGET}) > 0 AND avg({TARGET}) < 1 "
-    "THEN 0 ELSE 1 END FROM credit_wide"
+    f"THEN 0 ELSE 1 END, '{{\"default_rate\":' || round(avg({TARGET}), 4) || '}}' FROM credit_wide"
 )
 
 
 @query(
     "dq_report",
     _with_planted(
-        f"SELECT rule, CAST(violations AS BIGINT) AS violations, violations = 0 AS pass "
+        f"SELECT rule, CAST(violations AS BIGINT) AS violations, details, violations = 0 AS pass "
         f"FROM ({_RULES})"
     ),
 )
@@ -376,6 +415,20 @@ def dq_report(spark, sf):
     )
 
 
+@query(
+    "dq_report_file",
+    _with_planted(
+        f"SELECT rule, CAST(violations AS BIGINT) AS violations, details, violations = 0 AS pass "
+        f"FROM ({_RULES})"
+    ),
+)
+def dq_report_file(spark, sf):
+    """The report as a JSON file, read back."""
+    report, path = dq_report(spark, sf), scratch_path(spark, "report")
+    tables.write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
 @query(
     "dq_gate",
     _with_planted(
@@ -394,6 +447,7 @@ _EVENT = T.StructType(
         T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
+        T.StructField("ts", T.TimestampNTZType()),
         T.StructField("props", T.StringType()),
     ]
 )
@@ -418,16 +472,21 @@ def _landed(spark, sf):
     return zones
 
 
+def _stamped(events):
+    """Time as text with all its digits, so that it compares whatever the session's zone is."""
+    return events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def _read(spark, zone, topic):
     fmt, schema = _LAYOUTS[topic]
     return bus.landed(spark, zone, topic, fmt, schema)
 
 
 @query(
-    "stream_demux_credit", "SELECT event_id, user_id, event_type, value, props FROM events"
+    "stream_demux_credit", "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, props FROM events"
 )
 def stream_demux_credit(spark, sf):
-    return _read(spark, _landed(spark, sf)[0], CREDIT_TOPIC)
+    return _stamped(_read(spark, _landed(spark, sf)[0], CREDIT_TOPIC))
 
 
 @query(
@@ -471,6 +530,99 @@ def stream_fanout_parity(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+_CREDIT_SQL = (
+    f"SELECT '{CREDIT_TOPIC}' AS topic, count(*) AS messages, CAST(0 AS BIGINT) AS changed, "
+    "CAST(0 AS BIGINT) AS undecodable, count(*) AS rows FROM credit_wide"
+)
+
+
+@query(
+    "stream_payload_intact",
+    with_ctes(
+        f"{_CREDIT_SQL} UNION ALL SELECT '{MACRO_TOPIC}', count(*), 0, 0, count(*) FROM macro_long",
+        "credit_wide",
+        "macro_long",
+    ),
+)
+def stream_payload_intact(spark, sf):
+    """Whole client records and observations: every text lands in both zones as it was published."""
+    folder, progress = scratch_path(spark, "bus"), scratch_path(spark, "progress")
+    zones = [scratch_path(spark, "raw"), scratch_path(spark, "datalake")]
+    credit = materialise(credit_wide(spark, sf), "credit")
+    layouts = {CREDIT_TOPIC: ("csv", credit.schema), MACRO_TOPIC: ("json", _OBSERVATION)}
+    tables.publish(tables.envelope(credit, CREDIT_TOPIC, "id"), folder)
+    tables.publish(tables.envelope(macro_long(spark, sf), MACRO_TOPIC, "series_id"), folder)
+    bus.land(bus.read_bus(spark, folder, list(layouts)), zones, progress, layouts)
+    sent = spark.read.schema(bus.ENVELOPE).parquet(folder)
+    parts = []
+    for topic, (fmt, schema) in layouts.items():
+        # each text counts +1 as sent and -1/2 per zone: what does not cancel out was changed or lost
+        net = sent.filter(F.col("topic") == topic).select("key", "value", F.lit(2).alias("n"))
+        bad = 0
+        for zone in zones:
+            got = bus.received(spark, zone, topic)
+            net = net.unionByName(got.select("key", "value", F.lit(-1).alias("n")))
+            bad += bus.received(spark, zone, topic, bus.UNDECODABLE).agg(F.count("*").alias("n")).scalar()
+        rows = bus.landed(spark, zones[1], topic, fmt, schema).agg(F.count("*").alias("n")).scalar()
+        changed = net.groupBy("key", "value").agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 2).alias("m"))
+        parts.append(
+            changed.agg(F.sum("m").alias("messages"), F.count_if(F.col("n") != 0).alias("changed")).select(
+                F.lit(topic).alias("topic"), "messages", "changed", bad.alias("undecodable"), rows.alias("rows")
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "stream_bad_messages",
+    "SELECT count(*) AS messages, count(*) FILTER (event_id % 10 >= 3) AS rows, "
+    "count(*) FILTER (event_id % 10 < 3) AS undecodable, "
+    "count(*) FILTER (event_id % 10 = 0) AS not_json FROM events",
+)
+def stream_bad_messages(spark, sf):
+    """Texts that are no JSON, a wrong type, and no text at all: kept as received and told apart."""
+    folder, progress = scratch_path(spark, "bus"), scratch_path(spark, "progress")
+    zones = [scratch_path(spark, "raw"), scratch_path(spark, "datalake")]
+    events = tables.envelope(table(spark, sf, "events"), CREDIT_TOPIC, "event_id")
+    kind = F.col("key").cast("bigint") % 10
+    broken = (
+        F.when(kind == 0, F.lit("no json {"))
+        .when(kind == 1, F.lit('{"event_id": "one", "value": 2}'))
+        .when(kind == 2, F.lit(None))
+        .otherwise(F.col("value"))
+    )
+    tables.publish(events.withColumn("value", broken), folder)
+    layouts = {CREDIT_TOPIC: _LAYOUTS[CREDIT_TOPIC]}
+    bus.land(bus.read_bus(spark, folder, list(layouts)), zones, progress, layouts)
+    rows = _read(spark, zones[1], CREDIT_TOPIC).agg(F.count("*").alias("n")).scalar()
+    bad = bus.received(spark, zones[1], CREDIT_TOPIC, bus.UNDECODABLE)
+    counts = bad.agg(F.count("*").alias("n"), F.count_if(F.col("value") == "no json {").alias("j"))
+    return bus.received(spark, zones[1], CREDIT_TOPIC).agg(F.count("*").alias("messages")).select(
+        "messages",
+        rows.alias("rows"),
+        counts.select("n").scalar().alias("undecodable"),
+        counts.select("j").scalar().alias("not_json"),
+    )
+
+
+@query(
+    "stream_restart",
+    "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, props FROM events",
+)
+def stream_restart(spark, sf):
+    """Half of the events, a second run over the rest, a third that finds nothing: each lands once."""
+    folder, progress = scratch_path(spark, "bus"), scratch_path(spark, "progress")
+    zone = scratch_path(spark, "raw")
+    layouts = {CREDIT_TOPIC: _LAYOUTS[CREDIT_TOPIC]}
+    events = tables.envelope(table(spark, sf, "events"), CREDIT_TOPIC, "event_id")
+    half = F.col("key").cast("bigint") % 2
+    for run in (events.filter(half == 0), events.filter(half == 1), None):
+        if run is not None:
+            tables.publish(run, folder)
+        bus.land(bus.read_bus(spark, folder, [CREDIT_TOPIC]), [zone], progress, layouts)
+    return _stamped(_read(spark, zone, CREDIT_TOPIC))
+
+
 @query(
     "stream_topic_counts",
     with_ctes(
@@ -523,16 +675,65 @@ def class_balance(spark, sf):
     return A.shares(table(spark, sf, "labels"), "quality")
 
 
-def _resampled(spark, sf):
-    clients = credit_wide(spark, sf).select("id", "limit_bal", "sex", "education", "age", TARGET)
+def _drawn(spark, sf, clients, seed=_SEED, balanced=False):
+    """Whole rows (all 25 columns) drawn to the quota; the key is still that of the source."""
     size = _GROWTH * table(spark, sf, "customer").count()
-    drawn = Y.resample(clients, ["id"], TARGET, size, _SEED)
-    return Y.draw_as_key(drawn, "id", "id")
+    return Y.resample(clients, ["id"], TARGET, size, seed, balanced)
+
+
+def _resampled(spark, sf):
+    clients = materialise(credit_wide(spark, sf), "clients")
+    return Y.draw_as_key(_drawn(spark, sf, clients), "id", "id")
+
+
+_QUOTA_OF_CLIENTS = _QUOTA.format(
+    label=TARGET, size=f"{_GROWTH} * (SELECT count(*) FROM customer)", source="credit_wide"
+)
 
 
-@query("stratified_resample")
+@query(
+    "stratified_resample",
+    with_ctes(
+        f"SELECT {TARGET}, quota AS rows, CAST(0 AS BIGINT) AS unlike_source, quota AS draws "
+        f"FROM ({_QUOTA_OF_CLIENTS})",
+        "credit_wide",
+    ),
+)
 def stratified_resample(spark, sf):
-    return _resampled(spark, sf)
+    """Drawn rows per class, and those of them that differ from the source row in any column."""
+    clients = materialise(credit_wide(spark, sf), "clients")
+    drawn = _drawn(spark, sf, clients)
+    source = clients.select(F.col("id").alias("__id"), F.struct(*clients.columns).alias("__source"))
+    joined = drawn.join(source, F.col("id") == F.col("__id"), "left")
+    same = F.struct(*clients.columns).eqNullSafe(F.col("__source"))
+    return joined.groupBy(TARGET).agg(
+        F.count("*").alias("rows"),
+        F.count_if(~same).alias("unlike_source"),
+        F.count_distinct("draw").alias("draws"),
+    )
+
+
+@query(
+    "resample_repeats",
+    with_ctes(
+        f"SELECT {TARGET}, CAST(0 AS BIGINT) AS other_picks, true AS seed_matters "
+        "FROM (SELECT DISTINCT " + TARGET + " FROM credit_wide)",
+        "credit_wide",
+    ),
+)
+def resample_repeats(spark, sf):
+    """The same seed draws the same rows from other partitions, another seed draws others."""
+    clients = materialise(credit_wide(spark, sf), "clients")
+    again = clients.repartition(3)
+    picks = [
+        _drawn(spark, sf, df, seed).select(TARGET, "draw", F.col("id").alias(f"id_{n}"))
+        for n, (df, seed) in enumerate(((clients, _SEED), (again, _SEED), (clients, _SEED + 1)))
+    ]
+    both = picks[0].join(picks[1], [TARGET, "draw"]).join(picks[2], [TARGET, "draw"])
+    return both.groupBy(TARGET).agg(
+        F.count_if(F.col("id_0") != F.col("id_1")).alias("other_picks"),
+        (F.count_if(F.col("id_0") != F.col("id_2")) > 0).alias("seed_matters"),
+    )
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from creditloom.bindings import ANCHOR_YEAR, credit_wide, macro_long
@@ -329,8 +331,105 @@ def kpi_monthly_b(spark, sf):
     return K.monthly_b(M.elt_default_vs_macro(fact_b(spark, sf), macro_b(spark, sf)))
 
 
+# The four KPI tables of a path as cells (tbl, key, name, value), so that tables of different shape go
+# into one result: in SQL and in Spark.
+KPI_KEYS = {
+    "kpi_overall": [],
+    "kpi_default_by_demographic": ["dimension", "category"],
+    "kpi_monthly_default_vs_macro": ["date_key", "month_name"],
+    "kpi_corr_default_macro": [],
+}
+KPI_MEASURES = {
+    "kpi_overall": ["default_rate", "total_clients"],
+    "kpi_default_by_demographic": ["clients", "default_rate"],
+    "kpi_monthly_default_vs_macro": ["default_rate", *SCALED_INDICATORS],
+    "kpi_corr_default_macro": list(K.CORRELATIONS),
+}
+
+
+def _corr_of(source):
+    pairs = ", ".join(f"round(corr({TARGET}, {c}), 4) + 0.0 AS {n}" for n, c in K.CORRELATIONS.items())
+    return f"SELECT {pairs} FROM {source}"
+
+
+_KPI_SQL = {
+    "a": {
+        "kpi_overall": "SELECT * FROM overall_a",
+        "kpi_default_by_demographic": "SELECT * FROM cells_a",
+        "kpi_monthly_default_vs_macro": f"SELECT date_key, month_name, {mean(TARGET, 4)} AS default_rate, "
+        f"{mean('exchange_rate_twd_usd', 4)} AS exchange_rate_twd_usd, "
+        f"{mean('real_broad_eer', 4)} AS real_broad_eer, "
+        f"{mean('total_reserves', 2)} AS total_reserves FROM fact GROUP BY date_key, month_name",
+        "kpi_corr_default_macro": _corr_of("fact"),
+    },
+    "b": {
+        "kpi_overall": f"SELECT {mean(TARGET, 4)} AS default_rate, count(*) AS total_clients FROM raw_clients",
+        "kpi_default_by_demographic": "SELECT * FROM cells_b",
+        "kpi_monthly_default_vs_macro": _MONTHLY_B,
+        "kpi_corr_default_macro": _corr_of("elt_fact JOIN macro_monthly USING (date_key)"),
+    },
+}
+KPI_CTES = ("overall_a", "cells_a", "cells_b", "fact", "raw_clients", "vs_macro", "elt_fact", "macro_monthly")
+
+
+def cells_sql(path: str) -> str:
+    parts = []
+    for name, sql in _KPI_SQL[path].items():
+        key = " || '|' || ".join(KPI_KEYS[name]) or "''"
+        names = ", ".join(f"'{m}'" for m in KPI_MEASURES[name])
+        values = ", ".join(f"CAST({m} AS DOUBLE)" for m in KPI_MEASURES[name])
+        parts.append(
+            f"SELECT '{name}' AS tbl, {key} AS key, unnest([{names}]) AS name, unnest([{values}]) AS value "
+            f"FROM ({sql})"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def cells(kpis):
+    """The same of a mapping of KPI tables."""
+    parts = []
+    for name, df in kpis.items():
+        measures = [
+            F.struct(F.lit(m).alias("name"), F.col(m).cast("double").alias("value"))
+            for m in KPI_MEASURES[name]
+        ]
+        key = F.concat_ws("|", *KPI_KEYS[name]) if KPI_KEYS[name] else F.lit("")
+        parts.append(df.select(F.lit(name).alias("tbl"), key.alias("key"), F.inline(F.array(*measures))))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def kpis_of_both(spark, sf):
+    m = mart(spark, sf, cap=False)
+    clients = materialise(clients_a(spark, sf).select(*LABELS, TARGET), "clients_a")
+    fact = materialise(m.fact.select("date_key", TARGET, *SCALED_INDICATORS), "fact_a")
+    labelled = materialise(clients_b(spark, sf).select(*LABELS, TARGET), "clients_b")
+    landed = materialise(fact_b(spark, sf).select("date_key", TARGET), "fact_b")
+    return {
+        "a": K.kpi_tables_a(clients, fact, m.dim_date),
+        "b": K.kpi_tables_b(labelled, landed, landed_macro(spark, sf)),
+    }
+
+
+_TOLERANCE = "CASE name WHEN 'clients' THEN 0 WHEN 'total_clients' THEN 0 ELSE 0.0001 END"
+
+
 @query(
     "path_parity",
+    with_ctes(
+        "SELECT tbl, key, name, a.value AS value_a, b.value AS value_b, "
+        f"coalesce(abs(a.value - b.value) <= {_TOLERANCE}, a.value IS NULL AND b.value IS NULL) AS agrees "
+        f"FROM ({cells_sql('a')}) a FULL OUTER JOIN ({cells_sql('b')}) b USING (tbl, key, name)",
+        *KPI_CTES,
+    ),
+)
+def path_parity(spark, sf):
+    """All four KPI tables of both paths, cell by cell. Counts must be equal, rates within 0.0001."""
+    both = {path: cells(kpis) for path, kpis in kpis_of_both(spark, sf).items()}
+    return K.parity(both["a"], both["b"], ["tbl", "key", "name"], {"value": F.expr(_TOLERANCE)})
+
+
+@query(
+    "path_parity_demographic",
     with_ctes(
         "SELECT coalesce(a.dimension, b.dimension) AS dimension, "
         "coalesce(a.category, b.category) AS category, a.clients AS clients_a, "
@@ -343,7 +442,7 @@ def kpi_monthly_b(spark, sf):
         "cells_b",
     ),
 )
-def path_parity(spark, sf):
+def path_parity_demographic(spark, sf):
     return K.parity(
         by_category_a(spark, sf),
         by_category_b(spark, sf),
@@ -454,13 +553,35 @@ def kpi_nested(spark, sf):
     )
 
 
-@query("kpi_document")
+@query("kpi_document", with_ctes(cells_sql("a"), *KPI_CTES))
 def kpi_document(spark, sf):
+    """The summary as one JSON text, parsed back into the cells it was made of."""
     clients = clients_a(spark, sf)
     m = mart(spark, sf, cap=False)
-    return K.summary_document(
-        A.overall_rate(clients, "default_rate"),
-        K.correlations(m.fact),
-        by_category_a(spark, sf),
-        K.monthly_a(m.fact, m.dim_date),
+    tables = {
+        "kpi_overall": A.overall_rate(clients, "default_rate"),
+        "kpi_corr_default_macro": K.correlations(m.fact),
+        "kpi_default_by_demographic": by_category_a(spark, sf),
+        "kpi_monthly_default_vs_macro": K.monthly_a(m.fact, m.dim_date),
+    }
+    document = K.summary_document(*tables.values())
+
+    def shape(name, *skip):
+        return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in tables[name].schema if f.name not in skip)
+
+    category = shape("kpi_default_by_demographic", "dimension")
+    schema = (
+        f"struct<overall: struct<{shape('kpi_overall')}>, corr: struct<{shape('kpi_corr_default_macro')}>, "
+        f"demo: map<string, array<struct<{category}>>>, "
+        f"monthly: array<struct<{shape('kpi_monthly_default_vs_macro')}>>>"
+    )
+    back = document.select(F.from_json("document", schema).alias("d"))
+    groups = back.select(F.explode("d.demo").alias("dimension", "items"))
+    return cells(
+        {
+            "kpi_overall": back.select("d.overall.*"),
+            "kpi_corr_default_macro": back.select("d.corr.*"),
+            "kpi_default_by_demographic": groups.select("dimension", F.inline("items")),
+            "kpi_monthly_default_vs_macro": back.select(F.inline("d.monthly")),
+        }
     )

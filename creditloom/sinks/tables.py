@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
+# Text form of timestamps in messages and landed files; the default of the writers drops microseconds.
+TIMESTAMPS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Overwrite a parquet table. Partitioning by period lets readers skip whole folders."""
@@ -78,7 +84,7 @@ def envelope(df: DataFrame, topic: str, key: str, limit: int | None = None) -> D
     return rows.select(
         F.lit(topic).alias("topic"),
         F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct(*df.columns)).alias("value"),
+        F.to_json(F.struct(*df.columns), TIMESTAMPS).alias("value"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditloom.sinks.tables import TIMESTAMPS
 from creditloom.sources.files import path_exists
 
 ENVELOPE = T.StructType(
@@ -98,6 +99,7 @@ def land(
                 if zone != zones[0]:
                     seen.write.mode("overwrite").parquet(f"{zone}/{MESSAGES}/{place}")
                 out = seen.filter(F.col("v").isNotNull()).select("v.*").write.mode("overwrite")
+                out = out.options(**TIMESTAMPS)
                 if fmt == "csv":
                     out = out.option("header", True)
                 out.format(fmt).save(f"{zone}/{place}")

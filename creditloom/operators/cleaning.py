@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.scalars import clamp, steady_round
 from creditloom.operators.quantiles import exact_quantiles, sketch_quantiles
+from creditloom.session import materialise
 
 NUMERIC = {"int", "bigint", "double", "float"}
 STATS = "__stats"
@@ -105,9 +106,12 @@ def iqr_fences(
 def iqr_cap(
     df: DataFrame, columns: list[str], width: float = 1.5, error: float | None = None
 ) -> DataFrame:
-    """Pull values beyond the fences of their column in to the fence; NULL stays NULL."""
+    """Pull values beyond the fences of their column in to the fence; NULL stays NULL.
+
+    ``df`` is read for the fences and for the rows, and should be a table.
+    """
     columns = [c for c in columns if c in df.columns]
-    fences = iqr_fences(df, columns, width, error)
+    fences = materialise(iqr_fences(df, columns, width, error), "fences")  # a row per column
     picks = [
         F.max(F.when(F.col("name") == c, F.col(side))).alias(f"{c}_{side}")
         for c in columns

@@ -88,12 +88,13 @@ FACT_SCHEMA = {
 
 
 def clean_credit(
-    credit: DataFrame, cap: bool = True, error: float | None = None, ordered: bool = False
+    credit: DataFrame, cap: bool = True, error: float | None = None, ordered: bool = True
 ) -> DataFrame:
     """Cleaned client rows. Filling comes before the fences, so filled zeros move the quartiles.
 
     ``cap=False`` leaves the fences out for readers that use no amount. ``error`` allows sketch
-    quantiles of that rank error. ``ordered`` fixes which duplicate survives.
+    quantiles of that rank error. ``ordered`` fixes which duplicate survives, which two tables made of
+    the result need to agree; a single reader may do without, and then unread columns are pruned.
     """
     unique = C.dedup_ordered(credit, ["id"]) if ordered else C.dedup(credit, ["id"])
     filled = C.fill_numeric(unique, 0, keep_null=("id",))
@@ -234,9 +235,10 @@ def mart_a(
     year: int,
     error: float | None = None,
     cap: bool = True,
+    ordered: bool = True,
 ) -> Mart:
     calendar = calendar_year(credit.sparkSession, year)
-    clean = clean_credit(credit, cap=cap, error=error)
+    clean = clean_credit(credit, cap=cap, error=error, ordered=ordered)
     macro = dim_macro(observations, calendar)
     return Mart(dim_client(clean), calendar, macro, fact_monthly(clean, macro, year))
 
@@ -250,13 +252,13 @@ def stage_mart(
     year: int,
     folder: str,
     error: float | None = None,
-    ordered: bool = False,
+    ordered: bool = True,
 ) -> dict[str, str]:
-    """Write the four path A tables. The cleaned clients are written once and read for both the
-    dimension and the fact, so the two cannot disagree about a duplicate."""
+    """Write the four path A tables. The filled clients are written once and read for the fences, the
+    dimension and the fact, so these cannot disagree about a duplicate."""
     spark = credit.sparkSession
     calendar = calendar_year(spark, year)
-    clean = materialise(clean_credit(credit, error=error, ordered=ordered), "clean")
+    clean = clean_credit(credit, error=error, ordered=ordered)
     macro = materialise(dim_macro(observations, calendar), "macro")
     frames = {
         "dim_client": (dim_client(clean), None),

@@ -24,7 +24,7 @@ LABELS = list(DIMENSIONS.values())
 
 def clients_a(spark, sf):
     """Client dimension for readers of labels and rates; without fences the history is pruned."""
-    return M.dim_client(M.clean_credit(credit_wide(spark, sf), cap=False))
+    return M.dim_client(M.clean_credit(credit_wide(spark, sf), cap=False, ordered=False))
 
 
 def clients_b(spark, sf):
@@ -32,7 +32,9 @@ def clients_b(spark, sf):
 
 
 def mart(spark, sf, cap=True):
-    return M.mart_a(credit_wide(spark, sf), macro_long(spark, sf), ANCHOR_YEAR, cap=cap)
+    """``cap=False`` is for readers of one table that use no amount: all they don't read is pruned."""
+    credit, macro = credit_wide(spark, sf), macro_long(spark, sf)
+    return M.mart_a(credit, macro, ANCHOR_YEAR, cap=cap, ordered=cap)
 
 
 def fact_b(spark, sf):
@@ -108,6 +110,41 @@ def mart_fact(spark, sf):
     return rounded(mart(spark, sf).fact, "limit_bal", "bill_amt", "pay_amt", *INDICATORS)
 
 
+_PLANTED_DUPLICATES = (
+    "SELECT * FROM credit_wide UNION ALL SELECT * REPLACE (limit_bal + CASE WHEN id % 2 = 0 THEN 1000 "
+    "ELSE -1000 END AS limit_bal, CAST(age + 1 AS INT) AS age) FROM credit_wide WHERE id % 10 < 3"
+)
+
+
+@query(
+    "mart_duplicates",
+    with_ctes(
+        "SELECT id, CASE WHEN age < 18 THEN 18 WHEN age > 100 THEN 100 ELSE age END AS age, "
+        "limit_bal AS low, limit_bal AS high, CAST(6 AS BIGINT) AS months_a, 6 * copies AS months_b "
+        "FROM (SELECT id, age, limit_bal, count(*) OVER (PARTITION BY id) AS copies, "
+        f"row_number() OVER (PARTITION BY id ORDER BY limit_bal) AS r FROM ({_PLANTED_DUPLICATES})) "
+        "WHERE r = 1",
+        "credit_wide",
+    ),
+)
+def mart_duplicates(spark, sf):
+    """Clients that occur twice: path A keeps the same copy in dimension and fact, path B keeps both."""
+    wide = credit_wide(spark, sf)
+    twice = wide.filter("id % 10 < 3").withColumns(
+        {
+            "limit_bal": F.col("limit_bal") + F.when(F.col("id") % 2 == 0, 1000.0).otherwise(-1000.0),
+            "age": (F.col("age") + 1).cast("int"),
+        }
+    )
+    planted = materialise(wide.unionByName(twice), "planted")
+    a = M.mart_a(planted, macro_long(spark, sf), ANCHOR_YEAR, cap=False)
+    facts = a.fact.groupBy("id").agg(
+        F.min("limit_bal").alias("low"), F.max("limit_bal").alias("high"), F.count("*").alias("months_a")
+    )
+    kept = M.elt_fact(planted, ANCHOR_YEAR).groupBy("id").agg(F.count("*").alias("months_b"))
+    return a.dim_client.select("id", "age").join(facts, "id").join(kept, "id")
+
+
 @query(
     "fact_macro_left",
     with_ctes(

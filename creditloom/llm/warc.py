@@ -38,6 +38,7 @@ ARCHIVE_BYTES = 8 << 20
 #: Payloads of at least this many bytes are written once.
 REVISIT_BYTES = 1000
 SALTS = 16
+_PART = 1 << 16
 #: ARC has a capture time per record; rows without one get this.
 CAPTURED = "20240101000000"
 
@@ -95,13 +96,18 @@ WARC_RECORD = T.StructType(
 
 def members(content: bytes) -> bytes:
     """An archive's bytes, whether compressed member by member or not at all."""
-    if content[:2] != b"\x1f\x8b":
+    magic = b"\x1f\x8b"
+    if content[:2] != magic:
         return content
-    out = []
-    while content[:2] == b"\x1f\x8b":
+    out, at = [], 0
+    while content[at : at + 2] == magic:
         unzip = zlib.decompressobj(wbits=31)
-        out.append(unzip.decompress(content) + unzip.flush())
-        content = unzip.unused_data
+        while not unzip.eof and at < len(content):
+            part = content[at : at + _PART]  # what is left over of a part is copied, not the rest of all
+            out.append(unzip.decompress(part))
+            at += len(part) - len(unzip.unused_data)
+        if not unzip.eof:
+            raise ValueError("the last member is cut off")
     return b"".join(out)
 
 
@@ -269,7 +275,10 @@ def write_arc(rows: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) ->
 
 
 def read_arc(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
-    """A row per record, with what WARC needs besides; ``block`` is null without ``blocks``."""
+    """A row per record, with what WARC needs besides.
+
+    ``block`` is compressed (zlib), so that it is when it is shuffled; null without ``blocks``.
+    """
 
     def parse(content: bytes) -> Iterator[dict]:
         place = hashlib.sha1(content).hexdigest()
@@ -285,7 +294,7 @@ def read_arc(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
                 "mime": header["Content-type"],
                 "payload_bytes": len(payload),
                 "payload_digest": hashlib.sha1(payload).hexdigest(),
-                "block": block if blocks else None,
+                "block": zlib.compress(block, 1) if blocks else None,
             }
 
     return _read(spark, path, parse, ARC_RECORD)
@@ -325,7 +334,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, revisit_bytes: i
         return b"", warc_record(header, body)
 
     def record(_: bytes, row: dict) -> bytes:
-        _, head, payload = http_parts(row["block"])
+        block = zlib.decompress(row["block"])
+        _, head, _ = http_parts(block)
         revisit = row["refers_to_id"] is not None
         header = {
             "WARC-Type": "revisit" if revisit else "response" if head else "resource",
@@ -340,7 +350,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, revisit_bytes: i
             # an extension field: readers that don't know it pass over it
             "WARC-Refers-To-Key": str(row["refers_to"]) if revisit else None,
         }
-        return warc_record(header, head if revisit else row["block"])
+        return warc_record(header, head if revisit else block)
 
     _write(rows, record, opening, warc_path, archive_bytes)
 

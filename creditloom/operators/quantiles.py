@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from creditloom.operators.slices import so_far
 
 # Rank error of the sketch that brackets a wanted rank is rows / ACCURACY.
-ACCURACY = 20_000
+ACCURACY = 2_000
 # Values of a bracket that one task sorts; a bracket with more is narrowed again.
 BRACKET_ROWS = 5_000_000
 
@@ -45,18 +45,31 @@ class Wanted:
 
 
 def _bracket(df: DataFrame, wanted: list[Wanted], counts: list[tuple[int, int]]) -> None:
-    """Narrow each bracket to a few of its own ranks around the wanted ones, by one aggregate."""
+    """Narrow each bracket to a few of its own ranks around the wanted ones, by one aggregate.
+
+    Quantiles that share a column and a bracket, as all of a column do at first, share a sketch.
+    """
     margin = 3 / ACCURACY
-    asked = []
+    asked: dict[tuple, list[float]] = {}
+    places = []
     for w, (below, inside) in zip(wanted, counts):
         ranks = math.floor(w.position) - below, math.ceil(w.position) - below
         low, high = (r / max(inside - 1, 1) for r in ranks)
-        probs = [F.lit(max(low - margin, 0.0)), F.lit(min(high + margin, 1.0))]
-        value = F.when(w.inside(), F.col(w.name).cast("double"))
-        asked.append(F.percentile_approx(value, F.array(*probs), ACCURACY))
         w.keeps = (low - margin <= 0, high + margin >= 1)
-    found = df.agg(*[a.alias(f"q{i}") for i, a in enumerate(asked)]).first()
-    for w, (low, high) in zip(wanted, found):
+        sketch = (w.name, w.low, w.high)
+        probs = asked.setdefault(sketch, [])
+        places.append((sketch, len(probs)))
+        probs += [max(low - margin, 0.0), min(high + margin, 1.0)]
+    parts = []
+    for i, ((name, low, high), probs) in enumerate(asked.items()):
+        value = F.col(name).cast("double")
+        if low is not None or high is not None:
+            value = F.when(Wanted(name, 0, 0, low, high).inside(), value)
+        wished = F.array(*[F.lit(p) for p in probs])
+        parts.append(F.percentile_approx(value, wished, ACCURACY).alias(f"q{i}"))
+    found = dict(zip(asked, df.agg(*parts).first()))
+    for w, (sketch, at) in zip(wanted, places):
+        low, high = found[sketch][at : at + 2]
         no_low, no_high = w.keeps
         w.low = w.low if no_low else low
         w.high = w.high if no_high else high

@@ -17,6 +17,7 @@ from creditloom.operators import observe as O
 from creditloom.operators import quality as Q
 from creditloom.operators import sampling as Y
 from creditloom.operators import windows as W
+from creditloom.operators.joins import orphan_rows
 from creditloom.plans import mart as M
 from creditloom.queries.marts import clients_b, fact_b, macro_b
 from creditloom.queries.registry import query
@@ -382,7 +383,7 @@ def dq_orphans(spark, sf):
     fact = _planted(spark, sf)
     dims = {"date_key": M.calendar_year(spark, ANCHOR_YEAR), "id": credit_wide(spark, sf)}
     parts = [
-        Q.orphan_rows(fact, dim, key).select(F.lit(key).alias("key"), "violations")
+        orphan_rows(fact, dim, key).select(F.lit(key).alias("key"), "violations")
         for key, dim in dims.items()
     ]
     return parts[0].unionByName(parts[1])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.scalars import steady_round, total
 from creditloom.operators.slices import HOT_ROWS, deal_join, earlier, lookup, range_slices, so_far
+from creditloom.session import materialise
 from creditloom.vocabulary import COMPOSITION_FLOOR, COMPOSITION_SPAN
 
 
@@ -71,7 +72,7 @@ def rank_in_group(
     equal values are counted before anything is sorted, and the distinct values are cut into slices
     across all groups: six groups use as many tasks as there are slices.
     """
-    counts = df.groupBy(group, value).agg(F.count("*").alias("__n"))
+    counts = materialise(df.groupBy(group, value).agg(F.count("*").alias("__n")), "value-counts")
     sliced = range_slices(counts, F.col(group), F.col(value).desc_nulls_last())
     totals = sliced.groupBy(group, "slice").agg(F.sum("__n").alias("__rows"))
     # A slice continues at most one group of an earlier slice: at most one row per slice.

@@ -305,7 +305,8 @@ def elt_trends(fact: DataFrame) -> DataFrame:
     A client that occurs twice has two rows per month; the remaining columns break such ties.
     """
     order = ["date_key", "bill_amt", "pay_amt", "pay_status", "limit_bal"]
-    trends = running(fact, "id", order, "bill_amt", "credit_utilization")
+    # the ranks read the trends three times
+    trends = materialise(running(fact, "id", order, "bill_amt", "credit_utilization"), "trends")
     ranked = rank_in_group(trends, "date_key", "bill_amt", "bill_rank_in_month")
     return ranked.select(
         "id",

@@ -11,8 +11,9 @@ words per array operation, and texts are sums over their words.
 Words are runs of letters in lower case, with a space in front as the vocabulary writes them; other
 characters carry no language here. Words over ``LONGEST`` letters are cut into stretches of that length.
 
-Learning takes a bounded sample of labelled rows: about ``SAMPLE`` rows per language, chosen by a hash of
-the text, whole texts. Everything else covers all rows.
+Learning takes a bounded sample of the labelled texts: about ``SAMPLE`` distinct texts per language that
+have a word, chosen by a hash of the text, or all where there are fewer. A text's copies are not read
+again but are its weight. Everything else covers all rows.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0. Rows without a language
 are not learned from. Where no language can be learned, all texts are ``und``. Ties go to the language
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNKNOWN = "und"
-#: Labelled rows per language that are learned from, about.
+#: Distinct labelled texts per language that are learned from, about.
 SAMPLE = 1000
 #: Languages; more can't be told apart in one pass over the text.
 LANGUAGES = 200
@@ -51,6 +52,8 @@ _TOGETHER = 20_000
 _CHUNK = 500
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: The same letters for Spark; what its Unicode tables don't know yet may be one.
+_LETTER = r"[\p{L}\p{Nl}\p{No}\p{Cn}]"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -226,26 +229,34 @@ def learn(
 ) -> Model | None:
     """Learns from rows with a language; None where there are none.
 
-    The word counts of the sample come to the driver; its size is about ``sample`` texts per language.
+    The word counts of the sample come to the driver; its size is about ``sample`` distinct texts per
+    language, however many copies they have.
     """
     rows = labelled.select(labelled[text_col].alias("text"), labelled[lang_col].alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).take(LANGUAGES + 1)}
+    worded = F.col("text").rlike(_LETTER)
+    # copies of a text are one group, so that the share of a language is one of distinct texts
+    texts = rows.groupBy("lang", F.xxhash64("text").alias("hash"), worded.alias("worded")).agg(F.count("*").alias("n"))
+    found = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count_if("worded").alias("texts")).take(LANGUAGES + 1)
+    sizes = {r["lang"]: r["n"] for r in found}
     if len(sizes) > LANGUAGES:
         raise ValueError(f"over {LANGUAGES} languages")
     if not sizes:
         return None
-    shares = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))])
+    shares = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(1.0, sample / max(r["texts"], 1)))])
     place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
-    chosen = rows.where(place < F.try_element_at(shares, F.col("lang")))
+    chosen = rows.where(worded & (place < F.try_element_at(shares, F.col("lang"))))
+    chosen = chosen.groupBy("text", "lang").agg(F.count("*").alias("n"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _CHUNK):
                 part = batch.slice(at, _CHUNK)
                 found: dict[str, Counter] = {}
-                for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    found.setdefault(lang, Counter()).update(words_of(text))
+                for text, lang, n in zip(*(c.to_pylist() for c in part.columns)):
+                    of = found.setdefault(lang, Counter())
+                    for word, times in Counter(words_of(text)).items():
+                        of[word] += times * n
                 flat = [(lang, w, n) for lang, words in found.items() for w, n in words.items()]
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -230,6 +230,29 @@ def test_language_held_out(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def test_language_of_few_texts_is_learned(spark):
+    """Copies and texts without a word take no share of the sample away from a language's other texts."""
+    french = ["le chat est sur la table", "nous avons une maison", "il fait beau aujourd'hui"]
+    rows = [(french[i % 3], "fr") for i in range(900)] + [(f"{i} --- {i}", "fr") for i in range(900)]
+    rows += [(f"the cat number {chr(97 + i % 26) * (1 + i // 26)} sat on the mat", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = language_id.learn(docs, sample=10)
+    assert model.languages == ["en", "fr"]
+    assert np.allclose(np.exp(model.prior), [300 / 2100, 1800 / 2100])
+    out = language_id.predict(docs, model).where("lang_pred <> 'und'")
+    assert {tuple(r) for r in out.select("doc.text", "lang_pred").where("doc.lang = 'fr'").distinct().collect()} == {(t, "fr") for t in french}
+
+
+def test_language_sample_counts_copies_as_weight(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language_id, "fit", lambda counts, rows, pieces: seen.update(counts=counts, rows=rows))
+    rows = [("hot hot text", "en")] * 500 + [(f"w{chr(97 + i % 26) * (1 + i // 26)}", "en") for i in range(99)]
+    docs = spark.createDataFrame(rows + [("12", "en")] * 7, "text string, lang string")
+    language_id.learn(docs, sample=100)
+    assert seen["rows"] == {"en": 606} and len(seen["counts"]["en"]) == 101
+    assert seen["counts"]["en"]["hot"] == 1000 and seen["counts"]["en"]["text"] == 500 and seen["counts"]["en"]["wa"] == 1
+
+
 def test_segmentations_are_summed():
     pieces = [" ", " a", "a", "ab", "b", " ab"]
     lattice = language_id.Lattice(pieces)

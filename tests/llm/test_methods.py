@@ -222,6 +222,24 @@ def test_personal_data(spark):
     assert out[2] == []
 
 
+def test_account_codes_end_at_their_length(spark):
+    code, grouped, dutch = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NL91ABNA0417164300"
+    cases = [
+        (f"{code} BIC COBADEFFXXX", [code]),
+        (f"{grouped} Please confirm", [grouped]),
+        (f"{code} 2024", [code]),
+        (f"é {code} {dutch} {grouped} {code}", [code, dutch, grouped, code]),
+        (f"SE10 {grouped} and GB12{code}", [grouped, code]),  # begins like a code, but isn't one
+        (f"{code}1 {code}x {code}é", []),
+        ("XX89370400440532013000 DE89370400440532013001 DE8937040044", []),
+        ("DE89" * 2000 + f" {code}", [code]),
+    ]
+    frame = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id long, text string")
+    out = {r.doc.doc_id: r.spans for r in pii.find_spans(frame).collect()}
+    for i, (text, want) in enumerate(cases):
+        assert [text[s.start : s.end] for s in out[i] if s.kind == "iban"] == want, text[:60]
+
+
 @given
 def test_language_held_out(spark):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").collect()}

@@ -89,7 +89,7 @@ def patterns_of(text: str) -> list[bool]:
     upper, letters = len(raw.translate(None, _NO_UPPER)), len(raw.translate(None, _NO_LETTER))
     return [
         bool(_INSULT.search(text)) if "you" in text or "You" in text or "YOU" in text else False,
-        bool(_MASKED.search(text)) if "**" in text or "@@" in text or "##" in text or "$$" in text else False,
+        bool(_MASKED.search(text)) if "*" in text or "@" in text or "#" in text or "$" in text else False,
         letters >= 20 and upper > 0.6 * letters,
         "!!!" in text,
     ]

@@ -293,6 +293,12 @@ def test_toxicity_held_out(spark):
     assert sum(r.predicted == toxic[r.doc_id] for r in out if r.held_out) >= 0.85 * sum(r.held_out for r in out)
 
 
+def test_mixed_masks_are_seen():
+    masked = toxicity.PATTERNS.index("masked")
+    seen = [toxicity.patterns_of(t)[masked] for t in ("you f@#k", "s#*t", "f**k", "me@mail.org", "$5 and #1", "")]
+    assert seen == [True, True, True, False, False, False]
+
+
 def test_label_model_discounts_copies():
     """A voter that is copied counts for about one voter, not for many."""
     rng = np.random.default_rng(1)

@@ -286,7 +286,7 @@ def rebuild_twice(spark, sf):
 def table_listing(spark, sf):
     name = _database(spark)
     for t, source in {"kpi_orders": "orders", "kpi_parts": "part", "raw_parts": "part"}.items():
-        tables.save_table(table(spark, sf, source).limit(5), f"{name}.{t}")
+        tables.save_table(table(spark, sf, source), f"{name}.{t}")
     return tables.list_tables(spark, name, "kpi_*")
 
 

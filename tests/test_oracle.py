@@ -31,6 +31,17 @@ def test_query(spark, con, name):
         assert compare(df, con, sql) is None
 
 
+def test_listed_tables_are_whole(spark, monkeypatch):
+    from creditloom.queries import files
+
+    names, listing = [], files.tables.list_tables
+    monkeypatch.setattr(files.tables, "list_tables", lambda s, n, like: names.append(n) or listing(s, n, like))
+    listed = [r.tableName for r in entry.queries()["table_listing"](spark, SF_DIR).collect()]
+    found = {t: spark.table(f"{names[0]}.{t}").count() for t in listed}
+    count = lambda t: spark.read.parquet(f"{SF_DIR}/{t}.parquet").count()
+    assert found == {"kpi_orders": count("orders"), "kpi_parts": count("part")}
+
+
 def _scans(spark, name):
     plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     return {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, language_id, line_dedup, pii, simhash, toxicity
+from creditloom.llm import decontaminate, language_id, licenses, line_dedup, pii, simhash, toxicity
 from creditloom.llm.common import read, remainder
 from creditloom.llm.registry import query
 
@@ -184,3 +184,25 @@ def toxicity_documents(spark, sf_dir):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op13_license_scans")
+def license_documents(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.find_notices(docs, keep=["doc_id"])
+    places = F.filter("matches", lambda m: m["base"] & (m["edits"] == 0))
+
+    def labels(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    first = F.transform("places", lambda m: m["first_word"])
+    return found.withColumn("places", places).select(
+        "doc.doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"),
+        F.array_max(first).alias("last_word"),
+        labels(F.col("places")).alias("base_labels"),
+        labels(F.col("matches")).alias("labels"),
+        "score",
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, language_id, licenses, line_dedup, pii, simhash, toxicity
+from creditloom.llm import decontaminate, language_id, licenses, line_dedup, pii, ranked, simhash, toxicity
 from creditloom.llm.common import read, remainder
 from creditloom.llm.registry import query
 
@@ -186,6 +186,32 @@ def toxicity_documents(spark, sf_dir):
     )
 
 
+RANKED_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, coalesce(sum(len(w)), 0)::bigint AS n_terms FROM d),
+q AS (SELECT DISTINCT r, item_id, unnest(w) AS term
+      FROM (SELECT row_number() OVER () AS r, item_id, coalesce({_WORDS}, []) AS w FROM benchmark)),
+t AS (SELECT r, doc_id, n, term, count(*) AS tf
+      FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q)
+      GROUP BY r, doc_id, n, term),
+f AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint AS weight
+      FROM t, s GROUP BY term, n_docs),
+p AS (SELECT t.r, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS gain
+      FROM t JOIN f USING (term), s),
+x AS (SELECT q.r AS qr, item_id, p.r AS dr, doc_id, sum(gain)::bigint AS score
+      FROM q JOIN p USING (term) GROUP BY q.r, item_id, p.r, doc_id),
+y AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, doc_id)::int AS rank FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM y WHERE rank <= 50
+"""
+
+
+@query("op12_ranked_lexical_search", RANKED_SQL)
+def ranked_documents(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    items = read(spark, sf_dir, "benchmark").select("item_id", "text")
+    return ranked.rank_documents(docs, items, k=50)
+
+
 @query("op13_license_scans")
 def license_documents(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")

@@ -5,7 +5,7 @@ the correlations of the columns' normal scores. Whether a value is NULL is a sco
 are NULL together stay so. It is fitted by two aggregates (quantiles; sums and products of the scores) and is
 a small table that can be stored. Drawing needs no source rows: a hash of (seed, class, draw, score) gives
 independent normal numbers, the triangular factor of the correlations mixes them, and the quantile tables
-turn them into values. So no drawn row repeats a source row, values stay inside the observed range of their class, and
+turn them into values. No drawn row is made from a source row, values stay inside the observed range of their class, and
 the same seed gives the same rows on any cluster.
 
 All work on rows is column expressions; only the model (classes x columns x ``GRID`` numbers, at most

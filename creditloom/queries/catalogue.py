@@ -1,6 +1,6 @@
 """All registered queries; importing the groups fills the registry."""
 
-from creditloom.queries import columns, files, flows, marts, synthetic
+from creditloom.queries import columns, files, flows, marts, parity, synthetic
 from creditloom.queries.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "columns", "files", "flows", "marts", "synthetic"]
+__all__ = ["ORACLE", "QUERIES", "columns", "files", "flows", "marts", "parity", "synthetic"]

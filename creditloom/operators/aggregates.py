@@ -59,7 +59,11 @@ def rate_cube(df: DataFrame, labels: list[str], target: str = TARGET) -> DataFra
     ``grouping`` is the id of the grouping set; a slice is picked by it, so a label that is itself
     NULL is not taken for a total.
     """
-    cells = label_counts(df, labels, target)
+    return cube_of_cells(label_counts(df, labels, target), labels)
+
+
+def cube_of_cells(cells: DataFrame, labels: list[str]) -> DataFrame:
+    """The cube from label counts, which may be those of several batches added up."""
     sets = [[F.col(label)] for label in labels] + [[]]
     return (
         cells.groupingSets(sets, *[F.col(label) for label in labels])

@@ -65,9 +65,9 @@ def lost(spark: SparkSession, job: Job) -> DataFrame:
 
 
 def run_path_a(spark: SparkSession, job: Job, error: float | None = None) -> bool:
-    """Stage and check; if every rule passes, load the star schema and build its KPI tables.
+    """Stage and check; if every rule passes, publish the star schema and its KPI tables in one step.
 
-    A failing rule leaves the database as it was; its report is written either way.
+    A failing rule or a load that dies leaves readers what they had; the report is written either way.
     """
     credit, observations = sources(spark, job)
     staging = f"{job.work}/staging"
@@ -83,13 +83,9 @@ def run_path_a(spark: SparkSession, job: Job, error: float | None = None) -> boo
     if not quality.gate(written).first().all_pass:
         return False
     with observe.StageRun(spark, job.log, "ETL", "load") as stage:
-        mart.load_mart(spark, staging, job.database_a, f"{job.work}/{job.database_a}")
-        loaded = {name: spark.table(f"{job.database_a}.{name}") for name in mart.TABLES}
-        fact, clients = loaded["fact_credit_monthly"], loaded["dim_client"]
-        kpi.save_kpis(
-            spark, job.database_a, kpi.kpi_tables_a(clients, fact, loaded["dim_date"])
-        )
-        stage.count_rows(fact)
+        kpis = kpi.kpi_tables_a(clients, fact, staged["dim_date"])
+        mart.publish_mart(spark, staging, job.database_a, f"{job.work}/{job.database_a}", kpis)
+        stage.count_rows(spark.table(f"{job.database_a}.fact_credit_monthly"))
     return True
 
 

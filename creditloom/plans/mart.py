@@ -19,7 +19,7 @@ from creditloom.operators.aggregates import rate, rate_cube
 from creditloom.operators.joins import dimension_join
 from creditloom.operators.windows import rank_in_group, running
 from creditloom.session import materialise
-from creditloom.sinks import tables
+from creditloom.sinks import publish, tables
 from creditloom.vocabulary import (
     AGE_RANGE,
     BILL_COLUMNS,
@@ -279,6 +279,19 @@ def load_mart(spark: SparkSession, folder: str, database: str, location: str | N
         tables.save_table(spark.read.parquet(f"{folder}/{name}"), f"{database}.{name}", by)
 
 
+def publish_mart(
+    spark: SparkSession, folder: str, database: str, location: str, more: dict[str, DataFrame] | None = None
+) -> int:
+    """Publish the staged tables, and ``more`` made from them, in one step; readers never see half a mart."""
+    publish.create_database(spark, database, location)
+    frames: dict = {}
+    for name in TABLES:
+        by = ["date_key"] if name == "fact_credit_monthly" else []
+        frames[name] = (spark.read.parquet(f"{folder}/{name}"), by)
+    frames |= {name: (df, []) for name, df in (more or {}).items()}
+    return publish.publish_tables(spark, database, frames)
+
+
 # --- path B: land raw, model in SQL shape ------------------------------------------------------
 
 

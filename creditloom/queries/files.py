@@ -281,13 +281,17 @@ def rebuild_twice(spark, sf):
 
 @query(
     "table_listing",
-    "SELECT * FROM (VALUES ('kpi_orders'), ('kpi_parts')) AS v(\"tableName\")",
+    "SELECT 'kpi_orders' AS \"tableName\", count(*) AS n_rows FROM orders UNION ALL SELECT 'kpi_parts', count(*) FROM part",
 )
 def table_listing(spark, sf):
+    """The tables whose names match, each with the number of rows read back from it."""
     name = _database(spark)
     for t, source in {"kpi_orders": "orders", "kpi_parts": "part", "raw_parts": "part"}.items():
         tables.save_table(table(spark, sf, source), f"{name}.{t}")
-    return tables.list_tables(spark, name, "kpi_*")
+    listed = tables.list_tables(spark, name, "kpi_*")
+    found = {r["tableName"]: spark.table(f"{name}.{r['tableName']}") for r in listed.collect()}
+    counts = files.count_tables(found)
+    return listed.join(counts.withColumnRenamed("table_name", "tableName"), "tableName")
 
 
 def _expected(schema: dict[str, str], rows: str) -> str:

@@ -22,19 +22,17 @@ LABELS = list(DIMENSIONS.values())
 # --- inputs of the queries -------------------------------------------------------------------------
 
 
-def clients_a(spark, sf):
-    """Client dimension for readers of labels and rates; without fences the history is pruned."""
-    return M.dim_client(M.clean_credit(credit_wide(spark, sf), cap=False, ordered=False))
-
-
 def clients_b(spark, sf):
     return M.demographics(credit_wide(spark, sf))
 
 
-def mart(spark, sf, cap=True):
-    """``cap=False`` is for readers of one table that use no amount: all they don't read is pruned."""
-    credit, macro = credit_wide(spark, sf), macro_long(spark, sf)
-    return M.mart_a(credit, macro, ANCHOR_YEAR, cap=cap, ordered=cap)
+def mart(spark, sf):
+    """The mart that is loaded: fences, and one written copy of the clients that dimension and fact share."""
+    return M.mart_a(credit_wide(spark, sf), macro_long(spark, sf), ANCHOR_YEAR)
+
+
+def clients_a(spark, sf):
+    return mart(spark, sf).dim_client
 
 
 def fact_b(spark, sf):
@@ -261,7 +259,7 @@ def q6_behaviour(spark, sf):
     ),
 )
 def q7_rate_vs_macro(spark, sf):
-    m = mart(spark, sf, cap=False)
+    m = mart(spark, sf)
     return K.rate_vs_macro(m.fact, m.dim_date)
 
 
@@ -278,7 +276,7 @@ def q7_rate_vs_macro(spark, sf):
     ),
 )
 def q8_corr(spark, sf):
-    return K.correlations(mart(spark, sf, cap=False).fact, prefix="corr_default_")
+    return K.correlations(mart(spark, sf).fact, prefix="corr_default_")
 
 
 # --- cube, slices and KPI tables --------------------------------------------------------------------
@@ -352,7 +350,7 @@ def kpi_demographic_onepass(spark, sf):
     ),
 )
 def kpi_monthly_a(spark, sf):
-    m = mart(spark, sf, cap=False)
+    m = mart(spark, sf)
     return K.monthly_a(m.fact, m.dim_date)
 
 
@@ -436,8 +434,8 @@ def cells(kpis):
 
 
 def kpis_of_both(spark, sf):
-    m = mart(spark, sf, cap=False)
-    clients = materialise(clients_a(spark, sf).select(*LABELS, TARGET), "clients_a")
+    m = mart(spark, sf)
+    clients = materialise(m.dim_client.select(*LABELS, TARGET), "clients_a")
     fact = materialise(m.fact.select("date_key", TARGET, *SCALED_INDICATORS), "fact_a")
     labelled = materialise(clients_b(spark, sf).select(*LABELS, TARGET), "clients_b")
     landed = materialise(fact_b(spark, sf).select("date_key", TARGET), "fact_b")
@@ -593,12 +591,11 @@ def kpi_nested(spark, sf):
 @query("kpi_document", with_ctes(cells_sql("a"), *KPI_CTES))
 def kpi_document(spark, sf):
     """The summary as one JSON text, parsed back into the cells it was made of."""
-    clients = clients_a(spark, sf)
-    m = mart(spark, sf, cap=False)
+    m = mart(spark, sf)
     tables = {
-        "kpi_overall": A.overall_rate(clients, "default_rate"),
+        "kpi_overall": A.overall_rate(m.dim_client, "default_rate"),
         "kpi_corr_default_macro": K.correlations(m.fact),
-        "kpi_default_by_demographic": by_category_a(spark, sf),
+        "kpi_default_by_demographic": A.long_of_cube(A.rate_cube(m.dim_client, LABELS), DIMENSIONS),
         "kpi_monthly_default_vs_macro": K.monthly_a(m.fact, m.dim_date),
     }
     document = K.summary_document(*tables.values())

@@ -39,6 +39,9 @@ ARCHIVE_BYTES = 8 << 20
 REVISIT_BYTES = 1000
 SALTS = 16
 _PART = 1 << 16
+#: Bytes between records or members that mean nothing.
+PADDING = b"\r\n\x00"
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
 #: ARC has a capture time per record; rows without one get this.
 CAPTURED = "20240101000000"
 
@@ -95,22 +98,37 @@ WARC_RECORD = T.StructType(
 
 
 def members(content: bytes) -> bytes:
-    """An archive's bytes, whether compressed member by member or not at all."""
+    """An archive's bytes, whether compressed member by member or not at all.
+
+    Line ends and zero bytes between members and after the last are padding; anything else is an error.
+    """
     magic = b"\x1f\x8b"
     if content[:2] != magic:
         return content
     out, at = [], 0
-    while content[at : at + 2] == magic:
-        unzip = zlib.decompressobj(wbits=31)
+    while (at := _past(content, at, PADDING)) < len(content):
+        if content[at : at + 2] != magic:
+            raise ValueError(f"no compressed member at {at}: {content[at : at + 20]!r}")
+        begin, unzip = at, zlib.decompressobj(wbits=31)
         while not unzip.eof and at < len(content):
             part = content[at : at + _PART]  # what is left over of a part is copied, not the rest of all
-            out.append(unzip.decompress(part))
+            try:
+                out.append(unzip.decompress(part))
+            except zlib.error as error:
+                raise ValueError(f"garbled member at {begin}: {error}") from error
             at += len(part) - len(unzip.unused_data)
         if not unzip.eof:
-            raise ValueError("the last member is cut off")
+            raise ValueError(f"the last member, at {begin}, is cut off")
     return b"".join(out)
 
 
+def _past(data: bytes, at: int, padding: bytes) -> int:
+    """The next place that holds no padding."""
+    while at < len(data) and data[at] in padding:
+        at += 1
+    return at
+
+
 def arc_header(version: bytes, url: str, ip: str, date: str, mime: str, length: int, **more: str) -> bytes:
     given = {
         "URL": url,
@@ -123,18 +141,16 @@ def arc_header(version: bytes, url: str, ip: str, date: str, mime: str, length:
 
 
 def arc_opening(version: bytes, name: str) -> bytes:
+    """The version block; its own header line has the fields of its version."""
     body = version + b" 0 creditloom\n" + " ".join(ARC_FIELDS[version]).encode() + b"\n"
-    # the opening block's own header line has the five fields of version 1 in every version
-    return arc_header(b"1", f"filedesc://{name}", "0.0.0.0", CAPTURED, "text/plain", len(body)) + body + b"\n"
+    more = {"Result-code": "200", "Offset": "0", "Filename": name}
+    return arc_header(version, f"filedesc://{name}", "0.0.0.0", CAPTURED, "text/plain", len(body), **more) + body + b"\n"
 
 
 def arc_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """Offset, header fields and block of each record after the opening one."""
     data, at, fields = members(content), 0, None
-    while at < len(data):
-        if data[at : at + 1] in (b"\n", b"\r"):
-            at += 1
-            continue
+    while (at := _past(data, at, PADDING)) < len(data):
         line_end = data.find(b"\n", at)
         if line_end < 0:
             raise ValueError(f"header line without an end at {at}")
@@ -158,27 +174,42 @@ def arc_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header and block of each record; what is neither a record nor padding is an error."""
     data, at = members(content), 0
-    while data.startswith(b"WARC/", at):
-        head_end = data.index(b"\r\n\r\n", at)
-        lines = data[at:head_end].decode("utf-8", "replace").split("\r\n")[1:]
-        header = {n.strip().lower(): v.strip() for n, _, v in (x.partition(":") for x in lines)}
-        begin = head_end + 4
-        length = int(header["content-length"])
+    while (at := _past(data, at, PADDING)) < len(data):
+        if not data.startswith(b"WARC/", at):
+            raise ValueError(f"no record at {at}: {data[at : at + 20]!r}")
+        end = _HEAD_END.search(data, at)
+        if not end:
+            raise ValueError(f"record at {at} has a header without an end")
+        header = _fields(data[at : end.start()])
+        length = header.get("content-length", "")
+        if not length.isdigit():
+            raise ValueError(f"record at {at} declares no length")
+        begin, length = end.end(), int(length)
         if begin + length > len(data):
             raise ValueError(f"record at {at} declares {length} bytes, {len(data) - begin} are left")
         yield header, data[begin : begin + length]
-        at = begin + length + 4
+        at = begin + length
+
+
+def _fields(head: bytes) -> dict[str, str]:
+    """Named fields of a head, without its first line; names in lower case."""
+    lines = head.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")[1:]
+    return {n.strip().lower(): v.strip() for n, _, v in (x.partition(":") for x in lines)}
 
 
 def http_parts(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
-    """Header fields, head with its blank line, and payload; a block without a head is all payload."""
+    """Header fields, head with its blank line, and payload; a block without a head is all payload.
+
+    Lines end with CRLF or, as in many old archives, with LF alone. A head without a blank line has no payload.
+    """
     if not block.startswith(b"HTTP/"):
         return {}, b"", block
-    head, _, payload = block.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
-    fields = {n.strip().lower(): v.strip() for n, _, v in (x.partition(":") for x in lines)}
-    return fields, head + b"\r\n\r\n", payload
+    end = _HEAD_END.search(block)
+    if not end:
+        return _fields(block), block, b""
+    return _fields(block[: end.start()]), block[: end.end()], block[end.end() :]
 
 
 def iso_date(date: str) -> str:

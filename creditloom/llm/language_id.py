@@ -17,7 +17,11 @@ again but are its weight. Everything else covers all rows.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0. Rows without a language
 are not learned from. Where no language can be learned, all texts are ``und``. Ties go to the language
-that sorts first. Repeated rows are predicted each, and count once per row in learning.
+that sorts first. Repeated rows are predicted each, and count once per row in learning. Letters are the
+characters of the Unicode categories L; number characters such as circled digits are none.
+
+A model holds at most ``LANGUAGES`` languages. Where there are more, they are learned and scored in blocks, in
+order; a text's best language and the sum that its score is divided by go from block to block.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +40,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditloom.session import materialise
+
 UNKNOWN = "und"
 #: Distinct labelled texts per language that are learned from, about.
 SAMPLE = 1000
-#: Languages; more can't be told apart in one pass over the text.
+#: Languages of a block; each block is a pass over the text.
 LANGUAGES = 200
 LONGEST = 24
 #: Longest piece in letters, the space counted.
@@ -52,12 +59,17 @@ _TOGETHER = 20_000
 _CHUNK = 500
 
 _WORD = re.compile(r"[^\W\d_]+")
-#: The same letters for Spark; what its Unicode tables don't know yet may be one.
-_LETTER = r"[\p{L}\p{Nl}\p{No}\p{Cn}]"
+#: Letters for Spark; what its Unicode tables don't know yet may be one.
+_LETTER = r"[\p{L}\p{Cn}]"
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters in lower case."""
+    found = _WORD.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    # the pattern takes number characters that aren't digits for letters
+    return ["".join(run) for w in found for letters, run in groupby(w, str.isalpha) if letters]
 
 
 def vocabulary_pieces(name: str) -> list[str]:
@@ -150,6 +162,8 @@ class Model:
     #: log of the share of each language in learning.
     prior: np.ndarray
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
+    #: Further blocks of languages, all of which sort after these.
+    more: list[Model] = field(default_factory=list)
 
 
 def forward(lattice: Lattice, probability: np.ndarray, letters: np.ndarray, lengths: np.ndarray):
@@ -237,15 +251,35 @@ def learn(
     worded = F.col("text").rlike(_LETTER)
     # copies of a text are one group, so that the share of a language is one of distinct texts
     texts = rows.groupBy("lang", F.xxhash64("text").alias("hash"), worded.alias("worded")).agg(F.count("*").alias("n"))
-    found = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count_if("worded").alias("texts")).take(LANGUAGES + 1)
-    sizes = {r["lang"]: r["n"] for r in found}
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"over {LANGUAGES} languages")
+    found = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count_if("worded").alias("texts"))
+    block = found.take(LANGUAGES + 1)
+    pieces = vocabulary_pieces(vocabulary)
+    if len(block) <= LANGUAGES:
+        return _learn_block(rows.where(worded), block, sample, pieces)
+    # more than one block: in order, so that ties still go to the language that sorts first
+    found = materialise(found, "languages")
+    total, last, models = found.agg(F.sum("n")).first()[0], None, []
+    while True:
+        rest = found if last is None else found.where(F.col("lang") > last)
+        block = rest.orderBy("lang").limit(LANGUAGES).collect()
+        if not block:
+            break
+        last = block[-1]["lang"]
+        models.append(_learn_block(rows.where(worded), block, sample, pieces, total))
+    models = [m for m in models if m is not None]
+    if models:
+        models[0].more = models[1:]
+    return models[0] if models else None
+
+
+def _learn_block(rows: DataFrame, block: list, sample: int, pieces: list[str], total: int | None = None) -> Model | None:
+    """A model of the languages of ``block`` (with their rows and distinct texts), from rows with a word."""
+    sizes = {r["lang"]: r["n"] for r in block}
     if not sizes:
         return None
-    shares = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(1.0, sample / max(r["texts"], 1)))])
+    shares = F.create_map(*[F.lit(x) for r in block for x in (r["lang"], min(1.0, sample / max(r["texts"], 1)))])
     place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
-    chosen = rows.where(worded & (place < F.try_element_at(shares, F.col("lang"))))
+    chosen = rows.where(place < F.try_element_at(shares, F.col("lang")))
     chosen = chosen.groupBy("text", "lang").agg(F.count("*").alias("n"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +306,12 @@ def learn(
     for lang, word, n in zip(*(c.to_pylist() for c in counted.select("lang", "word", "n").toArrow().columns)):
         counts[lang][word] = n
     counts = {lang: words for lang, words in counts.items() if words}
-    return fit(counts, sizes, vocabulary_pieces(vocabulary)) if counts else None
+    if not counts:
+        return None
+    model = fit(counts, sizes, pieces)
+    if total:  # shares of all blocks, not of this one
+        model.prior = model.prior + np.log(sum(sizes[x] for x in model.languages) / total)
+    return model
 
 
 class Scorer:
@@ -301,24 +340,35 @@ class Scorer:
         self.known.update(zip(words, range(base, base + len(words))))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """The likeliest language of each text, and its share of all."""
+        languages, _, sums = self.weigh(texts)
+        return languages, [1 / s if s else 0.0 for s in sums]
+
+    def weigh(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """The likeliest language of each text, its log weight, and the sum of all weights in units of that.
+
+        A text without a letter is unknown, and its sum 0.
+        """
         split = [words_of(t) for t in texts]
         if len(self.known) > self.remembered:
             self.known, self.scores = {}, self.scores[:0]
         new = set().union(*split).difference(self.known)
         if new:
             self._learn(sorted(new, key=len))  # words of like length share an array
-        languages, scores = [], []
+        languages, logs, sums = [], [], []
         for words in split:
             if not words:
                 languages.append(UNKNOWN)
-                scores.append(0.0)
+                logs.append(0.0)
+                sums.append(0.0)
                 continue
             at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
             total = self.scores[at].sum(axis=0) + self.model.prior
             best = int(np.argmax(total))
             languages.append(self.model.languages[best])
-            scores.append(float(1 / np.exp(total - total[best]).sum()))
-        return languages, scores
+            logs.append(float(total[best]))
+            sums.append(float(np.exp(total - total[best]).sum()))
+        return languages, logs, sums
 
 
 _SCORERS: dict[str, Scorer] = {}
@@ -339,6 +389,8 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     rows = docs.select(F.struct(*[docs[c] for c in names]).alias("doc"), docs[text_col].alias("text"))
     if model is None:
         return rows.select("doc", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    if model.more:
+        return _predict_blocks(rows, [model, *model.more])
     # pieces times languages: bounded by the vocabulary and LANGUAGES
     shared = spark.sparkContext.broadcast(model)
 
@@ -359,6 +411,42 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     return rows.mapInArrow(run, schema)
 
 
+def _predict_blocks(rows: DataFrame, models: list[Model]) -> DataFrame:
+    """The same over several blocks of languages, one pass for each, written in between."""
+    spark = rows.sparkSession
+    empty = {"lang_pred": F.lit(UNKNOWN), "log": F.lit(0.0), "sum": F.lit(0.0)}
+    rows = rows.select("doc", "text", *[c.alias(n) for n, c in empty.items()])
+    for number, model in enumerate(models):
+        shared = spark.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            scorer = _scorer(shared.value)
+            for batch in batches:
+                for at in range(0, batch.num_rows, _CHUNK):
+                    part = batch.slice(at, _CHUNK)
+                    found = scorer.weigh(part.column(1).to_pylist())
+                    old = (part.column(i).to_pylist() for i in (2, 3, 4))
+                    joint = [_heavier(a, b) for a, b in zip(zip(*old), zip(*found))]
+                    columns = [pa.array([j[i] for j in joint], t) for i, t in enumerate((pa.string(), pa.float64(), pa.float64()))]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), part.column(1), *columns], names=["doc", "text", "lang_pred", "log", "sum"]
+                    )
+
+        rows = rows.mapInArrow(run, rows.schema)
+        if number < len(models) - 1:
+            rows = materialise(rows, "languages-so-far")
+    score = F.when(F.col("sum") > 0, 1 / F.col("sum")).otherwise(0.0)
+    return rows.select("doc", "lang_pred", score.alias("score"))
+
+
+def _heavier(a: tuple[str, float, float], b: tuple[str, float, float]) -> tuple[str, float, float]:
+    """Of two blocks' results that with the likelier language, the sum over both in its units."""
+    if not a[2] or not b[2]:
+        return b if b[2] else a
+    best, other = (b, a) if b[1] > a[1] else (a, b)
+    return best[0], best[1], best[2] + other[2] * float(np.exp(other[1] - best[1]))
+
+
 def rejected() -> Column:
     """Condition on ``predict``'s rows: no language could be named."""
     return F.col("lang_pred") == UNKNOWN

@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -324,7 +325,8 @@ def test_pipeline(spark):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()
     stages = dict(corpus_pipeline.STAGES)
     kept = stages["language_id"](spark, docs, SMALL).collect()
-    assert {r.doc_id for r in kept} == {r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")}
+    lettered = lambda text: any(unicodedata.category(c)[0] == "L" for c in text or "")
+    assert {r.doc_id for r in kept} == {r.doc_id for r in docs.collect() if lettered(r.text)}
 
     key = lambda line: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
     seen = {}
@@ -369,6 +371,86 @@ def test_escapes_are_undone():
             assert not re.search(r"<\||</?s>|\[/?INST\]", formatted[a:b])
 
 
+@pytest.mark.parametrize("text", ["①", "²½", "Ⅳ ⅷ", "12 + 3", "٣", "..."])
+def test_number_characters_are_no_letters(spark, text):
+    rows = [(1, "the cat sat on the mat", "en"), (2, "le chat est sur la table", "fr"), (3, text, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc.doc_id: (r.lang_pred, r.score) for r in language_id.predict(frame, language_id.learn(frame)).collect()}
+    assert got[3] == ("und", 0.0) and got[1][0] == "en" and got[2][0] == "fr"
+    assert language_id.words_of("ab①cd Ⅳe½ É") == ["ab", "cd", "e", "é"]
+
+
+def test_more_languages_than_a_block(spark, monkeypatch):
+    """250 planted languages with words of their own are all learned; blocks agree with one model."""
+    rng = random.Random(6)
+    syllables = ["".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 3)) for _ in range(500)]
+    rows = []
+    for n in range(250):
+        own = rng.sample(syllables, 12)
+        rows += [(n * 8 + i, " ".join("".join(rng.choices(own, k=2)) for _ in range(30)), f"l{n:03}") for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").cache()
+    taught, asked = frame.where("doc_id % 8 < 6"), frame.where("doc_id % 8 >= 6").unionByName(frame.limit(1).selectExpr("-1L AS doc_id", "'!' AS text", "lang"))
+    model = language_id.learn(taught)
+    assert len(model.languages) == 200 and [len(m.languages) for m in model.more] == [50]
+    got = {r.doc.doc_id: (r.doc.lang, r.lang_pred, r.score) for r in language_id.predict(asked, model).collect()}
+    assert got.pop(-1)[1:] == ("und", 0.0) and len(got) == 500
+    assert sum(a == b for a, b, _ in got.values()) > 0.95 * len(got)
+    few = asked.where("lang < 'l006'")
+    some = taught.where("lang < 'l006'")
+    whole = {r.doc.doc_id: (r.lang_pred, r.score) for r in language_id.predict(few, language_id.learn(some)).collect()}
+    monkeypatch.setattr(language_id, "LANGUAGES", 4)
+    split = language_id.learn(some)
+    assert [len(m.languages) for m in (split, *split.more)] == [4, 2]
+    parts = {r.doc.doc_id: (r.lang_pred, r.score) for r in language_id.predict(few, split).collect()}
+    assert {k: v[0] for k, v in parts.items()} == {k: v[0] for k, v in whole.items()}
+    assert all(abs(parts[k][1] - whole[k][1]) < 1e-6 for k in whole)
+
+
+def test_padding_and_garbage_in_archives():
+    """Every record is read, or an error names the place."""
+    import gzip
+
+    def warc_of(i):
+        return f"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 3\r\n\r\nab{i}\r\n\r\n".encode()
+
+    blocks = lambda data: [b for _, b in warc.warc_records(data)]
+    want = [b"ab0", b"ab1", b"ab2"]
+    for pad in (b"", b"\0\0", b"\r\n", b"\n\0\r\n" * 40_000):
+        assert blocks(b"".join(warc_of(i) + pad for i in range(3))) == want
+        assert blocks(b"".join(gzip.compress(warc_of(i)) + pad for i in range(3))) == want
+    # line ends of one byte
+    assert blocks(warc_of(0).replace(b"\r\n", b"\n") + warc_of(1)) == want[:2]
+    packed = [gzip.compress(warc_of(i)) for i in range(3)]
+    at = len(packed[0])
+    for bad, place in (
+        (warc_of(0) + b"junk" + warc_of(1), len(warc_of(0))),
+        (packed[0] + b"junk" + packed[1], at),
+        (packed[0] + packed[1][:-9], at),
+        (packed[0] + packed[1][:12] + b"\xff" * 9 + packed[1][21:], at),
+        (warc_of(0) + warc_of(1).replace(b"Content-Length: 3", b"Content-Length: x"), len(warc_of(0))),
+        (warc_of(0) + b"WARC/1.1\r\nContent-Length: 3", len(warc_of(0))),
+        (warc_of(0)[:-6], 0),
+    ):
+        with pytest.raises(ValueError, match=rf"\b{place}\b"):
+            blocks(bad)
+
+
+def test_old_heads_and_version_two():
+    body = b"<p>x</p>\n\ny"
+    for end in (b"\r\n", b"\n"):
+        head = b"HTTP/1.0 200 OK" + end + b"X-Record-Key: 7" + end + end
+        fields, got, payload = warc.http_parts(head + body)
+        assert (fields["x-record-key"], got, payload) == ("7", head, body)
+    assert warc.http_parts(b"HTTP/1.0 200 OK\nA: b") == ({"a": "b"}, b"HTTP/1.0 200 OK\nA: b", b"")
+    opening = warc.arc_opening(b"2", "x.arc")
+    line = opening.split(b"\n", 1)[0].split(b" ")
+    assert len(line) == 10 and line[3:5] == [b"text/plain", b"200"] and line[8] == b"x.arc"
+    record = warc.arc_header(b"2", "u v", "i", "20200101", "t", 3, **{"Result-code": "404"}) + b"abc\n"
+    for pad in (b"", b"\0\0\n"):
+        (_, header, block), (_, second, _) = warc.arc_records(opening + record + pad + record + pad)
+        assert (header["URL"], header["Result-code"], block, second["URL"]) == ("u v", "404", b"abc", "u v")
+
+
 def test_archive_errors_are_told():
     good = warc.arc_opening(b"1", "x.arc") + warc.arc_header(b"1", "u", "i", "20200101", "t", 3) + b"abc\n"
     assert [(h["URL"], b) for _, h, b in warc.arc_records(good)] == [("u", b"abc")]

@@ -1,6 +1,6 @@
 """All registered queries; importing the groups fills the registry."""
 
-from creditloom.queries import columns, files, flows, incremental, marts, parity, publishing, synthetic
+from creditloom.queries import arrivals, columns, files, flows, incremental, marts, parity, publishing, synthetic
 from creditloom.queries.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "columns", "files", "flows", "incremental", "marts", "parity", "publishing", "synthetic"]
+__all__ = ["ORACLE", "QUERIES", "arrivals", "columns", "files", "flows", "incremental", "marts", "parity", "publishing", "synthetic"]

@@ -39,6 +39,16 @@ def save_table(df: DataFrame, table: str, partition_by: list[str] | None = None)
     writer.saveAsTable(table)
 
 
+def save_bucketed(df: DataFrame, table: str, key: list[str], buckets: int) -> None:
+    """A table whose rows lie in ``buckets`` files by a hash of ``key``, sorted by it.
+
+    Tables with the same key and number of buckets are joined where they lie. Rows are brought
+    together by key before the write, so that there is one file per bucket.
+    """
+    placed = df.repartition(buckets, *key)
+    placed.write.mode("overwrite").format("parquet").bucketBy(buckets, *key).sortBy(*key).saveAsTable(table)
+
+
 def create_as(spark: SparkSession, table: str, select: str) -> None:
     """CREATE TABLE AS SELECT in parquet, replacing an earlier run."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -32,10 +32,10 @@ HOT_ROWS = 100_000
 HASH_SLICES = 4096
 
 
-def slice_total(df: DataFrame) -> int:
-    """Slices for the rows of ``df``, counted; at least as many as a shuffle has partitions."""
+def slice_total(df: DataFrame, rows: int | None = None) -> int:
+    """Slices for the rows of ``df``, counted if not given; at least as many as a shuffle has partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-df.count() // SLICE_ROWS))
+    return max(least, -(-(df.count() if rows is None else rows) // SLICE_ROWS))
 
 
 def lookup(
@@ -69,8 +69,11 @@ def deal_join(
     hot = counts.filter(F.col("n") > F.greatest(n_rows / HOT_SHARE, F.lit(hot_rows))).select(
         *keys, F.ceil(F.col("n") / hot_rows).cast("int").alias("__parts")
     )
-    # Both sides look up the hot keys: a table of at most HOT_SHARE rows, found once.
-    hot = materialise(hot, "hot-keys")
+    # Both sides look up the hot keys: at most HOT_SHARE rows, found once.
+    found = hot.collect()
+    if not found:
+        return lookup(left, right, keys, small=False, how=how)
+    hot = left.sparkSession.createDataFrame(found, hot.schema)
     parts = F.coalesce("__parts", F.lit(1))
     # The partition id separates full copies of a row, which share their hash.
     draw = F.xxhash64(*left.columns) + F.spark_partition_id()
@@ -85,13 +88,13 @@ def deal_join(
     ).drop("__part")
 
 
-def range_slices(df: DataFrame, *order: Column) -> DataFrame:
+def range_slices(df: DataFrame, *order: Column, rows: int | None = None) -> DataFrame:
     """Cut ``df`` into slices of the given order and write it, one folder per slice.
 
-    The rows are counted, sampled for the cut points and sorted apart, so ``df`` should be a table or
-    cheap to make; it is written first where it is neither.
+    The rows are counted (unless ``rows`` bounds them), sampled for the cut points and sorted apart, so
+    ``df`` should be a table, cheap to make, or end in a shuffle, which sampling and sorting share.
     """
-    ranged = df.repartitionByRange(slice_total(df), *order)
+    ranged = df.repartitionByRange(slice_total(df, rows), *order)
     return materialise(
         ranged.withColumn("slice", F.spark_partition_id()), "slices", partition_by=["slice"]
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.scalars import steady_round, total
 from creditloom.operators.slices import HOT_ROWS, deal_join, earlier, lookup, range_slices, so_far
-from creditloom.session import materialise
 from creditloom.vocabulary import COMPOSITION_FLOOR, COMPOSITION_SPAN
 
 
@@ -64,16 +63,18 @@ def running(
 
 
 def rank_in_group(
-    df: DataFrame, group: str, value: str, name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, group: str, value: str, name: str, hot_rows: int = HOT_ROWS, stored: DataFrame | None = None
 ) -> DataFrame:
     """Rank (bigint) by descending value, ties share a rank; NULL values come last.
 
     Rank = 1 + rows with a larger value, counted over distinct values. Periods are few and large, so
     equal values are counted before anything is sorted, and the distinct values are cut into slices
-    across all groups: six groups use as many tasks as there are slices.
+    across all groups: six groups use as many tasks as there are slices. Where ``df`` is dear to make,
+    ``stored`` is a table with the same groups and values, and ``df`` is read once.
     """
-    counts = materialise(df.groupBy(group, value).agg(F.count("*").alias("__n")), "value-counts")
-    sliced = range_slices(counts, F.col(group), F.col(value).desc_nulls_last())
+    stored = df if stored is None else stored
+    counts = stored.groupBy(group, value).agg(F.count("*").alias("__n"))
+    sliced = range_slices(counts, F.col(group), F.col(value).desc_nulls_last(), rows=stored.count())
     totals = sliced.groupBy(group, "slice").agg(F.sum("__n").alias("__rows"))
     # A slice continues at most one group of an earlier slice: at most one row per slice.
     shifts = totals.select(

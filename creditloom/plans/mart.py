@@ -318,9 +318,9 @@ def elt_trends(fact: DataFrame) -> DataFrame:
     A client that occurs twice has two rows per month; the remaining columns break such ties.
     """
     order = ["date_key", "bill_amt", "pay_amt", "pay_status", "limit_bal"]
-    # the ranks read the trends three times
-    trends = materialise(running(fact, "id", order, "bill_amt", "credit_utilization"), "trends")
-    ranked = rank_in_group(trends, "date_key", "bill_amt", "bill_rank_in_month")
+    trends = running(fact, "id", order, "bill_amt", "credit_utilization")
+    # groups and values are those of the fact, which is a table; the trends are read once
+    ranked = rank_in_group(trends, "date_key", "bill_amt", "bill_rank_in_month", stored=fact)
     return ranked.select(
         "id",
         "date_key",

@@ -109,10 +109,11 @@ def run_path_b(spark: SparkSession, job: Job) -> None:
         stage.rows = files.count_tables(built).agg({"n_rows": "sum"}).first()[0]
 
 
-def export(spark: SparkSession, job: Job) -> dict[str, str]:
-    """CSV of every KPI table of both databases."""
-    databases = [job.database_a, job.database_b]
-    return tables.export_tables(spark, databases, KPI_TABLES, f"{job.work}/exports")
+def export(spark: SparkSession, job: Job) -> bool:
+    """CSV of every KPI table of both databases, and a record of each; whether none was skipped."""
+    databases, record = [job.database_a, job.database_b], f"{job.work}/export_record"
+    written = tables.export_tables(spark, databases, KPI_TABLES, f"{job.work}/exports", record)
+    return len(written) == len(databases) * len(KPI_TABLES)
 
 
 def compare(spark: SparkSession, job: Job) -> DataFrame:
@@ -143,7 +144,7 @@ def main() -> int:
         if args.step in ("b", "all"):
             run_path_b(spark, job)
         if passed and args.step in ("export", "all"):
-            export(spark, job)
+            passed = export(spark, job)
         if args.step in ("compare", "all"):
             compare(spark, job).show()
     finally:

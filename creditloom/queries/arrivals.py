@@ -60,6 +60,46 @@ def stream_dedup(spark, sf):
     )
 
 
+_BATCH_RECORD = " UNION ALL ".join(
+    f"SELECT '{CREDIT_TOPIC}' AS topic, CAST({batch} AS BIGINT) AS batch, count(*) AS received, "
+    "count(*) FILTER (event_id % 10 <> 4) AS rows, count(*) FILTER (event_id % 10 = 4) AS undecodable, "
+    f"CAST(2 AS BIGINT) AS zones FROM events WHERE event_id % 3 = {batch}"
+    for batch in range(3)
+)
+
+
+@query("stream_batch_record", _BATCH_RECORD)
+def stream_batch_record(spark, sf):
+    """What each of three batches brought next to what landed of it in both zones; a tenth is no row."""
+    folder, progress = scratch_path(spark, "bus"), scratch_path(spark, "progress")
+    zones, layouts = [scratch_path(spark, z) for z in ("raw", "lake")], {CREDIT_TOPIC: ("csv", _EVENT)}
+    events = tables.envelope(table(spark, sf, "events").select(*_EVENT.names), CREDIT_TOPIC, "event_id")
+    number = F.col("key").cast("bigint")
+    events = events.withColumn("value", F.when(number % 10 == 4, "no json {").otherwise(F.col("value")))
+    for part in range(3):
+        tables.publish(events.filter(number % 3 == part), folder)
+        bus.land(bus.read_bus(spark, folder, [CREDIT_TOPIC]), zones, progress, layouts)
+    return bus.batch_record(spark, zones, layouts)
+
+
+@query(
+    "export_record",
+    "SELECT 'orders' AS \"table\", 'written' AS status, count(*) AS rows, false AS has_reason FROM orders UNION ALL "
+    "SELECT 'absent', 'skipped', NULL, true UNION ALL "
+    "SELECT 'parts', 'written', count(*), false FROM part",
+)
+def export_record(spark, sf):
+    """An export of which one table is missing: the record says what became of each."""
+    name = f"export_{uuid.uuid4().hex[:10]}"
+    tables.rebuild_database(spark, name, scratch_path(spark, name))
+    for t, source in (("orders", "orders"), ("parts", "part")):
+        tables.save_table(table(spark, sf, source), f"{name}.{t}")
+    record = scratch_path(spark, "record")
+    tables.export_tables(spark, [name], ["orders", "absent", "parts"], scratch_path(spark, "exports"), record)
+    read = spark.read.schema(tables.EXPORT).json(record)
+    return read.select("table", "status", "rows", F.col("reason").isNotNull().alias("has_reason"))
+
+
 # --- the newest row per key ----------------------------------------------------------------------------------
 
 

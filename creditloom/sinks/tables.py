@@ -17,6 +17,10 @@ TIMESTAMPS = {
 }
 
 
+# What became of a table of an export.
+EXPORT = "database string, table string, status string, rows bigint, reason string"
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Overwrite a parquet table. Partitioning by period lets readers skip whole folders."""
     writer = df.write.mode("overwrite")
@@ -64,19 +68,29 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def export_tables(
-    spark: SparkSession, databases: Iterable[str], tables: Iterable[str], folder: str
+    spark: SparkSession, databases: Iterable[str], tables: Iterable[str], folder: str, record: str | None = None
 ) -> dict[str, str]:
-    """CSV per table of every database; a table that fails is logged and left out."""
+    """CSV per table of every database; a table that fails is logged and left out.
+
+    ``record`` is a folder for what became of each table (see ``EXPORT``), as JSON lines.
+    """
     written: dict[str, str] = {}
+    told: list[tuple] = []
     for database in databases:
         for table in tables:
             name = f"{database}__{table}"
+            seen = Observation()
             try:
-                write_csv(spark.table(f"{database}.{table}"), f"{folder}/{name}")
+                rows = spark.table(f"{database}.{table}").observe(seen, F.count(F.lit(1)).alias("rows"))
+                write_csv(rows, f"{folder}/{name}")
             except Exception as error:  # the rest of the export goes on
                 log.warning("export of %s skipped: %s", name, error)
+                told.append((database, table, "skipped", None, str(error).splitlines()[0][:200]))
                 continue
             written[name] = f"{folder}/{name}"
+            told.append((database, table, "written", seen.get["rows"], None))
+    if record:
+        write_report(spark.createDataFrame(told, EXPORT), record)
     return written
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,6 +134,39 @@ def landed(spark: SparkSession, zone: str, topic: str, fmt: str, schema: T.Struc
     return reader.format(fmt).load(f"{zone}/{topic}/*").select(*schema.names)
 
 
+def batch_record(spark: SparkSession, zones: list[str], layouts: Mapping[str, tuple[str, T.StructType]]) -> DataFrame:
+    """(topic, batch, received, rows, undecodable, zones): messages of each batch next to what landed of them.
+
+    Counted from the zones, so it holds for every run so far; ``zones`` counts the zones that have all of them.
+    """
+    parts = []
+    for zone in zones:
+        for topic, (fmt, _) in layouts.items():
+            for kind, path, form in (
+                ("received", f"{zone}/{MESSAGES}/{topic}", "parquet"),
+                ("rows", f"{zone}/{topic}", fmt),
+                ("undecodable", f"{zone}/{UNDECODABLE}/{topic}", "parquet"),
+            ):
+                if not path_exists(spark, path):
+                    continue
+                reader = spark.read.option("header", form == "csv").format(form)
+                # the columns don't matter to a count; a text file's are those of any one line
+                schema = ENVELOPE if kind != "rows" else layouts[topic][1]
+                rows = reader.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).load(path)
+                counted = rows.groupBy("batch").agg(F.count("*").alias("n"))
+                parts.append(counted.select(F.lit(zone).alias("zone"), F.lit(topic).alias("topic"), "batch", F.lit(kind).alias("kind"), "n"))
+    if not parts:
+        return spark.createDataFrame([], "topic string, batch bigint, received bigint, rows bigint, undecodable bigint, zones bigint")
+    per_zone = reduce(DataFrame.unionByName, parts).groupBy("topic", "batch", "zone").agg(
+        *[F.coalesce(F.max(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in ("received", "rows", "undecodable")]
+    )
+    complete = F.col("received") == F.col("rows") + F.col("undecodable")
+    return per_zone.groupBy("topic", "batch").agg(
+        F.max("received").alias("received"), F.max("rows").alias("rows"), F.max("undecodable").alias("undecodable"),
+        F.count_if(complete).alias("zones"),
+    )
+
+
 def topic_counts(messages: DataFrame, sink: str, checkpoint: str) -> DataFrame:
     """Running message count per topic; the last complete state is returned as a batch table."""
     spark = messages.sparkSession

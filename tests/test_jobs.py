@@ -9,6 +9,7 @@ from creditloom import session
 from creditloom.operators.observe import read_metrics
 from creditloom.plans import jobs
 from creditloom.plans import kpi as K
+from creditloom.sinks.tables import EXPORT
 from creditloom.sources.files import read_text_numbers
 from creditloom.vocabulary import BILL_COLUMNS, PAYMENT_COLUMNS, SERIES_COLUMNS
 
@@ -60,10 +61,16 @@ def test_all_steps(spark, job):
     first, second = (spark.table(f"job_{x}.kpi_overall").first() for x in "ab")
     assert first.asDict() == second.asDict() == {"default_rate": 0.2, "total_clients": 60}
 
-    written = jobs.export(spark, job)
-    assert len(written) == 8
-    rows = read_text_numbers(spark, written["job_a__kpi_overall"], ["default_rate", "total_clients"])
+    assert jobs.export(spark, job) is True
+    record = spark.read.schema(EXPORT).json(f"{job.work}/export_record").collect()
+    assert len(record) == 8 and all(r.status == "written" and r.rows > 0 for r in record)
+    rows = read_text_numbers(spark, f"{job.work}/exports/job_a__kpi_overall", ["default_rate", "total_clients"])
     assert rows.first().asDict() == {"default_rate": "0.2", "total_clients": "60"}
+    # a KPI table that is gone is told by the job's exit
+    spark.sql("DROP TABLE job_b.kpi_overall")
+    assert jobs.export(spark, job) is False
+    gone = [r for r in spark.read.schema(EXPORT).json(f"{job.work}/export_record").collect() if r.status == "skipped"]
+    assert [(r.database, r.table, r.rows) for r in gone] == [("job_b", "kpi_overall", None)] and gone[0].reason
 
     totals = {r.pipeline: r.total_runtime_s for r in jobs.compare(spark, job).collect()}
     assert totals["ETL"] > 0 and totals["ELT"] > 0

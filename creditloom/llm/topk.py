@@ -13,7 +13,9 @@ block, so the blocks run in any order and a lost one is run again alone.
 Defined results: vectors that are null or hold a null or a component that isn't finite take no part, nor
 do rows without an id. Shorter vectors count as padded with zeros. A query's own id is no candidate of
 its own; other repeated rows are candidates each. Queries with the same id and the same vector are asked
-once. Ties go to the smaller id. With fewer candidates than k all are returned.
+once. Ties go to the smaller id. With fewer candidates than k all are returned. Products that may leave 64
+bits are taken in whole numbers of any size and ranked by them; a score beyond 64 bits, which the column can't
+hold, is returned as the nearest number that it can. A component beyond 64 bits counts as the nearest such.
 """
 
 from __future__ import annotations
@@ -33,6 +35,15 @@ QUERIES = 512
 STEPS = (0.1, 0.2, 0.3, 0.4, 0.55, 0.7, 0.85, 1.0)
 #: Candidates left at which their scores are resolved.
 FEW = 128
+#: Sums of products below this fit 64 bits with room to spare.
+SAFE = 2.0**62
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
+
+
+def _ordered(score: int) -> bytes:
+    """A score as bytes that sort like it, whatever its size."""
+    return (score + (1 << 190)).to_bytes(24, "big")
+
 
 
 class Block:
@@ -40,6 +51,7 @@ class Block:
 
     def __init__(self, values: np.ndarray):
         self.values = values
+        self.widest = float(np.abs(values.astype(float)).max(initial=0))
         self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32)
         self.sorted = np.take_along_axis(values.T, self.order, axis=1).astype(np.float64)
 
@@ -83,9 +95,15 @@ class Block:
         # with its own row in the block, one more survivor is asked for
         left = self.survivors(query, k + len(same)) if len(same) else self.survivors(query, k)
         left = left[ids[left] != own]
-        scores = self.values[left] @ query
-        top = np.lexsort((ids[left], -scores))[:k]
-        return ids[left][top], scores[top]
+        values, found = self.values[left], ids[left]
+        if float(np.abs(query.astype(float)).sum()) * self.widest >= SAFE:
+            # Python's whole numbers don't wrap around
+            scores = values.astype(object) @ query.astype(object)
+            top = sorted(range(len(left)), key=lambda i: (-scores[i], found[i]))[:k]
+        else:
+            scores = values @ query
+            top = np.lexsort((found, -scores))[:k]
+        return found[top], scores[top]
 
 
 def _whole(vector: Column, scale: int) -> Column:
@@ -125,7 +143,7 @@ def top_k(
 
     def search(asked: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or found.empty:
-            return pd.DataFrame({"query_id": [], "key": [], "vec_id": [], "score": []})
+            return pd.DataFrame([], columns=["query_id", "key", "vec_id", "score", "place"])
         wide = max(asked["v"].map(len).max(), found["v"].map(len).max())
         matrix = _matrix(found["v"], wide)
         ids = found["id"].to_numpy()
@@ -133,24 +151,25 @@ def top_k(
         parts: list[tuple] = []
         for own, key, query in zip(asked["id"], range(len(asked)), _matrix(asked["v"], wide)):
             best, scores = block.best(query, ids, own, k)
-            parts += [(own, key, int(i), int(s)) for i, s in zip(best, scores)]
-        return pd.DataFrame(parts, columns=["query_id", "key", "vec_id", "score"])
+            whole = [int(s) for s in scores]
+            parts += [(own, key, int(i), min(max(s, _LEAST), _MOST), _ordered(s)) for i, s in zip(best, whole)]
+        return pd.DataFrame(parts, columns=["query_id", "key", "vec_id", "score", "place"])
 
     # the query's number inside its block tells queries with one id and different vectors apart
-    schema = T.StructType(
-        [T.StructField(c, T.LongType()) for c in ("query_id", "key", "vec_id", "score", "q")]
-    )
+    numbers = ["query_id", "key", "vec_id", "score", "q"]
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in numbers), T.StructField("place", T.BinaryType())])
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         q = left["q"].iloc[0] if len(left) else -1
         asked = left.sort_values("id", kind="stable").reset_index(drop=True)
         if asked["id"].duplicated().any():
             asked = asked.iloc[sorted(range(len(asked)), key=lambda i: (asked["id"][i], tuple(asked["v"][i])))]
-        return search(asked.reset_index(drop=True), right).assign(q=q).astype("int64")
+        found = search(asked.reset_index(drop=True), right).assign(q=q)
+        return found.astype(dict.fromkeys(numbers, "int64"))[[*numbers, "place"]]
 
     best = queries.groupBy("q", "c").cogroup(candidates.groupBy("q", "c")).applyInPandas(run, schema)
     # a filter on a row number is applied per task before the rows are shuffled
-    order = Window.partitionBy("query_id", "key", "q").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "key", "q").orderBy(F.desc("place"), "vec_id")
     return (
         best.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

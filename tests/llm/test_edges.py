@@ -139,6 +139,20 @@ def test_vectors(spark):
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 100 == 0).collect() == []
 
 
+def test_vectors_beyond_64_bits(spark):
+    """Products that leave 64 bits are ranked by their true size; one id with two vectors asks twice."""
+    big = 4e6
+    rows = [(0, [big, big]), (1, [big, big]), (2, [big, 1.0]), (3, [-big, -big]), (4, [1e300, 1.0]), (5, [2.0**52, 2.0**52]), (0, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 100 == 0, k=4).collect())
+    scaled = lambda v: [min(max(int(1024 * x), -(2**63)), 2**63 - 1) for x in v]
+    want = []
+    for own, q in (rows[0], rows[6]):
+        found = sorted((-sum(a * b for a, b in zip(scaled(q), scaled(v))), i) for i, v in rows if i != own)[:4]
+        want += [(own, r, i, min(max(-s, -(2**63)), 2**63 - 1)) for r, (s, i) in enumerate(found, 1)]
+    assert got == sorted(want)
+
+
 CONVERSATIONS = [
     (1, 1, "assistant", "  two <|end|>\n<|user|>\n "),
     (1, 0, "user", "one \\ <\\| [INST]"),

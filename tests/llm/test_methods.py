@@ -20,7 +20,7 @@ import corpus_pipeline
 from creditloom.llm import chat, components, decontaminate, language_id, packing, pii, simhash, topk, toxicity, warc
 from creditloom.llm.queries import ORACLE, QUERIES
 
-SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SMALL, MIDDLE, LARGE = (f"/root/testdata/sf{n}" for n in ("0.001", "0.01", "0.1"))
 given = pytest.mark.skipif(not os.path.isdir(SMALL), reason="given tables are not here")
 
 
@@ -288,11 +288,18 @@ def test_segmentations_are_summed():
 
 @given
 def test_toxicity_held_out(spark):
-    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
-    out = [r for r in QUERIES["op1_toxicity"](spark, MIDDLE).collect() if r.doc_id in toxic]
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{LARGE}/labels.parquet").collect()}
+    out = [r for r in QUERIES["op1_toxicity"](spark, LARGE).collect() if r.doc_id in toxic]
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
-    assert sum(r.predicted == toxic[r.doc_id] for r in out if r.held_out) >= 0.85 * sum(r.held_out for r in out)
-
+    held = [(r.predicted, toxic[r.doc_id], r.score) for r in out if r.held_out]
+    caught, positives = (sum(t for p, t, _ in held if p >= least) for least in (1, 0))
+    named = sum(p for p, _, _ in held)
+    # a bound on recall and on precision
+    assert positives >= 50 and caught >= 0.85 * positives and caught >= 0.85 * named
+    # the area under the curve
+    toxic_scores, others = ([s for _, t, s in held if t == kind] for kind in (1, 0))
+    above = sum((a > b) + 0.5 * (a == b) for a in toxic_scores for b in others)
+    assert above >= 0.85 * len(toxic_scores) * len(others)
 
 def test_mixed_masks_are_seen():
     masked = toxicity.PATTERNS.index("masked")

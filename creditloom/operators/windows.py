@@ -11,17 +11,17 @@ from creditloom.vocabulary import COMPOSITION_FLOOR, COMPOSITION_SPAN
 
 
 def running(
-    df: DataFrame, key: str, order: list[str], value: str, averaged: str, digits: int = 4
+    df: DataFrame, key: str, order: list[str], value: str, averaged: str, digits: int = 4, rows: int | None = None
 ) -> DataFrame:
     """Add ``previous``, ``change`` (types of ``value``) and ``running_avg`` (double) per key, in order.
 
     One way for every size: range slices, so a key may hold any share of the rows. The order must name
     every row of a key once. Full copies of a row are interchangeable and may be cut apart as well: the
-    partition they are read in comes last in the order.
+    partition they are read in comes last in the order. ``rows`` saves counting them, and decides the slices.
     """
     tied = df.withColumn("__tie", F.spark_partition_id())
     order = [*order, "__tie"]
-    sliced = range_slices(tied, F.col(key), *[F.col(c) for c in order])
+    sliced = range_slices(tied, F.col(key), *[F.col(c) for c in order], rows=rows)
 
     # What a slice leaves to the next one. A slice continues at most one key of an earlier slice,
     # so ``carried`` has at most one row per slice.

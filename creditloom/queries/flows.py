@@ -18,6 +18,7 @@ from creditloom.operators import quality as Q
 from creditloom.operators import sampling as Y
 from creditloom.operators import windows as W
 from creditloom.operators.joins import orphan_rows
+from creditloom.operators.slices import SLICE_ROWS
 from creditloom.plans import mart as M
 from creditloom.queries.marts import clients_b, fact_b, macro_b
 from creditloom.queries.registry import query
@@ -88,8 +89,9 @@ def event_trends(spark, sf):
 
 @query("event_trends_sliced", _TRENDS_SQL)
 def event_trends_sliced(spark, sf):
-    events = client_events(spark, sf)
-    return _trend_columns(W.running(events, "id", ["ts", "event_id"], "amount", "amount", digits=4))
+    """The same cut into 64 slices, as a table of 64 million events is, so that clients span several."""
+    events, rows = client_events(spark, sf), 64 * SLICE_ROWS
+    return _trend_columns(W.running(events, "id", ["ts", "event_id"], "amount", "amount", rows=rows))
 
 
 _RANK_SQL = (

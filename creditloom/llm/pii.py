@@ -20,6 +20,7 @@ columns are kept in ``doc`` and never looked at. There is no join and no groupin
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,6 +62,8 @@ IBAN_LENGTHS = {
     32: "LC",
     33: "RU",
 }
+#: Matches whose lengths are added up together.
+BLOCK = 128
 SSN = "[0-9]{3}-[0-9]{2}-[0-9]{4}"
 WORDS = {
     "email": "e-?mail|contact|kontakt|correo|courriel|write to",
@@ -104,30 +107,60 @@ KINDS = (
 )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often a lambda inside looks at it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda total, x: total + x)
+
+
+def running_totals(numbers: Column) -> Column:
+    """What comes before each number of an array that isn't empty.
+
+    Blocks of ``BLOCK`` numbers are summed, then the blocks before a number's own and what is before it there:
+    the work grows with the length, where an array built entry by entry is copied for each.
+    """
+    places = F.sequence(F.lit(0), F.size(numbers) - 1)
+    blocks = F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / BLOCK).cast("int"))
+    sums = F.transform(blocks, lambda b: _total(F.slice(numbers, b * BLOCK + 1, F.lit(BLOCK))))
+    before = F.aggregate(
+        sums, F.array(F.lit(0)), lambda out, x: F.concat(out, F.array(F.element_at(out, F.lit(-1)) + x))
+    )
+
+    def at(known: Column, i: Column) -> Column:
+        block = F.floor(i / BLOCK).cast("int")
+        return F.get(known, block) + _total(F.slice(numbers, block * BLOCK + 1, i % BLOCK))
+
+    return _let(before, lambda known: F.transform(places, lambda i: at(known, i)))
+
+
 def matches(text: Column, kind: Kind) -> Column:
     """The places of all matches, left to right, each with the text around it."""
     hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     gaps = F.split(text, kind.pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    # the gap after a match is the gap before the next one
-    pieces = F.arrays_zip(hits.alias("hit"), gaps.alias("before"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("after"))
 
-    def step(acc: Column, piece: Column) -> Column:
-        begin = acc["at"] + F.char_length(piece["before"])
-        end = begin + F.char_length(piece["hit"])
-        found = F.struct(
-            begin.alias("start"),
-            end.alias("end"),
-            piece["hit"].alias("hit"),
-            F.right(piece["before"], F.lit(CONTEXT)).alias("before"),
-            F.left(piece["after"], F.lit(CONTEXT)).alias("after"),
+    def spans(hits: Column, gaps: Column) -> Column:
+        lengths = F.zip_with(
+            hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda hit, gap: F.char_length(hit) + F.char_length(gap)
         )
-        return F.when(piece["hit"].isNull(), acc).otherwise(
-            F.struct(end.alias("at"), F.concat(acc["out"], F.array(found)).alias("out"))
+        # the gap after a match is the gap before the next one
+        return _let(lengths, lambda n: _let(running_totals(n), lambda at: F.transform(hits, lambda hit, i: span(hit, i, gaps, at))))
+
+    def span(hit: Column, i: Column, gaps: Column, at: Column) -> Column:
+        begin = F.get(at, i) + F.char_length(F.get(gaps, i))
+        return F.struct(
+            begin.alias("start"),
+            (begin + F.char_length(hit)).alias("end"),
+            hit.alias("hit"),
+            F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("before"),
+            F.left(F.get(gaps, i + 1), F.lit(CONTEXT)).alias("after"),
         )
 
-    found = F.aggregate(pieces, start, step)["out"]
-    return F.when(text.rlike(kind.hint), found).otherwise(F.array().cast(SPAN))
+    none = F.array().cast(SPAN)
+    found = _let(hits, lambda h: F.when(F.size(h) == 0, none).otherwise(_let(gaps, lambda g: spans(h, g))))
+    return F.when(text.rlike(kind.hint), found).otherwise(none)
 
 
 def iban_matches(text: Column) -> Column:

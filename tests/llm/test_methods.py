@@ -465,3 +465,15 @@ def test_archive_errors_are_told():
     for bad in (good[:-3], good + b"no header\n", b"3 0 x\n"):
         with pytest.raises(ValueError):
             list(warc.arc_records(bad))
+
+
+@pytest.mark.parametrize("n", [1, 127, 128, 129, 500])
+def test_places_of_many_matches(spark, n):
+    """Places are right on either side of the blocks that lengths are added up in."""
+    parts = [f"user{i}@mail{i % 7}.org" + "é, " * (i % 5 + 1) for i in range(n)]
+    text = "".join(parts)
+    row = pii.find_spans(spark.createDataFrame([(text,)], "text string")).first()
+    want = [(m.start(), m.end()) for m in re.finditer(r"user\d+@mail\d\.org", text)]
+    assert [(s["start"], s["end"]) for s in row.spans] == want and len(want) == n
+    totals = spark.range(1).select(pii.running_totals(F.sequence(F.lit(1), F.lit(n))).alias("t")).first().t
+    assert totals == [i * (i + 1) // 2 for i in range(n)]

@@ -5,17 +5,20 @@ by one, so the Manhattan distance of two embeddings is a lower bound of the Hamm
 are kept in unary inside the segment (00, 01, 11), which makes that distance the number of differing
 bits of two long integers.
 
-The range join runs on a grid of unit cells. The 32 segments are two blocks of 16; at a Hamming distance
-of at most 4 one block has a Manhattan distance of at most 2. Every fingerprint is put, for each block,
-into its own cell and into the cells at distance 1. Two fingerprints at distance 0 meet in their own
-cell, at distance 1 in the own cell of one and a neighbour cell of the other, at distance 2 in a cell
-between them; each kind is accepted in those cells only, so a link is found once or twice and not in
-all cells that both are in. The candidates are then verified exactly. 50 cells per fingerprint, whatever
-the data; chance meetings are about 1 in 5,000 pairs.
+The range join runs on a grid of unit cells. The 32 segments are three blocks; of a Manhattan distance of
+at most 4, the block that differs most holds two or more (or there is no more than 2 in all), so the other
+two blocks together differ by at most 2. Every fingerprint is put, for each pair of blocks, into its own
+cell and into the cells at distance 1. Two fingerprints at distance 0 meet in their own cell, at distance
+1 in the own cell of one and a neighbour cell of the other, at distance 2 in a cell between them; each
+kind is accepted in those cells only, so a link is found a few times and not in all cells that both are
+in. The candidates are then verified exactly. About 100 cells per fingerprint, two long numbers each,
+whatever the data; chance meetings are about 1 in 400,000 pairs.
 
 Copies are one fingerprint here. A cell with more than ``DENSE`` fingerprints is not paired out: those
 within reach of the cell's smallest fingerprint are linked to it, and only the others are paired, with
-all of the cell. Linking through it loses no component: each pair left out is linked through it.
+all of the cell. Linking through it loses no component: each pair left out is linked through it. Cells of one
+fingerprint are left out when cells are written; the others are joined from that table, where the skew
+join may split a full cell over tasks.
 
 Defined results: a null text is an empty one; texts without words have fingerprint zero and are linked
 like any other. Rows without an id take part; the smallest id that is not null names the component, and
@@ -48,6 +51,8 @@ _PART = 1 << 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: The lower bit of each two-bit segment.
 _LOW = 0x5555555555555555
+#: First segments of the three blocks, and the end.
+_BLOCKS = (0, 11, 22, 32)
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -117,33 +122,50 @@ def embedded(fp: Column) -> Column:
     )
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """For each fingerprint its cells: ``block``, ``cell`` and ``off``, the distance to its own cell."""
-    block = F.explode(F.array(F.lit(0), F.lit(1)))
-    half = F.when(F.col("block") == 0, F.col("e").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(
-        F.shiftrightunsigned("e", 32)
-    )
-    rows = rows.select("fp", embedded(F.col("fp")).alias("e"))
-    rows = rows.select("fp", "e", block.alias("block")).select("fp", "block", half.alias("t"))
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
 
-    # a count moves up by setting the next bit of its unary code, down by clearing the last one
-    def moved(i: Column) -> Column:
-        code = F.call_function("shiftrightunsigned", F.col("t"), (i * 2).cast("int")).bitwiseAND(F.lit(3))
 
-        def flip(bits: int) -> Column:
-            return F.col("t").bitwiseXOR(
-                F.call_function("shiftleft", F.lit(bits).cast("long"), (i * 2).cast("int"))
-            )
+def _kept() -> list[tuple[int, int]]:
+    """Per block that is left out: the bits of the others, and a mark that names it.
 
-        return F.when(code == 0, F.array(flip(1))).when(code == 3, F.array(flip(2))).otherwise(
-            F.array(flip(1), flip(2))
-        )
+    The mark is 10 in the block's first segment, which is no unary count.
+    """
+    out = []
+    for first, end in zip(_BLOCKS, _BLOCKS[1:]):
+        block = (1 << 2 * end) - (1 << 2 * first)
+        out.append((_signed(~block & (1 << 64) - 1), _signed(2 << 2 * first)))
+    return out
 
-    near = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(15)), moved))
-    cells = F.concat(F.array(F.col("t")), near)
-    return rows.select("fp", "block", "t", F.explode(cells).alias("cell")).select(
-        "fp", "block", "t", "cell", (F.col("t") != F.col("cell")).cast("int").alias("off")
-    )
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """For each fingerprint its cells: ``fp`` and ``cell``, the counts of two blocks and a mark for the third."""
+    rows = rows.select("fp", embedded(F.col("fp")).alias("e"))
+    low, high = F.lit(_LOW), F.shiftrightunsigned("e", 1).bitwiseAND(F.lit(_LOW))
+    # a count moves up by setting the next bit of its unary code, down by clearing the last one:
+    # 0 by its lower bit, 1 by either, 2 by its higher bit
+    lower = low.bitwiseAND(F.bitwise_not(high))
+    higher = F.shiftleft(F.col("e").bitwiseAND(low), 1)
+    rows = rows.withColumn("moves", lower.bitwiseOR(higher))
+    steps = []
+    for kept, mark in _kept():
+        bits = [0] + [_signed(1 << j) for j in range(64) if kept >> j & 1]
+        steps += [F.struct(F.lit(m).alias("bit"), F.lit(kept).alias("kept"), F.lit(mark).alias("mark")) for m in bits]
+    rows = rows.select("fp", "e", "moves", F.explode(F.array(*steps)).alias("step"))
+    bit = F.col("step.bit")
+    cell = F.col("e").bitwiseXOR(bit).bitwiseAND(F.col("step.kept")).bitwiseOR(F.col("step.mark"))
+    return rows.where(F.col("moves").bitwiseAND(bit) == bit).select("fp", cell.alias("cell"))
+
+
+def _own(fp: Column, cell: Column) -> Column:
+    """The own cell of a fingerprint, of the same two blocks as ``cell``."""
+    (kept, mark), *others = _kept()
+    segment = F.lit(_signed(3 << 2 * _BLOCKS[0]))
+    own = F.when(cell.bitwiseAND(segment) == mark, embedded(fp).bitwiseAND(F.lit(kept)).bitwiseOR(F.lit(mark)))
+    for first, (kept, mark) in zip(_BLOCKS[1:], others):
+        moved = embedded(fp).bitwiseAND(F.lit(kept)).bitwiseOR(F.lit(mark))
+        own = own.when(cell.bitwiseAND(F.lit(3 << 2 * first)) == mark, moved)
+    return own
 
 
 def links(fps: DataFrame, reach: int = REACH, dense: int = DENSE) -> DataFrame:
@@ -152,18 +174,25 @@ def links(fps: DataFrame, reach: int = REACH, dense: int = DENSE) -> DataFrame:
     Every pair within ``reach`` (4 at most) is linked, or both are linked to one fingerprint.
     """
     if reach > 4:
-        raise ValueError("two blocks with cells at distance 1 find at most 4 differing bits")
-    place = Window.partitionBy("block", "cell")
+        raise ValueError("two of three blocks with cells at distance 1 find at most 4 differing bits")
+    place = Window.partitionBy("cell")
     cells = _cells(fps).select(
         "*", F.count("*").over(place).alias("size"), F.min("fp").over(place).alias("pivot")
     )
     by_pivot = (F.col("size") > dense) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= reach)
-    cells = cells.withColumn("starred", by_pivot)
+    cells = cells.where("size > 1").select(
+        "fp", "cell", "pivot", _own(F.col("fp"), F.col("cell")).alias("own"), by_pivot.alias("starred")
+    )
+    cells = materialise(cells, "cells")
     left = cells.where(~F.col("starred")).select(
-        "block", "cell", F.col("fp").alias("x"), F.col("t").alias("tx"), F.col("off").alias("ox")
+        "cell", F.col("fp").alias("x"), F.col("own").alias("tx"), (F.col("own") != F.col("cell")).cast("int").alias("ox")
     )
     right = cells.select(
-        "block", "cell", F.col("fp").alias("y"), F.col("t").alias("ty"), F.col("off").alias("oy"), "starred"
+        F.col("cell").alias("at"),
+        F.col("fp").alias("y"),
+        F.col("own").alias("ty"),
+        (F.col("own") != F.col("cell")).cast("int").alias("oy"),
+        "starred",
     )
     apart = F.bit_count(F.col("tx").bitwiseXOR(F.col("ty")))
     verified = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= reach
@@ -171,8 +200,7 @@ def links(fps: DataFrame, reach: int = REACH, dense: int = DENSE) -> DataFrame:
     once = F.col("starred") | (F.col("x") > F.col("y"))
     pairs = left.join(
         right,
-        (left.block == right.block)
-        & (left.cell == right.cell)
+        (F.col("cell") == F.col("at"))
         & once
         & (F.col("x") != F.col("y"))
         & (F.col("ox") + F.col("oy") == apart)

@@ -167,6 +167,32 @@ def test_links_of_dense_groups(spark, dense):
         assert {got.get(f, f) for f in group} == {min(group)}
 
 
+def test_links_in_one_full_cell(spark):
+    rng = random.Random(8)
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    # one bit in each segment: all have the same counts, most are far apart
+    fps = {sum(rng.choice((1, 2)) << 2 * i for i in range(32)) for _ in range(300)}
+    fps |= {f ^ 0b11 << 2 * rng.randrange(32) for f in sorted(fps)[:40]}
+    fps |= {f ^ 1 << rng.randrange(64) for f in sorted(fps)[:40]}
+    found = simhash.links(spark.createDataFrame([(signed(f),) for f in fps], "fp long"))
+    got = {r.node: r.root for r in components.components(found).collect()}
+    groups = {}
+    for f, root in plain_components(fps).items():
+        groups.setdefault(root, set()).add(signed(f))
+    assert sum(len(g) > 1 for g in groups.values()) > 20
+    for group in groups.values():
+        assert {got.get(f, f) for f in group} == {min(group)}
+
+
+def test_meetings_of_random_fingerprints(spark):
+    n = 40_000
+    fps = np.unique(np.random.default_rng(5).integers(-(1 << 63), (1 << 63) - 1, n)).tolist()
+    cells = simhash._cells(spark.createDataFrame([(f,) for f in fps], "fp long"))
+    size = F.col("count")
+    met = cells.groupBy("cell").count().agg(F.sum("count"), F.sum(size * (size - 1) / 2)).first()
+    assert met[0] < 102 * n and met[1] < n * n / 400_000
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i + 1, i) for i in range(1, 60)] + [(1000 + i, 100) for i in range(50)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

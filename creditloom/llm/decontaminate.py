@@ -5,9 +5,10 @@ array of word hashes, rolls them into window hashes and asks a bit table first,
 positions cost a few array operations; what is left is compared word by word with the benchmark. Hits
 are spans of words; a document or just the spans are removed.
 
-The broadcast is bounded: the benchmark's size is summed first, and a benchmark over ``SLICE_BYTES`` is
-cut by a hash of its rows into slices of at most about that size, each with a scan of its own; a
-document's spans from all slices are then merged by document.
+The broadcast is bounded by what a worker holds of it: text, words and windows are counted first, and a
+benchmark over ``SLICE_BYTES`` is cut by a hash of its rows into slices of at most about that size, each
+with a scan of its own; a document's spans from all slices are then merged by document. A worker keeps
+arrays only: the words as one text, where they start, and the windows as sorted hashes with their places.
 
 Defined results: a null text has no words, and neither documents nor items without words hit anything.
 Documents are looked at row by row, so repeated rows give repeated rows. Items with equal ids count as
@@ -31,8 +32,9 @@ from creditloom.session import materialise
 
 #: Words of a window.
 WINDOW = 10
-#: Benchmark text that one broadcast may hold.
-SLICE_BYTES = 16 << 20
+#: Bytes that a worker may hold of the benchmark at a time: text twice, and so much for each word of it.
+SLICE_BYTES = 128 << 20
+WORD_BYTES = 40
 #: Odd multiplier of the rolling hash (a fixed value).
 FACTOR = 0x9E3779B97F4A7C15
 TABLE_BITS = 20
@@ -65,37 +67,84 @@ def _window_hashes(words: np.ndarray, length: int) -> np.ndarray:
 
 
 class WindowSet:
-    """The windows of a benchmark: by length, a bit table and sorted hashes before the exact look-up."""
+    """The windows of a benchmark: by length, a bit table and sorted hashes before the exact comparison."""
 
     def __init__(self, items: Benchmark, window: int):
-        self.exact: dict[tuple[bytes, ...], set[str]] = {}
-        for item_id, text in items:
-            words = words_of(text)
+        numbers: dict[str, int] = {}
+        text, starts, at = [], [], 0
+        hashes: dict[int, list[np.ndarray]] = {}
+        places: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[np.ndarray]] = {}
+        n_words, words = 0, None
+        for item_id, item_text in items:
+            words = words_of(item_text)
             length = min(window, len(words))
-            for i in range(len(words) - length + 1 if length else 0):
-                named = self.exact.setdefault(tuple(words[i : i + length]), set())
-                if item_id is not None:
-                    named.add(item_id)
-        by_length: dict[int, list[np.ndarray]] = {}
-        for words in self.exact:
-            by_length.setdefault(len(words), []).append(_window_hashes(_word_hashes(list(words)), len(words)))
+            if not length:
+                continue
+            number = -1
+            if item_id is not None:
+                number = numbers.setdefault(item_id, len(numbers))
+            found = _window_hashes(_word_hashes(words), length)
+            hashes.setdefault(length, []).append(found)
+            places.setdefault(length, []).append(np.arange(n_words, n_words + len(found), dtype=np.int32))
+            owners.setdefault(length, []).append(np.full(len(found), number, dtype=np.int32))
+            sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+            starts.append(at + np.cumsum(sizes) - sizes)
+            text.append(b" ".join(words) + b" ")
+            at += len(text[-1])
+            n_words += len(words)
+        self.ids = list(numbers)
+        self.text = b"".join(text)
+        self.starts = np.concatenate([*starts, [at]]).astype(np.int64)
+        # windows asked for lately; a document that holds one is seldom alone
+        self.recent = lru_cache(maxsize=1 << 12)(self._windows)
+        del words
         self.lengths = {}
-        for length, found in by_length.items():
-            hashes = np.unique(np.concatenate(found))
-            table = np.zeros(1 << TABLE_BITS, dtype=bool)
-            table[hashes >> np.uint64(64 - TABLE_BITS)] = True
-            self.lengths[length] = (hashes, table)
-
-    def candidates(self, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Positions and lengths of windows whose hash is in the set."""
-        for length, (known, table) in self.lengths.items():
+        for length in list(hashes):
+            self.lengths[length] = self._sorted(
+                np.concatenate(hashes.pop(length)), np.concatenate(places.pop(length)), np.concatenate(owners.pop(length))
+            )
+
+    @staticmethod
+    def _sorted(hashes: np.ndarray, places: np.ndarray, owners: np.ndarray) -> tuple:
+        order = np.lexsort((places, hashes))
+        known, first = np.unique(hashes[order], return_index=True)
+        table = np.zeros(1 << TABLE_BITS, dtype=bool)
+        table[known >> np.uint64(64 - TABLE_BITS)] = True
+        return known, np.append(first, len(order)).astype(np.int32), places[order], owners[order], table
+
+    @property
+    def nbytes(self) -> int:
+        """Bytes of text and arrays."""
+        return len(self.text) + self.starts.nbytes + sum(a.nbytes for v in self.lengths.values() for a in v)
+
+    def candidates(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Positions of windows whose hash is in the set, their lengths, and the number of the hash."""
+        for length, (known, _, _, _, table) in self.lengths.items():
             windows = _window_hashes(hashes, length)
             at = np.flatnonzero(table[windows >> np.uint64(64 - TABLE_BITS)])
-            for i in at[np.isin(windows[at], known)].tolist():
-                yield i, length
-
-
-@lru_cache(maxsize=2)
+            number = np.minimum(np.searchsorted(known, windows[at]), len(known) - 1)
+            same = known[number] == windows[at]
+            for i, k in zip(at[same].tolist(), number[same].tolist()):
+                yield i, length, k
+
+    def _windows(self, length: int, number: int) -> dict[bytes, frozenset[str]]:
+        """The windows of one hash, nearly always one, and the ids of the items that hold them."""
+        _, first, places, owners, _ = self.lengths[length]
+        out: dict[bytes, set[str]] = {}
+        for k in range(int(first[number]), int(first[number + 1])):
+            place, owner = int(places[k]), int(owners[k])
+            named = out.setdefault(self.text[self.starts[place] : self.starts[place + length] - 1], set())
+            if owner >= 0:
+                named.add(self.ids[owner])
+        return {words: frozenset(named) for words, named in out.items()}
+
+    def find(self, words: list[bytes], number: int) -> frozenset[str] | None:
+        """Ids of the items that hold this window, word by word; None if it only has the hash of one."""
+        return self.recent(len(words), number).get(b" ".join(words))
+
+
+@lru_cache(maxsize=1)
 def _window_set(items: tuple, window: int) -> WindowSet:
     return WindowSet(list(items), window)
 
@@ -110,9 +159,9 @@ def scan_texts(texts: list[str | None], known: WindowSet) -> list[tuple[int, lis
     hits: dict[int, list[tuple[int, int]]] = {}
     items: dict[int, set[str]] = {}
     bounds = np.array(ends, dtype=np.int64)
-    for at, length in known.candidates(_word_hashes(words)):
+    for at, length, number in known.candidates(_word_hashes(words)):
         row = int(np.searchsorted(bounds, at, side="right"))
-        named = known.exact.get(tuple(words[at : at + length])) if at + length <= ends[row] else None
+        named = known.find(words[at : at + length], number) if at + length <= ends[row] else None
         if named is not None:
             first = ends[row - 1] if row else 0
             hits.setdefault(row, []).append((at - first, at - first + length))
@@ -165,6 +214,8 @@ HITS = T.StructType(
 )
 #: Documents that a task looks at together.
 _CHUNK = 500
+#: Words for counting, before A-Z is lower-cased.
+_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _slices(benchmark: DataFrame, id_col: str, text_col: str, slice_bytes: int) -> Iterator[tuple]:
@@ -172,7 +223,8 @@ def _slices(benchmark: DataFrame, id_col: str, text_col: str, slice_bytes: int)
     rows = benchmark.select(
         benchmark[id_col].cast("string").alias("item"), benchmark[text_col].alias("text")
     ).where(F.col("text").isNotNull())
-    size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    words = F.regexp_count("text", F.lit(_WORDS))
+    size = rows.agg(F.sum(2 * F.octet_length("text") + WORD_BYTES * (words + 1))).first()[0] or 0
     parts = -(-size // slice_bytes) or 1
     for k in range(parts):
         part = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k)

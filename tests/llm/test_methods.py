@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import unicodedata
 import zlib
 
@@ -219,6 +220,60 @@ def test_top_k_reads_lists(spark):
     assert len(block.survivors(vectors[0].astype(np.int64) * 1, 10)) < 400
 
 
+def plain_words(text):
+    fold = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold)
+
+
+def plain_windows(texts, window):
+    items = [plain_words(t) for t in texts]
+    exact = {tuple(w[i : i + min(window, len(w))]) for w in items if w for i in range(max(1, len(w) - window + 1))}
+    return exact, {len(w) for w in exact}
+
+
+def test_windows_of_equal_hashes_are_told_apart(monkeypatch):
+    # with one hash for all words, only the comparison of words is left
+    monkeypatch.setattr(decontaminate, "_word_hashes", lambda words: np.ones(len(words), dtype=np.uint64))
+    rng = random.Random(6)
+    word = lambda: rng.choice("abc")
+    items = [(f"i{i % 20}" if i else None, " ".join(word() for _ in range(rng.choice([0, 2, 4, 6])))) for i in range(25)]
+    texts = [None, "", *(" ".join(word() for _ in range(rng.randrange(12))) for _ in range(60))]
+    known = decontaminate.WindowSet(items, 4)
+    for text, (n_words, spans, named) in zip(texts, decontaminate.scan_texts(texts, known)):
+        words = plain_words(text)
+        hit, found = set(), set()
+        for item_id, item in items:
+            exact, sizes = plain_windows([item], 4)
+            for n in sizes:
+                for i in range(len(words) - n + 1):
+                    if tuple(words[i : i + n]) in exact:
+                        hit.update(range(i, i + n))
+                        found.add(item_id)
+        assert n_words == len(words)
+        assert {i for a, b in spans for i in range(a, b)} == hit
+        assert named == sorted(found - {None})
+
+
+def test_memory_of_a_full_slice():
+    per_item = 2 * 60 * 6 + decontaminate.WORD_BYTES * 61
+    rng = np.random.default_rng(4)
+    n = decontaminate.SLICE_BYTES // per_item
+    letters = rng.integers(97, 123, size=(n, 60, 6), dtype=np.uint8)
+    letters[:, :, 5] = 32
+    items = [(str(i), letters[i].tobytes().decode()) for i in range(n)]
+    del letters
+    tracemalloc.start()
+    try:
+        known = decontaminate.WindowSet(items, 10)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    text = sum(len(t) for _, t in items)
+    assert known.nbytes + text <= decontaminate.SLICE_BYTES and peak + text < 300 << 20
+    text = "x " + items[n // 2][1] + " y"
+    assert decontaminate.scan_texts([text], known) == [(62, [(1, 61)], [str(n // 2)])]
+
+
 def test_benchmark_beyond_one_slice(spark):
     rng = random.Random(2)
     word = lambda: rng.choice("abcdefghij") + rng.choice("klmnop")
@@ -373,12 +428,11 @@ def test_pipeline(spark):
     for d in sorted(lines):
         first.setdefault(roots[fps[d]], d)
     lines = {d: lines[d] for d in first.values()}
-    known = decontaminate.WindowSet([(str(r.item_id), r.text) for r in benchmark], 10)
-    exact = {" ".join(w.decode() for w in words) for words in known.exact}
+    exact, sizes = plain_windows((r.text for r in benchmark), 10)
 
     def leaks(text):
-        words = [w.decode() for w in decontaminate.words_of(text)]
-        return any(" ".join(words[i : i + n]) in exact for n in known.lengths for i in range(len(words) - n + 1))
+        words = plain_words(text)
+        return any(tuple(words[i : i + n]) in exact for n in sizes for i in range(len(words) - n + 1))
 
     lines = {d: t for d, t in lines.items() if not leaks(t)}
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))

@@ -6,9 +6,11 @@ candidate and where the lists stand bounds its score from below and above. A can
 bound is under the k-th lower bound can't qualify; reading stops once few can, and their final scores
 are resolved. The best k of each block are merged per query, which is a small aggregation.
 
-Queries are dealt into blocks as well, and each pair of a query block and a candidate block is one group
-of bounded size: a stated query set against all rows. The k-th score of a block needs no row of another
-block, so the blocks run in any order and a lost one is run again alone.
+Queries are dealt into blocks as well, and each pair of a query block and a candidate block is numbered and
+goes to the task of its number: a stated query set against all rows. A pair's candidates come first and
+are held, its queries stream past them. Blocks of queries are large, so that candidates are copied seldom:
+n rows with n/100 queries make n**2 / 100 * (1 / QUERIES + 1 / CANDIDATES) copies. The k-th score of a block
+needs no row of another block, so the blocks run in any order and a lost one is run again alone.
 
 Defined results: vectors that are null or hold a null or a component that isn't finite take no part, nor
 do rows without an id. Shorter vectors count as padded with zeros. A query's own id is no candidate of
@@ -23,14 +25,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows of a block of candidates and of a block of queries.
-CANDIDATES = 8192
-QUERIES = 512
+CANDIDATES = 4096
+QUERIES = 8192
+#: Tasks that pairs of blocks are dealt over, at most.
+TASKS = 20_000
 #: Shares of a list that are read before the bounds are looked at again.
 STEPS = (0.1, 0.2, 0.3, 0.4, 0.55, 0.7, 0.85, 1.0)
 #: Candidates left at which their scores are resolved.
@@ -45,7 +50,6 @@ def _ordered(score: int) -> bytes:
     return (score + (1 << 190)).to_bytes(24, "big")
 
 
-
 class Block:
     """Sorted lists of a block of candidates (rows of ``values``, whole numbers)."""
 
@@ -110,6 +114,66 @@ def _whole(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
 
 
+def _dealt(usable: DataFrame, candidates: int, queries: int) -> tuple[DataFrame, int, int]:
+    """Rows by numbered pair of blocks (``pair``), candidates before queries (``role``), and both numbers of blocks."""
+    count = usable.agg(F.count("*").alias("n"), F.count(F.when(F.col("asks"), 1)).alias("q")).first()
+    blocks, asking = max(1, -(-count.n // candidates)), max(1, -(-count.q // queries))
+
+    def copies(frame: DataFrame, own: int, other: int, role: int) -> DataFrame:
+        part = F.pmod(F.xxhash64("id", "v"), F.lit(own))
+        each = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("each")
+        rows = frame.select("id", "v", part.alias("part"), each)
+        block, asked = (F.col("each"), F.col("part")) if role else (F.col("part"), F.col("each"))
+        return rows.select((block * asking + asked).cast("long").alias("pair"), F.lit(role).alias("role"), "id", "v")
+
+    asked = usable.where("asks").dropDuplicates(["id", "v"])
+    return copies(usable, blocks, asking, 0).unionByName(copies(asked, asking, blocks, 1)), blocks, asking
+
+
+def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The best of each pair of blocks, from rows sorted by pair and role; holds one block of candidates."""
+    pair, block, ids, held, asked = None, None, None, [], 0
+    for batch in batches:
+        pairs, roles = (batch.column(i).to_numpy() for i in (0, 1))
+        cuts = np.flatnonzero((np.diff(pairs) != 0) | (np.diff(roles) != 0)) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pairs)]):
+            if start == end:
+                continue
+            part = batch.slice(start, end - start)
+            if pairs[start] != pair:
+                pair, block, held, asked = pairs[start], None, [], 0
+            if roles[start] == 0:
+                held.append((part.column(2).to_numpy(), part.column(3)))
+                continue
+            if block is None and held:
+                wide = max(pc.max(pc.list_value_length(v)).as_py() for _, v in held)
+                ids = np.concatenate([i for i, _ in held])
+                block, held = Block(np.concatenate([_matrix(v, wide) for _, v in held])), []
+            if block is not None:
+                yield _best(block, ids, part, asked, k)
+            asked += len(part)
+
+
+def _best(block: Block, ids: np.ndarray, queries: pa.RecordBatch, before: int, k: int) -> pa.RecordBatch:
+    owns, keys, found, scores, places = [], [], [], [], []
+    # what a query has beyond the block's width meets zeros only
+    matrix = _matrix(queries.column(3), block.values.shape[1])
+    for i, own in enumerate(queries.column(2).to_pylist()):
+        best, reached = block.best(matrix[i], ids, own, k)
+        whole = [int(s) for s in reached]
+        owns += [own] * len(whole)
+        keys += [before + i] * len(whole)
+        found += best.tolist()
+        scores += [min(max(s, _LEAST), _MOST) for s in whole]
+        places += map(_ordered, whole)
+    pairs = [queries.column(0)[0].as_py()] * len(owns)
+    longs = [pa.array(c, type=pa.int64()) for c in (pairs, owns, keys, found, scores)]
+    return pa.RecordBatch.from_arrays([*longs, pa.array(places, type=pa.binary())], names=_FOUND)
+
+
+_FOUND = ["pair", "query_id", "key", "vec_id", "score", "place"]
+
+
 def top_k(
     rows: DataFrame,
     is_query: Column,
@@ -117,6 +181,8 @@ def top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     scale: int = 1024,
+    candidates: int = CANDIDATES,
+    queries: int = QUERIES,
 ) -> DataFrame:
     """Per query: ``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of its k best rows.
 
@@ -130,44 +196,17 @@ def top_k(
         rows[id_col].cast("long").alias("id"), rows[vector_col].alias("v"), is_query.alias("asks")
     ).where(F.col("id").isNotNull() & F.col("v").isNotNull() & finite)
     usable = usable.select("id", "asks", _whole(F.col("v"), scale).alias("v"))
-    count = usable.agg(F.count("*").alias("n"), F.count(F.when(F.col("asks"), 1)).alias("q")).first()
-    blocks, asking = max(1, -(-count.n // CANDIDATES)), max(1, -(-count.q // QUERIES))
-
-    def dealt(frame: DataFrame, own: int, other: int, names: tuple[str, str]) -> DataFrame:
-        each = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
-        part = F.pmod(F.xxhash64("id", "v"), F.lit(own)).cast("int")
-        return frame.select("id", "v", part.alias(names[0]), each.alias(names[1]))
-
-    queries = dealt(usable.where("asks").dropDuplicates(["id", "v"]), asking, blocks, ("q", "c"))
-    candidates = dealt(usable, blocks, asking, ("c", "q"))
-
-    def search(asked: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or found.empty:
-            return pd.DataFrame([], columns=["query_id", "key", "vec_id", "score", "place"])
-        wide = max(asked["v"].map(len).max(), found["v"].map(len).max())
-        matrix = _matrix(found["v"], wide)
-        ids = found["id"].to_numpy()
-        block = Block(matrix)
-        parts: list[tuple] = []
-        for own, key, query in zip(asked["id"], range(len(asked)), _matrix(asked["v"], wide)):
-            best, scores = block.best(query, ids, own, k)
-            whole = [int(s) for s in scores]
-            parts += [(own, key, int(i), min(max(s, _LEAST), _MOST), _ordered(s)) for i, s in zip(best, whole)]
-        return pd.DataFrame(parts, columns=["query_id", "key", "vec_id", "score", "place"])
-
+    dealt, blocks, asking = _dealt(usable, candidates, queries)
+    tasks = min(blocks * asking, TASKS)
+    placed = dealt.repartitionById(tasks, F.pmod("pair", F.lit(tasks)).cast("int"))
+    # queries come in one order in all blocks, so their numbers are the same in all
+    placed = placed.sortWithinPartitions("pair", "role", "id", "v")
+    schema = T.StructType(
+        [*(T.StructField(c, T.LongType()) for c in _FOUND[:-1]), T.StructField(_FOUND[-1], T.BinaryType())]
+    )
+    best = placed.mapInArrow(lambda batches: _search(batches, k), schema)
     # the query's number inside its block tells queries with one id and different vectors apart
-    numbers = ["query_id", "key", "vec_id", "score", "q"]
-    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in numbers), T.StructField("place", T.BinaryType())])
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        q = left["q"].iloc[0] if len(left) else -1
-        asked = left.sort_values("id", kind="stable").reset_index(drop=True)
-        if asked["id"].duplicated().any():
-            asked = asked.iloc[sorted(range(len(asked)), key=lambda i: (asked["id"][i], tuple(asked["v"][i])))]
-        found = search(asked.reset_index(drop=True), right).assign(q=q)
-        return found.astype(dict.fromkeys(numbers, "int64"))[[*numbers, "place"]]
-
-    best = queries.groupBy("q", "c").cogroup(candidates.groupBy("q", "c")).applyInPandas(run, schema)
+    best = best.withColumn("q", F.pmod("pair", F.lit(asking)))
     # a filter on a row number is applied per task before the rows are shuffled
     order = Window.partitionBy("query_id", "key", "q").orderBy(F.desc("place"), "vec_id")
     return (
@@ -177,12 +216,17 @@ def top_k(
     )
 
 
-def _matrix(vectors: pd.Series, wide: int) -> np.ndarray:
-    if all(len(v) == wide for v in vectors):
-        return np.stack(vectors.to_numpy()).astype(np.int64).reshape(len(vectors), wide)
-    out = np.zeros((len(vectors), wide), dtype=np.int64)
-    for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
+def _matrix(vectors: pa.Array, wide: int) -> np.ndarray:
+    """Whole numbers of a list column, each row cut or filled up with zeros to one width."""
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    if (lengths == wide).all():
+        return flat.reshape(len(lengths), wide)
+    out = np.zeros((len(lengths), wide), dtype=np.int64)
+    ends = np.cumsum(lengths)
+    for i, (end, length) in enumerate(zip(ends.tolist(), lengths.tolist())):
+        start, used = end - length, min(length, wide)
+        out[i, :used] = flat[start : start + used]
     return out
 
 

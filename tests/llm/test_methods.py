@@ -220,6 +220,30 @@ def test_top_k_reads_lists(spark):
     assert len(block.survivors(vectors[0].astype(np.int64) * 1, 10)) < 400
 
 
+def test_top_k_over_many_blocks(spark):
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randint(-40, 40)) for _ in range(rng.choice([0, 3, 5, 5, 5]))]) for i in range(300)]
+    rows += [(20, [1.0, 2.0]), (20, [-3.0]), (21, rows[21][1]), (40, rows[40][1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asks = F.col("vec_id") % 20 == 0
+    got = topk.top_k(frame, asks, k=4, scale=1, candidates=25, queries=6).collect()
+    want = []
+    for own, q in {(i, tuple(v)) for i, v in rows if i % 20 == 0}:
+        scored = sorted((-sum(int(a) * int(b) for a, b in zip(q, v)), i) for i, v in rows if i != own)[:4]
+        want += [(own, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_top_k_copies(spark):
+    rows = spark.range(2000).select(
+        "id", (F.col("id") % 100 == 0).alias("asks"), F.array(F.col("id"), F.col("id") * 7).alias("v")
+    )
+    dealt, blocks, asking = topk._dealt(rows, 100, 10)
+    assert (blocks, asking) == (20, 2)
+    assert {r.role: r["count"] for r in dealt.groupBy("role").count().collect()} == {0: 2000 * 2, 1: 20 * 20}
+    assert dealt.select("pair").distinct().count() == 40
+
+
 def plain_words(text):
     fold = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold)

@@ -56,8 +56,12 @@ class Block:
     def __init__(self, values: np.ndarray):
         self.values = values
         self.widest = float(np.abs(values.astype(float)).max(initial=0))
-        self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32)
+        self.order = np.ascontiguousarray(np.argsort(values, axis=0, kind="stable").T)
         self.sorted = np.take_along_axis(values.T, self.order, axis=1).astype(np.float64)
+        # where a row stands in each list, which tells whether it has been read there
+        kind = np.int16 if len(values) < 1 << 15 else np.int64
+        self.place = np.empty(values.shape[::-1], dtype=kind)
+        np.put_along_axis(self.place, self.order, np.arange(len(values), dtype=kind)[None, :], axis=1)
 
     def survivors(self, query: np.ndarray, k: int, out: int | None = None) -> np.ndarray:
         """Rows that may be among the k best; ``out`` names a row that takes no part."""
@@ -67,9 +71,12 @@ class Block:
         weight = query.astype(np.float64)
         forward = weight < 0
         worst = weight * np.where(forward, self.sorted[:, -1], self.sorted[:, 0])
-        # whole numbers up to 2**53 are exact; beyond that the bounds are given this much room
-        room = 1e-9 * np.abs(weight) @ np.maximum(np.abs(self.sorted[:, 0]), np.abs(self.sorted[:, -1]))
-        score, seen, at = np.zeros(n), np.zeros((n, dims), dtype=np.float32), 0
+        most = np.abs(weight) @ np.maximum(np.abs(self.sorted[:, 0]), np.abs(self.sorted[:, -1]))
+        # what is not read yet is summed in short floats where they can hold it; the bounds have room for that
+        short = np.float32 if dims < 4096 and most < 1e30 else np.float64
+        room = (1e-6 * max(10, dims) if short is np.float32 else 1e-9) * most
+        depth = np.where(forward[:, None], self.place, (n - 1 - self.place).astype(self.place.dtype))
+        score, at = np.zeros(n), 0
         rows = np.arange(dims)
         for step in STEPS:
             to = max(at + 1, int(np.ceil(step * n)))
@@ -79,12 +86,10 @@ class Block:
                 idx = self.order[chosen, cut]
                 gain = weight[chosen, None] * self.sorted[chosen, cut]
                 score += np.bincount(idx.ravel(), weights=gain.ravel(), minlength=n)
-                seen[idx.ravel(), np.repeat(chosen, to - at)] = 1
             at = to
             reached = weight * np.where(forward, self.sorted[rows, at - 1], self.sorted[rows, n - at])
-            missing = 1.0 - seen
-            lower = score + missing @ worst
-            upper = score + missing @ reached
+            rest = np.stack([worst, reached]).astype(short) @ (depth >= at).astype(short)
+            lower, upper = score + rest[0], score + rest[1]
             if out is not None:
                 lower[out] = -np.inf
             least = np.partition(lower, n - k)[n - k]

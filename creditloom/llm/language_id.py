@@ -6,10 +6,12 @@ over its words. Training is expectation maximisation on word counts, where the f
 sums give each piece's expected use.
 
 A word's score does not depend on the text it is in, so a worker scores each distinct word once, many
-words per array operation, and texts are sums over their words.
+words per array operation, and texts are sums over their words. Long texts are read in parts, cut where no
+letter is, so their words aren't all held together; only a run of letters is one part however long.
 
 Words are runs of letters in lower case, with a space in front as the vocabulary writes them; other
-characters carry no language here. Words over ``LONGEST`` letters are cut into stretches of that length.
+characters carry no language here. Words over ``LONGEST`` letters are cut into stretches of that length,
+which count as words of their own.
 
 Learning takes a bounded sample of the labelled texts: about ``SAMPLE`` distinct texts per language that
 have a word, chosen by a hash of the text, or all where there are fewer. A text's copies are not read
@@ -53,25 +55,55 @@ PIECE = 10
 ROUNDS = 4
 #: Share of probability that every piece has in every language.
 SMOOTHING = 0.02
-#: Words whose scores a worker remembers, and words scored together.
+#: Words whose scores a worker remembers.
 REMEMBERED = 400_000
+#: Words learned together, and words scored together.
 _TOGETHER = 20_000
+_SCORED = 4_000
 _CHUNK = 500
+#: Characters, about, after which a long text is cut, and words of texts that are looked up together, about.
+_PART = 500_000
+_HELD = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
+_BREAK = re.compile(r"[\W\d_]")
 #: Letters for Spark; what its Unicode tables don't know yet may be one.
 _LETTER = r"[\p{L}\p{Cn}]"
 
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters in lower case."""
-    found = _WORD.findall(text.lower()) if text else []
+    return _words(text.lower()) if text else []
+
+
+def _words(lowered: str) -> list[str]:
+    found = _WORD.findall(lowered)
     if all(map(str.isalpha, found)):
         return found
     # the pattern takes number characters that aren't digits for letters
     return ["".join(run) for w in found for letters, run in groupby(w, str.isalpha) if letters]
 
 
+def _stretches(word: str) -> list[str]:
+    return [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
+
+
+def parts_of(text: str | None) -> Iterator[list[str]]:
+    """The words of a text, none over ``LONGEST``, a part of the text at a time; nothing if it has none."""
+    # lower case depends on what surrounds a letter, so it comes before the cuts
+    lowered, at = text.lower() if text else "", 0
+    while at < len(lowered):
+        found = _BREAK.search(lowered, at + _PART)
+        end = found.start() if found else len(lowered)
+        # the text is not copied if it is one part
+        words = _words(lowered[at:end])
+        if max(map(len, words), default=0) > LONGEST:
+            words = [x for w in words for x in _stretches(w)]
+        if words:
+            yield words
+        at = end
+
+
 def vocabulary_pieces(name: str) -> list[str]:
     """Pieces of the vocabulary that are letters, with a space in front or not, at most ``PIECE`` long."""
     import public_tokenizers
@@ -185,8 +217,18 @@ def forward(lattice: Lattice, probability: np.ndarray, letters: np.ndarray, leng
 def word_scores(lattice: Lattice, probability: np.ndarray, words: list[str]) -> np.ndarray:
     """log probability of each word in each language."""
     letters, lengths = lattice.letters(words)
-    sums, _ = forward(lattice, probability, letters, lengths)
-    return np.log(np.maximum(sums[lengths, np.arange(len(words))], 1e-300))
+    # as ``forward``, but only the positions that a piece can reach back to are kept
+    recent = np.zeros((PIECE + 1, len(words), probability.shape[1]))
+    recent[0] = 1
+    whole = np.empty(recent.shape[1:])
+    for end, found in lattice.arcs(letters, lengths):
+        here = recent[end % (PIECE + 1)]
+        here[:] = 0
+        for size, rows, numbers in found:
+            here[rows] += recent[(end - size) % (PIECE + 1), rows] * probability[numbers]
+        ending = lengths == end
+        whole[ending] = here[ending]
+    return np.log(np.maximum(whole, 1e-300))
 
 
 def _expected(lattice: Lattice, probability: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
@@ -206,10 +248,6 @@ def _expected(lattice: Lattice, probability: np.ndarray, words: list[str], count
     return used
 
 
-def _stretches(word: str) -> list[str]:
-    return [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
-
-
 def fit(counts: dict[str, dict[str, int]], rows: dict[str, int], pieces: list[str], rounds: int = ROUNDS) -> Model:
     """Piece probabilities from word counts per language; ``rows`` are labelled rows per language."""
     languages = sorted(counts)
@@ -283,23 +321,32 @@ def _learn_block(rows: DataFrame, block: list, sample: int, pieces: list[str], t
     chosen = chosen.groupBy("text", "lang").agg(F.count("*").alias("n"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(found: dict[str, Counter]) -> pa.RecordBatch:
+            flat = [(lang, w, n) for lang, words in found.items() for w, n in words.items()]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([x[0] for x in flat], type=pa.string()),
+                    pa.array([x[1] for x in flat], type=pa.string()),
+                    pa.array([x[2] for x in flat], type=pa.int64()),
+                ],
+                names=["lang", "word", "n"],
+            )
+
         for batch in batches:
             for at in range(0, batch.num_rows, _CHUNK):
                 part = batch.slice(at, _CHUNK)
                 found: dict[str, Counter] = {}
+                held = 0
                 for text, lang, n in zip(*(c.to_pylist() for c in part.columns)):
-                    of = found.setdefault(lang, Counter())
-                    for word, times in Counter(words_of(text)).items():
-                        of[word] += times * n
-                flat = [(lang, w, n) for lang, words in found.items() for w, n in words.items()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([x[0] for x in flat], type=pa.string()),
-                        pa.array([x[1] for x in flat], type=pa.string()),
-                        pa.array([x[2] for x in flat], type=pa.int64()),
-                    ],
-                    names=["lang", "word", "n"],
-                )
+                    for words in parts_of(text):
+                        of = found.setdefault(lang, Counter())
+                        for word, times in Counter(words).items():
+                            of[word] += times * n
+                        held += len(words)
+                        if held >= _HELD:
+                            yield counted(found)
+                            found, held = {}, 0
+                yield counted(found)
 
     counted = chosen.mapInArrow(split, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts: dict[str, dict[str, int]] = {lang: {} for lang in sizes}
@@ -322,23 +369,30 @@ class Scorer:
         self.known: dict[str, int] = {}
         self.scores = np.zeros((0, len(model.languages)))
         # the room of both is that of four languages, however many there are
-        self.together = max(256, 4 * _TOGETHER // len(model.languages))
+        self.together = max(256, 4 * _SCORED // len(model.languages))
         self.remembered = max(10_000, 4 * REMEMBERED // len(model.languages))
 
     def _learn(self, words: list[str]) -> None:
-        parts = [_stretches(w) for w in words]
-        flat = [p for x in parts for p in x]
-        made = np.concatenate(
-            [
-                word_scores(self.lattice, self.model.probability, flat[i : i + self.together])
-                for i in range(0, len(flat), self.together)
-            ]
-        )
-        first = np.concatenate(([0], np.cumsum([len(x) for x in parts])[:-1]))
+        made = [
+            word_scores(self.lattice, self.model.probability, words[i : i + self.together])
+            for i in range(0, len(words), self.together)
+        ]
         base = len(self.scores)
-        self.scores = np.concatenate([self.scores, np.add.reduceat(made, first, axis=0)])
+        self.scores = np.concatenate([self.scores, *made])
         self.known.update(zip(words, range(base, base + len(words))))
 
+    def _add(self, parts: list[tuple[int, list[str]]], totals: dict[int, np.ndarray]) -> None:
+        """Adds to each text's total the scores of the words of its parts."""
+        if len(self.known) > self.remembered:
+            self.known, self.scores = {}, self.scores[:0].copy()
+        new = set().union(*(words for _, words in parts)).difference(self.known)
+        if new:
+            self._learn(sorted(new, key=len))  # words of like length share an array
+        for number, words in parts:
+            at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+            found = self.scores[at].sum(axis=0)
+            totals[number] = totals[number] + found if number in totals else found
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The likeliest language of each text, and its share of all."""
         languages, _, sums = self.weigh(texts)
@@ -349,21 +403,25 @@ class Scorer:
 
         A text without a letter is unknown, and its sum 0.
         """
-        split = [words_of(t) for t in texts]
-        if len(self.known) > self.remembered:
-            self.known, self.scores = {}, self.scores[:0]
-        new = set().union(*split).difference(self.known)
-        if new:
-            self._learn(sorted(new, key=len))  # words of like length share an array
+        totals: dict[int, np.ndarray] = {}
+        parts: list[tuple[int, list[str]]] = []
+        held = 0
+        for number, text in enumerate(texts):
+            for words in parts_of(text):
+                parts.append((number, words))
+                held += len(words)
+                if held >= _HELD:
+                    self._add(parts, totals)
+                    parts, held = [], 0
+        self._add(parts, totals)
         languages, logs, sums = [], [], []
-        for words in split:
-            if not words:
+        for number in range(len(texts)):
+            if number not in totals:
                 languages.append(UNKNOWN)
                 logs.append(0.0)
                 sums.append(0.0)
                 continue
-            at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-            total = self.scores[at].sum(axis=0) + self.model.prior
+            total = totals[number] + self.model.prior
             best = int(np.argmax(total))
             languages.append(self.model.languages[best])
             logs.append(float(total[best]))
@@ -387,10 +445,14 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     spark = docs.sparkSession
     names = docs.columns if keep is None else keep
     rows = docs.select(F.struct(*[docs[c] for c in names]).alias("doc"), docs[text_col].alias("text"))
+    # a text that is kept is not sent to the workers a second time
+    kept = names.index(text_col) if text_col in names else None
     if model is None:
         return rows.select("doc", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    if kept is not None:
+        rows = rows.select("doc")
     if model.more:
-        return _predict_blocks(rows, [model, *model.more])
+        return _predict_blocks(rows, [model, *model.more], kept)
     # pieces times languages: bounded by the vocabulary and LANGUAGES
     shared = spark.sparkContext.broadcast(model)
 
@@ -399,7 +461,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
         for batch in batches:
             for at in range(0, batch.num_rows, _CHUNK):
                 part = batch.slice(at, _CHUNK)
-                languages, scores = scorer.predict(part.column(1).to_pylist())
+                languages, scores = scorer.predict(_texts(part, kept))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(languages, type=pa.string()), pa.array(scores, type=pa.float64())],
                     names=["doc", "lang_pred", "score"],
@@ -411,11 +473,16 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     return rows.mapInArrow(run, schema)
 
 
-def _predict_blocks(rows: DataFrame, models: list[Model]) -> DataFrame:
+def _texts(part: pa.RecordBatch, kept: int | None) -> list[str | None]:
+    """The texts to score: the column after the kept row, or the place ``kept`` in it."""
+    return (part.column(1) if kept is None else part.column(0).field(kept)).to_pylist()
+
+
+def _predict_blocks(rows: DataFrame, models: list[Model], kept: int | None) -> DataFrame:
     """The same over several blocks of languages, one pass for each, written in between."""
     spark = rows.sparkSession
     empty = {"lang_pred": F.lit(UNKNOWN), "log": F.lit(0.0), "sum": F.lit(0.0)}
-    rows = rows.select("doc", "text", *[c.alias(n) for n, c in empty.items()])
+    rows = rows.select("*", *[c.alias(n) for n, c in empty.items()])
     for number, model in enumerate(models):
         shared = spark.sparkContext.broadcast(model)
 
@@ -424,13 +491,11 @@ def _predict_blocks(rows: DataFrame, models: list[Model]) -> DataFrame:
             for batch in batches:
                 for at in range(0, batch.num_rows, _CHUNK):
                     part = batch.slice(at, _CHUNK)
-                    found = scorer.weigh(part.column(1).to_pylist())
-                    old = (part.column(i).to_pylist() for i in (2, 3, 4))
+                    found = scorer.weigh(_texts(part, kept))
+                    old = (c.to_pylist() for c in part.columns[-3:])
                     joint = [_heavier(a, b) for a, b in zip(zip(*old), zip(*found))]
                     columns = [pa.array([j[i] for j in joint], t) for i, t in enumerate((pa.string(), pa.float64(), pa.float64()))]
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(1), *columns], names=["doc", "text", "lang_pred", "log", "sum"]
-                    )
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-3], *columns], names=part.schema.names)
 
         rows = rows.mapInArrow(run, rows.schema)
         if number < len(models) - 1:

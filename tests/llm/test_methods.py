@@ -581,3 +581,75 @@ def test_places_of_many_matches(spark, n):
     assert [(s["start"], s["end"]) for s in row.spans] == want and len(want) == n
     totals = spark.range(1).select(pii.running_totals(F.sequence(F.lit(1), F.lit(n))).alias("t")).first().t
     assert totals == [i * (i + 1) // 2 for i in range(n)]
+
+
+def peak_mb(work):
+    """What ``work`` returns, and the most that it held at once."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def small_model():
+    counts = {"en": {"the": 50, "house": 9, "cat": 9}, "fr": {"le": 50, "maison": 9, "chat": 9}}
+    return language_id.fit(counts, {"en": 3, "fr": 3}, [" ", " the", " le", "cat", "ch", "at", "maison", "house"])
+
+
+def test_language_of_long_texts_in_bounded_memory():
+    """The words of long texts aren't held together, and no word beyond the longest is remembered."""
+    scorer = language_id.Scorer(small_model())
+    short = ["the cat, the house; " * 20, "le chat: la maison! " * 20]
+    long = [t * 3000 for t in short] * 4
+    (languages, _), most = peak_mb(lambda: scorer.predict(long))
+    assert languages == ["en", "fr"] * 4
+    assert most < 40
+    scorer.predict(["the" * 100_000])
+    assert max(map(len, scorer.known)) <= language_id.LONGEST
+
+
+def test_scores_of_words_in_bounded_memory():
+    """Scoring words keeps neither their arcs nor all their positions."""
+    model, rng = small_model(), random.Random(8)
+    lattice = language_id.Lattice(model.pieces)
+    words = ["".join(rng.choices("acehlmostu", k=24)) for _ in range(20_000)]
+    probability = np.hstack([model.probability] * 2)
+    got, most = peak_mb(lambda: language_id.word_scores(lattice, probability, words))
+    assert most < 25
+    letters, lengths = lattice.letters(words)
+    sums, _ = language_id.forward(lattice, probability, letters, lengths)
+    assert np.array_equal(got, np.log(sums[lengths, np.arange(len(words))]))
+
+
+def test_parts_of_a_text_are_its_words(monkeypatch):
+    rng = random.Random(7)
+    for part in (1, 7, 50):
+        monkeypatch.setattr(language_id, "_PART", part)
+        for _ in range(300):
+            text = "".join(rng.choices("abÉİΣß①Ⅳ1_'̇­ .中", k=rng.randrange(120)))
+            want = [s for w in language_id.words_of(text) for s in language_id._stretches(w)]
+            assert [w for words in language_id.parts_of(text) for w in words] == want
+    assert list(language_id.parts_of(None)) == list(language_id.parts_of("1 2")) == []
+
+
+def test_long_texts_in_parts_have_the_same_language(spark, monkeypatch):
+    """Cuts change neither what is learned nor what is predicted, and the text need not be kept."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        own = ("the cat sat on a mat", "le chat dort sur le lit")[i % 2].split()
+        rows.append((i, " ".join(rng.choices(own, k=60)) + " " + rng.choice("xyz") * 30, ("en", "fr")[i % 2]))
+    docs = spark.createDataFrame([*rows, (40, None, "en"), (41, "", None)], "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(language_id, "fit", lambda *a, fit=language_id.fit: seen.append(a[0]) or fit(*a))
+    model = language_id.learn(docs)
+    assert max(len(w) for words in seen[0].values() for w in words) <= language_id.LONGEST
+    kept, lean = ({r.doc.doc_id: r[1:] for r in language_id.predict(docs, model, keep=k).collect()} for k in (None, ["doc_id"]))
+    assert kept == lean and kept[40] == kept[41] == ("und", 0.0)
+    assert all(kept[i][0] == lang for i, _, lang in rows)
+    whole = language_id.Scorer(model).weigh([t for _, t, _ in rows])
+    monkeypatch.setattr(language_id, "_PART", 20)
+    monkeypatch.setattr(language_id, "_HELD", 10)
+    cut = language_id.Scorer(model).weigh([t for _, t, _ in rows])
+    assert cut[0] == whole[0] and np.allclose(cut[1], whole[1]) and np.allclose(cut[2], whole[2])

@@ -76,7 +76,8 @@ def resample(
     repeated = numbered.join(F.broadcast(copies), numbered[label] == copies["__class"]).select(
         *numbered.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__copies") - 1)).alias("__n")
     )
-    return draws.join(
+    # Planned as small as the blocks they unfold from, the draws would be broadcast: the hint has both sides sorted.
+    return draws.hint("merge").join(
         repeated,
         (F.col("__class") == F.col(label))
         & (F.col("__pick") == F.col("__row"))

@@ -117,6 +117,16 @@ def test_a_hot_key_and_a_rare_class_are_spread(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_draws_are_never_broadcast(spark, skewed):
+    """Blocks are few short rows and the draws they unfold into are not, whatever the planner takes them for."""
+    df = skewed.withColumn("label", (F.col("n") % 5 == 0).cast("int"))
+    drawn = Y.resample(df, ["n"], "label", 20_000, seed=3)
+    assert len(drawn.collect()) == 20_000
+    plan = drawn._jdf.queryExecution().executedPlan().toString()  # as it ran, and as it was before
+    joins = [line for line in plan.splitlines() if "Join" in line and "__pick" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_numbers_of_an_arbitrary_survivor_are_dense(spark):
     copies = spark.range(2000).select((F.col("id") % 300).alias("k"), (F.col("id") % 7).alias("v"))
     numbered = slices.number_rows(copies.repartition(8).dropDuplicates(["k"]), ["k"], "no", within=["v"])

@@ -14,7 +14,6 @@ All work on rows is column expressions; only the model (classes x columns x ``GR
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from statistics import NormalDist
 
@@ -22,6 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditloom.operators.slices import SLICE_ROWS
+
 #: Steps of a quantile table; a power of two, so that values are found by halving.
 GRID = 512
 #: Numbers that all quantile tables of a model may have together.
@@ -133,20 +134,29 @@ class Copula:
         )
 
 
-def _numbers(values: list) -> Column:
+def _numbers(values) -> Column:
     """Nested numbers in one flat constant, folded when the query is planned."""
     flat = np.asarray(values, dtype=float).ravel().tolist()
     return F.split(F.lit(",".join(map(repr, flat))), ",").cast("array<double>")
 
 
-def _each(n: int, make: Callable[[Column], Column]) -> Column:
-    """An array with an entry per column; one small expression whatever their number."""
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), make)
+def _of_class(values: list) -> Column:
+    """The number of the row's class."""
+    return F.get(_numbers(values), F.col("place"))
+
+
+def _named(stem: str, values: list[Column]) -> list[Column]:
+    return [value.alias(f"{stem}{i}") for i, value in enumerate(values)]
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, however often a lambda inside looks at it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _cols(stem: str, n: int) -> list[Column]:
+    return [F.col(f"{stem}{i}") for i in range(n)]
+
+
+def _apart(rows: DataFrame, *columns: Column | str) -> DataFrame:
+    """A projection compiled on its own: the lambda has Spark leave it out of the one method that it makes of
+    steps in a row, which these formulas would outgrow."""
+    return rows.select(F.get(F.transform(F.array("place"), lambda x: x), F.lit(0)).alias("place"), *columns)
 
 
 def _classes(df: DataFrame, label: str, most: int) -> list:
@@ -197,65 +207,85 @@ def _place(model: Copula) -> Column:
 
 
 def scores(df: DataFrame, model: Copula) -> DataFrame:
-    """``place`` of the class and the normal scores ``z``: of the columns, ties in the middle and NULL for NULL,
-    then of whether the columns with NULLs have a value.
+    """``place`` of the class and the normal scores ``z`` of the columns: ties in the middle and NULL for NULL.
 
-    A value's share is read off the quantile table of its class by halving.
+    A value's share is read off the quantile table of its class by halving. Each halving of all columns is a
+    projection of its own, as compiled code runs many times faster than lambdas do; a point of a table is in
+    the constants of one halving only, so all of them together hold the tables a few times.
     """
-    n, tables, nulls = len(model.columns), _numbers(model.quantiles), _numbers(model.nulls)
-    steps = F.array(*[F.lit(s) for s in [*(GRID >> k for k in range(1, GRID.bit_length())), 1]])
-
-    def share_of(values: Column, i: Column) -> Column:
-        at = (F.col("place") * n + i) * (GRID + 1)
-        value = F.get(values, i)
+    n = len(model.columns)
+    tables = np.asarray(model.quantiles, dtype=float).reshape(-1, n, GRID + 1)[:, :, :GRID]  # the last point ends the range
+    v, below = _cols("v", n), _cols("b", n)
+    labelled = df.withColumn("place", _place(model)).filter(F.col("place").isNotNull())
+    halved = labelled.select(
+        "place",
+        *_named("v", [F.col(c).cast("double") for c in model.columns]),
+        *_named("b", [F.lit(0) for _ in v]),
+    )
+    # points come first and classes second in a constant, so that the code of all halvings is the same
+    at = [b * len(model.classes) + F.col("place") for b in below]
+    step = GRID // 2
+    while step:  # so far, the points below the value are counted in steps of 2 * step
+        points = [_numbers(tables[:, i, step - 1 :: 2 * step].T) for i in range(n)]
+        more = [F.get(points[i], at[i]) < v[i] for i in range(n)]
+        halved = _apart(halved, *v, *_named("b", [2 * b + F.when(m, 1).otherwise(0) for b, m in zip(below, more)]))
+        step //= 2
+
+    def share(i: int) -> Column:
+        point, run = (F.get(_numbers(np.transpose(x)), at[i]) for x in (tables[:, i], [_runs(t) for t in tables[:, i]]))
+        # points below the value and points up to it; all but one are known to be below or not
+        met = 2 * below[i] + F.when(point == v[i], run).when(point < v[i], 2).otherwise(0)
+        # the middle of the points a value lies on; at least half a point off either end
+        found = F.least(F.greatest(met, F.lit(1)), F.lit(2 * GRID + 1)) / (2.0 * (GRID + 1))
+        return F.when(v[i].isNotNull(), found)
 
-        def points(keeps: Callable[[Column], Column]) -> Column:
-            """How many of the table's points pass a test that holds up to some point."""
-            found = lambda x: keeps(F.get(tables, at + x))
-            return 1 + F.aggregate(steps, F.lit(-1), lambda x, s: F.when(found(x + s), x + s).otherwise(x))
+    shares = _apart(halved, *_named("p", [share(i) for i in range(n)]))
+    # the formula uses its argument many times, so the shares are columns of their own
+    return _apart(shares, F.array(*[normal_score(p) for p in _cols("p", n)]).alias("z"))
 
-        met = points(lambda q: q < value) + points(lambda q: q <= value)
-        # the middle of the points a value lies on; at least half a point off either end
-        share = F.least(F.greatest(met, F.lit(1)), F.lit(2 * GRID + 1)) / (2.0 * (GRID + 1))
-        return F.when(value.isNotNull(), share)
 
-    def there(values: Column, i: Column) -> Column:
-        missing = F.get(nulls, F.col("place") * n + i)
-        return F.when(F.get(values, i).isNull(), missing / 2).otherwise((1 + missing) / 2)
+def _runs(points: np.ndarray) -> np.ndarray:
+    """For each point how many from it on are equal to it."""
+    _, firsts, which, counts = np.unique(points, return_index=True, return_inverse=True, return_counts=True)
+    return firsts[which] + counts[which] - np.arange(len(points))
 
-    def shares(values: Column) -> Column:
-        found = _each(n, lambda i: share_of(values, i))
-        gaps = F.array(*map(F.lit, model.gaps)).cast("array<int>")
-        return F.concat(found, F.transform(gaps, lambda i: there(values, i)))
 
-    values = F.array(*[F.col(c).cast("double") for c in model.columns])
-    labelled = df.withColumn("place", _place(model)).filter(F.col("place").isNotNull())
-    # the formula uses its argument many times, so the shares are an array of their own
-    return labelled.select("place", F.transform(_let(values, shares), normal_score).alias("z"))
+def _score(share: float) -> float:
+    """``normal_score`` of one number."""
+    if _LOW <= share <= 1 - _LOW:
+        q = share - 0.5
+        return float(np.polyval(_CENTRE[0], q * q) * q / np.polyval(_CENTRE[1], q * q))
+    r = np.sqrt(-2 * np.log(min(share, 1 - share)))
+    return float(np.polyval(_TAIL[0], r) / np.polyval(_TAIL[1], r)) * (1 if share < _LOW else -1)
 
 
 def moments(df: DataFrame, model: Copula) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per class the correlations and the standard deviations of the normal scores.
+    """Per class the correlations and the standard deviations of the normal scores: those of the columns, then
+    of whether the columns with NULLs have a value.
 
-    A pair of scores is compared over the rows that have both.
+    A pair of scores is compared over the rows that have both. Whether a value is there has two scores per
+    class, so sums with it follow from the sums over the rows that have the value.
     """
-    n, classes = model.size, len(model.classes)
-    crossed = scores(df, model).select("place", "z", F.posexplode("z").alias("i", "zi"))
-    crossed = crossed.filter(F.col("zi").isNotNull())
-    parts = []
+    n, classes = len(model.columns), len(model.classes)
+    # outer, as no array is empty: else a filter on it would be pushed below, with all halvings written out in it
+    crossed = scores(df, model).select("place", "z", F.posexplode_outer("z").alias("i", "zi"))
+    parts = [F.count("*").alias("rows")]
     for j in range(n):
         other = F.get("z", F.lit(j))
-        mine = F.when(other.isNotNull(), F.col("zi"))
-        parts += [F.count(other).alias(f"n{j}"), F.sum(mine).alias(f"s{j}")]
-        parts += [F.sum(mine * mine).alias(f"q{j}"), F.sum(F.col("zi") * other).alias(f"p{j}")]
-    n_, s, q, p = (np.zeros((classes, n, n)) for _ in range(4))
-    for row in crossed.groupBy("place", "i").agg(*parts).collect():  # one row per class and score
-        for name, into in (("n", n_), ("s", s), ("q", q), ("p", p)):
-            into[row["place"], row["i"]] = [row[f"{name}{j}"] or 0.0 for j in range(n)]
+        both, mine = F.col("zi") * other, F.when(other.isNotNull(), F.col("zi"))
+        parts += [F.count(both).alias(f"n{j}"), F.sum(mine).alias(f"s{j}")]
+        parts += [F.sum(mine * mine).alias(f"q{j}"), F.sum(both).alias(f"p{j}")]
+    total = np.zeros(classes)
+    sums = np.zeros((classes, 4, n, n))  # counts, scores, squares, products of i over the rows that have j
+    for row in crossed.groupBy("place", "i").agg(*parts).collect():  # one row per class and column
+        total[row["place"]] = row["rows"]
+        for k, name in enumerate("nsqp"):
+            sums[row["place"], k, row["i"]] = [row[f"{name}{j}"] or 0.0 for j in range(n)]
     out = []
     for c in range(classes):
-        rows = np.maximum(n_[c], 1)
-        mean, square, product = s[c] / rows, q[c] / rows, p[c] / rows
+        n_, s, q, p = _with_gaps(total[c], *sums[c], *_gap_scores(model, c))
+        rows = np.maximum(n_, 1)
+        mean, square, product = s / rows, q / rows, p / rows
         # entry i, j: of score i over the rows that have j as well
         deviation = np.sqrt(np.maximum(square - mean * mean, 0))
         scale = deviation * deviation.T
@@ -268,6 +298,40 @@ def moments(df: DataFrame, model: Copula) -> list[tuple[np.ndarray, np.ndarray]]
     return out
 
 
+def _gap_scores(model: Copula, c: int) -> tuple[list[int], list[float | None], list[float | None]]:
+    """The columns with NULLs and, in one class, the score of a NULL and of a value; None where there is none."""
+    missing = [model.nulls[c][i] for i in model.gaps]
+    return (
+        model.gaps,
+        [_score(share / 2) if share > 0 else None for share in missing],
+        [_score((1 + share) / 2) if share < 1 else None for share in missing],
+    )
+
+
+def _with_gaps(total, counts, scored, squares, products, gaps, without, having):
+    """Sums over pairs of columns, carried on to the scores of whether a column has a value.
+
+    Each score is, over any rows, a sum of features: 1, whether column i is there, its score and the score's
+    square, with 0 for what is missing. So is its square, and whether there is a score.
+    """
+    n, size = len(counts), len(counts) + len(gaps)
+    there, score, square = (slice(1 + k * n, 1 + (k + 1) * n) for k in range(3))
+    of = np.zeros((1 + 3 * n, 1 + 3 * n))  # sums of products of two features, as far as they are needed
+    of[0, 0] = total
+    of[0, there], of[0, score], of[0, square] = np.diag(counts), np.diag(scored), np.diag(squares)
+    of[there, there], of[score, there], of[square, there], of[score, score] = counts, scored, squares, products
+    of[there, score] = scored.T
+    of[1:, 0] = of[0, 1:]
+    found, value, squared = (np.zeros((size, 1 + 3 * n)) for _ in range(3))
+    for into, part in ((found, there), (value, score), (squared, square)):
+        into[:n, part] = np.eye(n)
+    for k, (i, low, high) in enumerate(zip(gaps, without, having), n):
+        for into, power in ((found, 0), (value, 1), (squared, 2)):
+            a, b = (0.0 if x is None else x**power for x in (low, high))
+            into[k, 0], into[k, 1 + i] = a, b - a
+    return found @ of @ found.T, value @ of @ found.T, squared @ of @ found.T, value @ of @ value.T
+
+
 def _reach(model: Copula) -> list[np.ndarray]:
     """Per class and score its covariance with the normal number that it stands for; under 1 because of ties."""
     normal = NormalDist()
@@ -320,45 +384,54 @@ def draw(spark: SparkSession, model: Copula, quota: dict, seed: int, digits: int
     for c, start in enumerate(starts[1:-1], 1):
         place = F.when(F.col("draw") > start, c).otherwise(place)
         first = F.when(F.col("draw") > start, F.lit(start).cast("long")).otherwise(first)
-    rows = spark.range(1, starts[-1] + 1).withColumnRenamed("id", "draw")
+    # Spark's own number of tasks does not follow the rows
+    tasks = max(spark.sparkContext.defaultParallelism, -(-starts[-1] // SLICE_ROWS))
+    rows = spark.range(1, starts[-1] + 1, 1, tasks).withColumnRenamed("id", "draw")
     rows = rows.select("draw", place.alias("place"), (F.col("draw") - first).alias("number"))
 
     n, size, span = len(model.columns), model.size, 1 << 52
 
-    def free(i: Column) -> Column:
-        drawn = F.xxhash64(F.lit(seed), i, "place", "number")
+    def free(i: int) -> Column:
+        drawn = F.xxhash64(F.lit(seed), F.lit(i), "place", "number")
         return (F.pmod(drawn, F.lit(span)) + 0.5) / float(span)
 
-    factor = _numbers([np.linalg.cholesky(m) for m in model.correlations])
-
-    def mixed(e: Column, i: Column) -> Column:
-        row = (F.col("place") * size + i) * size
-        parts = F.sequence(F.lit(0), i)
-        return F.aggregate(parts, F.lit(0.0), lambda x, j: x + F.get(factor, row + j) * F.get(e, j))
-
-    tables, nulls = _numbers(model.quantiles), _numbers(model.nulls)
-    whole = F.array(*[F.lit(kind in WHOLE) for kind in model.types])
-    gap_of = F.array(*[F.lit(n + model.gaps.index(i) if i in model.gaps else None).cast("int") for i in range(n)])
-
-    def value(shares: Column, i: Column) -> Column:
-        at = F.col("place") * n + i
-        quantile = lambda k: F.get(tables, at * (GRID + 1) + k)
-        inside = F.get(shares, i) * GRID
-        low = F.least(F.floor(inside), F.lit(GRID - 1)).cast("int")
-        between = F.round(quantile(low) + (inside - low) * (quantile(low + 1) - quantile(low)), digits)
-        between = F.least(F.greatest(between, quantile(F.lit(0))), quantile(F.lit(GRID)))
-        found = F.when(F.get(whole, i), quantile(F.floor(inside + 0.5).cast("int"))).otherwise(between)
-        missing, drawn = F.get(nulls, at), F.get(shares, F.get(gap_of, i))
-        return F.when((missing == 0) | (drawn >= missing) & (missing < 1), found)
+    factors = [np.linalg.cholesky(m) for m in model.correlations]
+
+    def mixed(i: int) -> Column:
+        # As text, since the terms of all scores grow with the square of their number. Differences, since Spark
+        # puts the terms of a sum in order, for each part of the sum anew.
+        weights = [", ".join(f"{-f[i, j]!r}D" for f in np.asarray(factors).astype(object)) for j in range(i + 1)]
+        return F.expr(" - ".join(["0.0D", *(f"get(array({w}), place) * e{j}" for j, w in enumerate(weights))]))
+
+    def value(i: int) -> Column:
+        of_class = [table[i] for table in model.quantiles]
+        quantile = lambda k: F.get(_numbers(of_class), F.col("place") * (GRID + 1) + k)
+        inside = F.col(f"p{i}") * GRID
+        if model.types[i] in WHOLE:
+            found = quantile(F.floor(inside + 0.5).cast("int"))
+        else:
+            low = F.least(F.floor(inside), F.lit(GRID - 1)).cast("int")
+            between = F.round(quantile(low) + (inside - low) * (quantile(low + 1) - quantile(low)), digits)
+            least, most = (_of_class([table[k] for table in of_class]) for k in (0, GRID))
+            found = F.least(F.greatest(between, least), most)
+        if i in model.gaps:
+            missing = _of_class([shares[i] for shares in model.nulls])
+            drawn = F.col(f"p{n + model.gaps.index(i)}")
+            found = F.when((missing == 0) | (drawn >= missing) & (missing < 1), found)
+        return found.cast(model.types[i])
 
     labels = F.lit(None).cast(model.label_type)
     for c, cls in enumerate(model.classes):
         labels = F.when(F.col("place") == c, F.lit(cls).cast(model.label_type)).otherwise(labels)
-    z = _let(F.transform(_each(size, free), normal_score), lambda e: _each(size, lambda i: mixed(e, i)))
-    values = _let(F.transform(z, normal_share), lambda shares: _each(n, lambda i: value(shares, i)))
-    rows = rows.select("draw", "place", values.alias("values"))
-    columns = [F.get("values", F.lit(i)).cast(kind).alias(c) for i, (c, kind) in enumerate(zip(model.columns, model.types))]
-    return rows.select("draw", labels.alias(model.label), *columns)
+    # each step looks at the one before many times, so each is a projection of its own
+    rows = _apart(rows, "draw", *_named("u", [free(i) for i in range(size)]))
+    rows = _apart(rows, "draw", *_named("e", [normal_score(u) for u in _cols("u", size)]))
+    rows = _apart(rows, "draw", *_named("z", [mixed(i) for i in range(size)]))
+    # no filter on a column is pushed below a generator, where the formulas would be written out in it
+    rows = rows.select("draw", "place", F.inline(F.array(F.struct(*_cols("z", size)))))
+    rows = _apart(rows, "draw", *_named("p", [normal_share(z) for z in _cols("z", size)]))
+    rows = _apart(rows, "draw", *_named("x", [value(i) for i in range(n)]))
+    return rows.select("draw", labels.alias(model.label), *[F.col(f"x{i}").alias(c) for i, c in enumerate(model.columns)])
 
 
 def fidelity(source: DataFrame, drawn: DataFrame, model: Copula) -> DataFrame:

@@ -80,6 +80,63 @@ def test_same_seed_same_rows(spark, source):
     assert copula.draw(spark, model, {"x": 0}, 1).count() == 0
 
 
+def test_rows_go_through_compiled_projections(spark, source):
+    """Lambdas are looked up value by value; the one left per step only keeps Spark from merging the steps."""
+    model = copula.fit(source, "kind", COLUMNS)
+    drawn = copula.draw(spark, model, {"x": 500}, 1)
+    for frame in (copula.scores(source, model), drawn):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "aggregate(" not in plan and "Project" in plan
+        assert plan.count("lambdafunction(") == plan.count("transform(array(place")
+    # a filter is not written out in all the formulas below it
+    few = drawn.filter("income > 1 AND debt < 0")
+    assert len(few._jdf.queryExecution().optimizedPlan().toString()) < 1_000_000
+    assert few.count() == sum(r.income > 1 and r.debt is not None and r.debt < 0 for r in drawn.collect())
+
+
+def test_scores_are_places_in_the_quantile_table(spark, source):
+    model = copula.fit(source, "kind", COLUMNS)
+    probe = [None, -1e9, 1e9, float("nan"), 0.0, -0.0, 1.0, 7.0, *model.quantiles[0][0][::64], *model.quantiles[1][1][1::50]]
+    rows = [(i, kind, *[probe[(i + c) % len(probe)] for c in range(6)]) for i, kind in enumerate(["x", "y"] * 2 * len(probe))]
+    given = spark.createDataFrame(rows, "id long, kind string, " + ", ".join(f"{c} double" for c in COLUMNS))
+    found = copula.scores(given, model).select("place", "z").collect()
+    want = []
+    for _, kind, *values in rows:
+        place, scores = model.classes.index(kind), []
+        for value, table in zip(values, model.quantiles[place]):
+            order = lambda v: math.inf if math.isnan(v) else v
+            if value is not None:
+                met = sum(q < order(value) for q in table[:-1]) + sum(q <= order(value) for q in table[:-1])
+                scores.append(round(N.inv_cdf(min(max(met, 1), 2 * copula.GRID + 1) / (2 * copula.GRID + 2)), 6))
+            else:
+                scores.append(None)
+        want.append((place, *scores))
+    got = [(r.place, *[z if z is None else round(z, 6) for z in r.z]) for r in found]
+    key = repr
+    assert [tuple(0.0 if v == 0 else v for v in r) for r in sorted(got, key=key)] == [
+        tuple(0.0 if v == 0 else v for v in r) for r in sorted(want, key=key)
+    ]
+
+
+def test_moments_hold_the_scores_of_missing_values(spark, source):
+    model = copula.fit(source, "kind", COLUMNS)
+    rows = copula.scores(source, model).collect()
+    for place, (correlation, deviation) in enumerate(copula.moments(source, model)):
+        z = np.array([[math.nan if v is None else v for v in r.z] for r in rows if r.place == place])
+        for i in model.gaps:
+            missing = model.nulls[place][i]
+            low, high = (N.inv_cdf(p) if 0 < p < 1 else 0.0 for p in (missing / 2, (1 + missing) / 2))
+            z = np.column_stack([z, np.where(np.isnan(z[:, i]), low, high)])
+        assert z.shape[1] == model.size == len(correlation) > len(COLUMNS)
+        for i in range(model.size):
+            for j in range(model.size):
+                a, b = (z[~np.isnan(z[:, [i, j]]).any(axis=1)][:, k] for k in (i, j))
+                if len(a) and a.std() > 1e-6 and b.std() > 1e-6:
+                    assert abs(np.corrcoef(a, b)[0, 1] - correlation[i, j]) < 1e-6
+            own = z[~np.isnan(z[:, i])][:, i]
+            assert abs((own.std() if len(own) else 0.0) - deviation[i]) < 1e-6
+
+
 def test_limits(spark, source, monkeypatch):
     with pytest.raises(ValueError, match="no model of"):
         copula.draw(spark, copula.fit(source, "kind", ["income"]), {"z": 1}, 1)

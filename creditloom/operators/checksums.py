copula_repeats: draws and source are compared by two hashes of a row

Symptom: copula_repeats shuffled three wide copies of every drawn row, 474 MB written on an input of 59 MB (orders, lineitem and customer 10 times sf0.1).
Evidence: event log at 10 times sf0.1: 164 MB for the joined draws on their way to the source, 82 MB for each of two draws, 31 MB for the distinct source rows, shuffled twice; 105 MB are the wide client table itself.
Fix: each row travels as its draw number, class and two 64-bit hashes of its cells (NULL and NaN as in the row comparison); the distinct source keys and the join share one exchange, and the source is hinted to a merge join, never broadcast. Sorted rows are narrower too.
Effect: at 1 GB of input CPU 1247 -> 1099 s, shuffle 2.94 -> 1.13 GB, spill 0.00 -> 0.00 GB, read 0.53 -> 0.53 GB, longest task 41 -> 34 s, most memory of a task 386 -> 386 MB; at 6 GB of input CPU 4776 -> 3815 s, shuffle 18.20 -> 7.28 GB, spill 0.00 -> 0.00 GB, read 3.29 -> 3.29 GB, longest task 79 -> 65 s, most memory of a task 537 -> 537 MB; with hot keys, at 1 GB of input CPU 1266 -> 1082 s, shuffle 2.81 -> 1.09 GB, spill 0.00 -> 0.00 GB, read 0.51 -> 0.51 GB, longest task 36 -> 34 s, most memory of a task 386 -> 386 MB.

@@ -33,13 +33,16 @@ def _plain(df: DataFrame, columns: list[str], digits: int | None) -> dict[str, C
     return {c: cell(c) for c in columns}
 
 
-def _hash(cells: list[Column], *salt: Column) -> Column:
-    """A NULL leaves a hash as it is, so whether a cell is there is hashed as well."""
+def row_hash(cells: list[Column], *salt: Column) -> Column:
+    """The same for cells that are the same, NULL being the same as NULL and NaN as NaN.
+
+    A NULL leaves a hash as it is, so whether a cell is there is hashed as well.
+    """
     return F.xxhash64(*salt, *[part for c in cells for part in (c.isNull(), c)])
 
 
 def _bucket(df: DataFrame, key: list[str], buckets: int) -> Column:
-    return F.pmod(_hash([F.col(k) for k in key]), F.lit(buckets)).cast("int")
+    return F.pmod(row_hash([F.col(k) for k in key]), F.lit(buckets)).cast("int")
 
 
 def tree(
@@ -51,7 +54,7 @@ def tree(
     """
     cells = _plain(df, [*key, *columns], digits)
     leaves = (
-        df.select(_bucket(df, key, buckets).alias("node"), _hash(list(cells.values())).alias("h"))
+        df.select(_bucket(df, key, buckets).alias("node"), row_hash(list(cells.values())).alias("h"))
         .groupBy("node")
         .agg(
             F.count("*").alias("rows"),

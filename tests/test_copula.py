@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from creditloom.operators import copula
+from creditloom.operators import checksums, copula
+from creditloom.queries import synthetic
 
 N = statistics.NormalDist()
 
@@ -145,3 +146,45 @@ def test_limits(spark, source, monkeypatch):
     monkeypatch.setattr(copula, "MODEL_CELLS", 1000)
     with pytest.raises(ValueError, match="too many"):
         copula.fit(source, "id", ["income"])
+
+
+def _joins(plan):
+    found = [plan] if plan.nodeName() == "Join" else []
+    children = plan.children()
+    return found + [j for i in range(children.size()) for j in _joins(children.apply(i))]
+
+
+def test_repeats_bring_hashes_together_not_rows(spark, monkeypatch):
+    """The joins of the draws and the source hold keys and hashes, however many columns a row has."""
+    rows = [(i, *[None if (i + j) % 11 == 0 else float(i * j % 50) for j in range(len(synthetic._COLUMNS))], i % 2) for i in range(200)]
+    clients = spark.createDataFrame(rows, ["id", *synthetic._COLUMNS, synthetic.TARGET])
+    monkeypatch.setattr(synthetic, "credit_wide", lambda *_: clients)
+    found = synthetic.copula_repeats(spark, "")
+    joins = _joins(found._jdf.queryExecution().optimizedPlan())
+    assert len(joins) == 3
+    for join in joins:
+        output = join.output()
+        assert sum(output.apply(i).dataType().defaultSize() for i in range(output.size())) <= 100
+    got = sorted(tuple(r) for r in found.collect())
+    assert got == [(k, 500, 500, 0, True, 0) for k in (0, 1)]
+
+
+def test_repeats_find_rows_of_the_source(spark, monkeypatch):
+    """A source of one row only is drawn as it is; NULL cells and repeated rows count as they did."""
+    row = [None if j % 3 == 0 else float(j) for j in range(len(synthetic._COLUMNS))]
+    clients = spark.createDataFrame(
+        [(i, *row, 1) for i in range(20)] + [(99, *row, None)],
+        "id long, " + ", ".join(f"{c} double" for c in synthetic._COLUMNS) + f", {synthetic.TARGET} int",
+    )
+    monkeypatch.setattr(synthetic, "credit_wide", lambda *_: clients)
+    assert [tuple(r) for r in synthetic.copula_repeats(spark, "").collect()] == [(1, 105, 105, 0, False, 105)]
+
+
+def test_row_hash_tells_what_equality_tells(spark):
+    values = [None, 0.0, -0.0, 1.0, float("nan"), -float("nan")]
+    frame = spark.createDataFrame([(a, b) for a in values for b in values], "a double, b double")
+    hashed = frame.select(F.struct("a", "b").alias("r"), *[checksums.row_hash([F.col("a"), F.col("b")], F.lit(s)).alias(f"h{s}") for s in (1, 2)])
+    pairs = hashed.alias("x").crossJoin(hashed.alias("y"))
+    for s in (1, 2):
+        same = F.col(f"x.h{s}") == F.col(f"y.h{s}")
+        assert pairs.filter(same != F.col("x.r").eqNullSafe(F.col("y.r"))).count() == 0

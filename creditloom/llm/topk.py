op8_top_k: queries of a block read the sorted lists together

Symptom: op8_top_k spent 957 CPU seconds a GB on 51,282 vectors of 64 numbers (0.02 GB), 816 of them in Python.
Evidence: profile of one pair of blocks (3,945 candidates, 513 queries): 1.14 of 1.20 s in survivors, which gathered, binned and compared all lists anew per query and looked at bounds at each of eight steps; hardly any query ended before the seventh.
Fix: up to 64 queries read to the same depth together, so what is read and unread of the lists is one table for all and the bounds are matrix products in short floats, with the same room for rounding; looks at which no query of those before ended are left out, one earlier than the median is kept; a block keeps the stops of its lists instead of two whole tables.
Effect: at 0.6 GB of input CPU 144 -> 99 s, shuffle 0.02 -> 0.02 GB, spill 0.00 -> 0.00 GB, read 0.08 -> 0.08 GB, longest task 5 -> 2 s, most memory of a task 68 -> 68 MB; at 6 GB of input CPU 5199 -> 698 s, shuffle 0.73 -> 0.73 GB, spill 0.00 -> 0.00 GB, read 0.77 -> 0.77 GB, longest task 30 -> 6 s, most memory of a task 134 -> 134 MB; with hot keys, at 0.6 GB of input CPU 133 -> 100 s, shuffle 0.02 -> 0.02 GB, spill 0.00 -> 0.00 GB, read 0.07 -> 0.07 GB, longest task 5 -> 3 s, most memory of a task 68 -> 68 MB.

@@ -4,7 +4,9 @@ Candidates are dealt into blocks of bounded size. In a block each dimension is a
 the end that gives a query the most. The lists of a query are read in steps; what has been read of a
 candidate and where the lists stand bounds its score from below and above. A candidate whose upper
 bound is under the k-th lower bound can't qualify; reading stops once few can, and their final scores
-are resolved. The best k of each block are merged per query, which is a small aggregation.
+are resolved. Some queries read the lists together, to the same depth: what is read of them is one table, and the
+bounds of all these queries are products with it. The first steps, after which hardly any query of those before
+had ended, aren't looked at. The best k of each block are merged per query, which is a small aggregation.
 
 Queries are dealt into blocks as well, and each pair of a query block and a candidate block is numbered and
 goes to the task of its number: a stated query set against all rows. A pair's candidates come first and
@@ -22,6 +24,7 @@ hold, is returned as the nearest number that it can. A component beyond 64 bits
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,8 @@ TASKS = 20_000
 STEPS = (0.1, 0.2, 0.3, 0.4, 0.55, 0.7, 0.85, 1.0)
 #: Candidates left at which their scores are resolved.
 FEW = 128
+#: Queries that read the lists together, at most.
+TOGETHER = 64
 #: Sums of products below this fit 64 bits with room to spare.
 SAFE = 2.0**62
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
@@ -56,53 +61,102 @@ class Block:
     def __init__(self, values: np.ndarray):
         self.values = values
         self.widest = float(np.abs(values.astype(float)).max(initial=0))
-        self.order = np.ascontiguousarray(np.argsort(values, axis=0, kind="stable").T)
-        self.sorted = np.take_along_axis(values.T, self.order, axis=1).astype(np.float64)
+        n = len(values)
+        order = np.argsort(values, axis=0, kind="stable").T
+        lists = np.take_along_axis(values.T, order, axis=1)
+        # the ends of each list, and what it has where each step stops, read from its start and from its end
+        self.ends = lists[:, [0, -1]].astype(np.float64) if n else np.zeros((values.shape[1], 2))
+        self.depths = [max(1, math.ceil(step * n)) for step in STEPS]
+        self.stops = [lists[:, [at - 1, n - at]].astype(np.float64) for at in self.depths if n]
         # where a row stands in each list, which tells whether it has been read there
-        kind = np.int16 if len(values) < 1 << 15 else np.int64
+        kind = np.int16 if n < 1 << 15 else np.int64
         self.place = np.empty(values.shape[::-1], dtype=kind)
-        np.put_along_axis(self.place, self.order, np.arange(len(values), dtype=kind)[None, :], axis=1)
+        np.put_along_axis(self.place, order, np.arange(n, dtype=kind)[None, :], axis=1)
+        # the step at which bounds are first looked at: one before that at which half of the last queries ended
+        self.first = 0
 
     def survivors(self, query: np.ndarray, k: int, out: int | None = None) -> np.ndarray:
         """Rows that may be among the k best; ``out`` names a row that takes no part."""
+        return self.survivors_of(query[None, :], [k], [out])[0]
+
+    def survivors_of(self, queries: np.ndarray, ks: list[int], outs: list[int | None]) -> list[np.ndarray]:
+        """``survivors`` of some queries. Lists are read to the same depth for all, so what is read of them is one
+        table for all, and a step is a product of matrices."""
         n, dims = self.values.shape
-        if n <= max(FEW, k):
-            return np.arange(n)
-        weight = query.astype(np.float64)
-        forward = weight < 0
-        worst = weight * np.where(forward, self.sorted[:, -1], self.sorted[:, 0])
-        most = np.abs(weight) @ np.maximum(np.abs(self.sorted[:, 0]), np.abs(self.sorted[:, -1]))
-        # what is not read yet is summed in short floats where they can hold it; the bounds have room for that
-        short = np.float32 if dims < 4096 and most < 1e30 else np.float64
-        room = (1e-6 * max(10, dims) if short is np.float32 else 1e-9) * most
-        depth = np.where(forward[:, None], self.place, (n - 1 - self.place).astype(self.place.dtype))
-        score, at = np.zeros(n), 0
-        rows = np.arange(dims)
-        for step in STEPS:
-            to = max(at + 1, int(np.ceil(step * n)))
+        found = [np.arange(n)] * len(queries)
+        weights = queries.astype(np.float64)
+        most = np.abs(weights) @ np.abs(self.ends).max(axis=1)
+        # short floats where they can hold the sums; the bounds have room for what is rounded
+        short = (most < 1e30) & (dims < 4096)
+        for kind, some in ((np.float32, short), (np.float64, ~short)):
+            asked = [i for i in np.flatnonzero(some).tolist() if n > max(FEW, ks[i])]
+            if asked:
+                room = (1e-6 * max(10, dims) if kind is np.float32 else 1e-9) * most[asked]
+                left = self._read(weights[asked], room, [ks[i] for i in asked], [outs[i] for i in asked], kind)
+                for i, rows in zip(asked, left):
+                    found[i] = rows
+        return found
+
+    def _read(self, weights: np.ndarray, room: np.ndarray, ks: list[int], outs: list[int | None], kind: type) -> list[np.ndarray]:
+        n = len(self.values)
+        found: list[np.ndarray] = [np.arange(n)] * len(weights)
+        table = np.empty(self.place.shape, dtype=kind)
+        forward = weights < 0
+        worst = weights * np.where(forward, self.ends[:, 1], self.ends[:, 0])
+        ended = np.full(len(weights), len(STEPS) - 1)
+        live = np.arange(len(weights))
+        for step in range(self.first, len(STEPS)):
+            at, stops = self.depths[step], self.stops[step]
+            ahead, weight, least = forward[live], weights[live], worst[live]
+            gap = weight * np.where(ahead, stops[:, 0], stops[:, 1]) - least
+            lower, upper = np.zeros((len(live), n), dtype=kind), np.zeros((len(live), n), dtype=kind)
             for backward in (False, True):
-                chosen = rows[forward != backward]
-                cut = slice(n - to, n - at) if backward else slice(at, to)
-                idx = self.order[chosen, cut]
-                gain = weight[chosen, None] * self.sorted[chosen, cut]
-                score += np.bincount(idx.ravel(), weights=gain.ravel(), minlength=n)
-            at = to
-            reached = weight * np.where(forward, self.sorted[rows, at - 1], self.sorted[rows, n - at])
-            rest = np.stack([worst, reached]).astype(short) @ (depth >= at).astype(short)
-            lower, upper = score + rest[0], score + rest[1]
-            if out is not None:
-                lower[out] = -np.inf
-            least = np.partition(lower, n - k)[n - k]
-            left = np.flatnonzero(upper + room >= least - room)
-            if len(left) <= FEW or at >= n:
-                return left
-        return np.arange(n)
+                side = ahead != backward
+                read = self.place >= n - at if backward else self.place < at
+                np.multiply(self.values.T, read, out=table, dtype=kind, casting="unsafe")
+                lower += np.where(side, weight, 0).astype(kind) @ table
+                if at < n:
+                    table[:] = ~read
+                    lower += np.where(side, least, 0).astype(kind) @ table
+                    upper += np.where(side, gap, 0).astype(kind) @ table
+            upper += lower
+            for j, i in enumerate(live.tolist()):
+                if outs[i] is not None:
+                    lower[j, outs[i]] = -np.inf
+            places = [n - ks[i] for i in live.tolist()]
+            lower.partition(sorted(set(places)), axis=1)
+            bound = lower[np.arange(len(live)), places].astype(np.float64) - 2 * room[live]
+            still = []
+            for j, i in enumerate(live.tolist()):
+                left = np.flatnonzero(upper[j] >= bound[j])
+                if len(left) <= FEW or at >= n:
+                    found[i], ended[i] = left, step
+                else:
+                    still.append(i)
+            if not still:
+                break
+            live = np.array(still)
+        self.first = max(0, int(np.median(ended)) - 1)
+        return found
 
     def best(self, query: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows whose id isn't ``own``."""
-        same = np.flatnonzero(ids == own)
-        # with its own row in the block, one more survivor is asked for
-        left = self.survivors(query, k + len(same)) if len(same) else self.survivors(query, k)
+        return next(self.best_of(query[None, :], ids, [own], k))
+
+    def best_of(
+        self, queries: np.ndarray, ids: np.ndarray, owns: list[int], k: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``best`` of each query."""
+        # the bounds of queries that are read together take no more room than the block
+        together = max(16, min(TOGETHER, self.values.shape[1]))
+        for at in range(0, len(queries), together):
+            some, own = queries[at : at + together], owns[at : at + together]
+            # with its own rows in the block, so many more survivors are asked for
+            left = self.survivors_of(some, [k + int(np.count_nonzero(ids == i)) for i in own], [None] * len(own))
+            for query, i, rows in zip(some, own, left):
+                yield self._resolved(query, ids, i, k, rows)
+
+    def _resolved(self, query: np.ndarray, ids: np.ndarray, own: int, k: int, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left = left[ids[left] != own]
         values, found = self.values[left], ids[left]
         if float(np.abs(query.astype(float)).sum()) * self.widest >= SAFE:
@@ -163,8 +217,8 @@ def _best(block: Block, ids: np.ndarray, queries: pa.RecordBatch, before: int, k
     owns, keys, found, scores, places = [], [], [], [], []
     # what a query has beyond the block's width meets zeros only
     matrix = _matrix(queries.column(3), block.values.shape[1])
-    for i, own in enumerate(queries.column(2).to_pylist()):
-        best, reached = block.best(matrix[i], ids, own, k)
+    asking = queries.column(2).to_pylist()
+    for i, (own, (best, reached)) in enumerate(zip(asking, block.best_of(matrix, ids, asking, k))):
         whole = [int(s) for s in reached]
         owns += [own] * len(whole)
         keys += [before + i] * len(whole)

@@ -220,6 +220,42 @@ def test_top_k_reads_lists(spark):
     assert len(block.survivors(vectors[0].astype(np.int64) * 1, 10)) < 400
 
 
+def test_top_k_queries_read_lists_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = np.concatenate([rng.integers(-90, 90, size=(500, 16)), rng.integers(-(1 << 60), 1 << 60, size=(6, 16))])
+    vectors[20:60] = vectors[20]
+    ids = np.concatenate([np.arange(500) % 490, np.arange(500, 506)])
+    asked = np.concatenate([np.arange(30), np.arange(490, 506), [489] * 4])
+    block = topk.Block(vectors)
+    reads = []
+    read = block._read
+    block._read = lambda weights, *rest: reads.append(len(weights)) or read(weights, *rest)
+    for k in (1, 10, 200):
+        got = list(block.best_of(vectors[asked], ids, ids[asked].tolist(), k))
+        for i, (found, scores) in zip(asked, got):
+            products = [(-sum(int(a) * int(b) for a, b in zip(vectors[i], v)), int(j)) for j, v in zip(ids, vectors) if j != ids[i]]
+            assert [(-int(s), int(j)) for j, s in zip(found, scores)] == sorted(products)[:k]
+    # 50 queries in four parts, the one of long and short numbers read on its own for either
+    assert sum(reads) == 3 * len(asked) and len(reads) <= 3 * 5
+    assert list(topk.Block(vectors[:0]).best_of(vectors[:0], ids[:0], [], 3)) == []
+
+
+def test_top_k_looks_where_queries_end():
+    """Looks at bounds that no query ends at are left out for the queries that follow, and come back."""
+    rng = np.random.default_rng(6)
+    near = rng.normal(size=(2000, 40))
+    values = np.floor(1024 * near / np.linalg.norm(near, axis=1)[:, None]).astype(np.int64)
+    values[:, 0] += 5000 * (np.arange(2000) == 7)
+    block = topk.Block(values)
+    list(block.best_of(values[100:140], np.arange(2000), list(range(100, 140)), 5))
+    late = block.first
+    assert late > 0
+    easy = np.zeros((400, 40), dtype=np.int64)
+    easy[:, 0] = 1 + np.arange(400)
+    assert all(found.tolist() == [7] for found, _ in block.best_of(easy, np.arange(2000), [-1] * 400, 1))
+    assert block.first < late
+
+
 def test_top_k_over_many_blocks(spark):
     rng = random.Random(9)
     rows = [(i, [float(rng.randint(-40, 40)) for _ in range(rng.choice([0, 3, 5, 5, 5]))]) for i in range(300)]

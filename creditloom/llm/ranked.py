@@ -7,11 +7,11 @@ impact in it. Nodes of a level lie in Morton order, so a child's place is a runn
 are kept; maxima are kept as the difference to the parent's. Terms are ordered by how many documents have them
 and documents by their most frequent term, which puts like documents side by side.
 
-A query walks down the rows of all its terms at once. A step is a range of documents with the node of each term
-there; the sum of weight times node maximum bounds the score of every document in it. Ranges are taken best
-first, some hundred at a time, and halved; a range of one document has its exact score. What can't reach the k-th
-score found so far is left. A task carries the k-th scores from block to block, and the best k of all tasks are
-merged by rank.
+A query walks down the rows of all its terms at once. The top levels, which only halve terms, are walked once for the
+terms of all queries. A step is a range of documents with the node of each term there; the sum of weight times node
+maximum bounds the score of every document in it. Ranges are taken best first, some hundred at a time, and halved; a
+range of one document has its exact score. What can't reach the k-th score found so far is left. A task carries the
+k-th scores from block to block, and the best k of all tasks are merged by rank.
 
 The index is a table (one row per block, see ``INDEX``), written once and searched as often as wanted. Queries are
 sent to the tasks in slices of bounded text, each slice searches the index once.
@@ -29,23 +29,29 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.llm.decontaminate import words_of
+from creditloom.llm.decontaminate import word_count, words_of
 from creditloom.session import materialise
 
 #: Documents, and about how many points, of a block.
 BLOCK_DOCS = 2048
 BLOCK_POINTS = 1 << 20
+#: Words of documents that are counted at a time.
+WORDS = 1 << 17
 #: Query text that is sent to the tasks at a time.
 SLICE_BYTES = 4 << 20
 #: Ranges that are halved at a time.
 RANGES = 256
+#: Ranges from which on their bounds are looked at.
+FEW = 32
 #: Parts that the results of a query are ranked in before they are merged.
 PARTS = 32
 
@@ -57,15 +63,21 @@ class Treap:
     """Nodes of all levels in one row, level by level; the leaves are the points."""
 
     def __init__(self, height: int, masks: np.ndarray, maxima: np.ndarray):
-        """``masks`` of all nodes but the leaves, ``maxima`` of all nodes."""
-        self.height = height
-        # one node more without children, which stands for absent cells
-        self.none = len(maxima)
-        self.maxima = np.append(maxima, 0).astype(np.int64)
-        self.masks = np.zeros(len(maxima) + 1, dtype=np.uint8)
+        """``masks`` of all nodes but the leaves, ``maxima`` of all nodes and of one more without children, which
+        stands for absent cells."""
+        self.height, self.maxima = height, maxima
+        self.none = len(maxima) - 1
+        self.masks = np.zeros(len(maxima), dtype=np.uint8)
         self.masks[: len(masks)] = masks
         # children follow the root in the order of their parents
-        self.first = np.concatenate(([1], 1 + np.cumsum(_ONES[self.masks[:-1]])))
+        self.first = np.zeros(len(maxima), dtype=np.int64)
+        np.cumsum(_ONES.take(self.masks[:-1]), out=self.first[1:])
+        self.first += 1
+        # levels from the top that have no point in a right half, as more rows than columns leave them
+        self.narrow, low, high = 0, 0, 1
+        while self.narrow < height and not (self.masks[low:high] & 0b1010).any():
+            low, high = high, int(self.first[high - 1] + _ONES[self.masks[high - 1]])
+            self.narrow += 1
 
     @classmethod
     def of(cls, rows: np.ndarray, cols: np.ndarray, values: np.ndarray) -> Treap:
@@ -83,18 +95,27 @@ class Treap:
             top = np.maximum.reduceat(top, starts)
             maxima.append(top)
             codes = parents[starts]
-        return cls(height, np.concatenate(masks[::-1]), np.concatenate(maxima[::-1]))
-
-    def children(self, nodes: np.ndarray, quadrant: np.ndarray) -> np.ndarray:
-        """The child of each node in a quadrant (0 to 3), or the empty node."""
-        masks = self.masks[nodes]
-        there = (masks >> quadrant) & 1
-        before = _ONES[masks & ((1 << quadrant) - 1)]
-        return np.where(there == 1, self.first[nodes] + before, self.none)
-
-    def _parents(self) -> np.ndarray:
-        counts = _ONES[self.masks[: self.none]]
-        return np.repeat(np.arange(self.none), counts)
+        return cls(height, np.concatenate(masks[::-1]), np.concatenate([*maxima[::-1], [0]]))
+
+    def children(self, nodes: np.ndarray, row_bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The left and the right child of each node in its upper (0) or lower half, or the empty node."""
+        masks, first = self.masks.take(nodes), self.first.take(nodes)
+        upper = masks & 3
+        first += (upper - (upper >> 1)) * row_bit  # a lower half follows what is in the upper one
+        masks >>= row_bit << 1
+        left = masks & 1
+        return np.where(left, first, self.none), np.where(masks & 2, first + left, self.none)
+
+    def row_bits(self, rows: np.ndarray) -> np.ndarray:
+        """For each level which half of their node the rows are in."""
+        return ((rows[None, :] >> np.arange(self.height - 1, -1, -1)[:, None]) & 1).astype(np.uint8)
+
+    def entries(self, rows: np.ndarray) -> np.ndarray:
+        """The node of each row below the narrow levels, to which all walks for it come."""
+        nodes = np.zeros(len(rows), dtype=np.int64)
+        for bit in self.row_bits(rows)[: self.narrow]:
+            nodes, _ = self.children(nodes, bit)
+        return nodes
 
     def to_bytes(self) -> bytes:
         inner = np.flatnonzero(self.masks[: self.none])
@@ -102,10 +123,14 @@ class Treap:
         masks = self.masks[: len(inner)]
         packed = masks[0::2].copy()
         packed[: len(masks) // 2] |= masks[1::2] << 4
-        below = self.maxima[self._parents()] - self.maxima[1 : self.none]
-        steps = np.concatenate((self.maxima[:1], below)).astype("<u4")
-        head = np.array([self.height, len(masks), len(steps)], dtype="<u8").tobytes()
-        return zlib.compress(head + packed.tobytes() + steps.tobytes(), 1)
+        steps = np.empty(self.none, dtype="<u4")
+        steps[0] = self.maxima[0]
+        parents = np.repeat(self.maxima[: len(inner)], _ONES[masks])
+        np.subtract(parents, self.maxima[1 : self.none], out=steps[1:], casting="unsafe")
+        del parents
+        head = np.array([self.height, len(masks), len(steps)], dtype="<u8")
+        out = zlib.compressobj(1)
+        return b"".join([*map(out.compress, (head, packed, steps)), out.flush()])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> Treap:
@@ -113,26 +138,39 @@ class Treap:
         height, inner, nodes = (int(x) for x in np.frombuffer(data, dtype="<u8", count=3))
         half = (inner + 1) // 2
         packed = np.frombuffer(data, dtype=np.uint8, count=half, offset=24)
-        steps = np.frombuffer(data, dtype="<u4", count=nodes, offset=24 + half).astype(np.int64)
+        steps = np.frombuffer(data, dtype="<u4", count=nodes, offset=24 + half)
         masks = np.empty(2 * half, dtype=np.uint8)
         masks[0::2], masks[1::2] = packed & 15, packed >> 4
-        out = cls(height, masks[:inner], np.zeros(nodes, dtype=np.int64))
-        maxima, parents = out.maxima, out._parents()
+        out = cls(height, masks[:inner], np.zeros(nodes + 1, dtype=np.int64))
+        maxima = out.maxima
         maxima[0] = steps[0]
         # a level's maxima need those of the level above
         low, high = 0, 1
         for _ in range(height):
-            end = int(out.first[high - 1]) + int(_ONES[out.masks[high - 1]])
-            maxima[high:end] = maxima[parents[high - 1 : end - 1]] - steps[high:end]
+            counts = _ONES[out.masks[low:high]]
+            end = high + int(counts.sum())
+            maxima[high:end] = np.repeat(maxima[low:high], counts) - steps[high:end]
             low, high = high, end
         return out
 
-    def best(self, rows: np.ndarray, weights: np.ndarray, least: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Columns and scores of all that may be among the ``k`` best, ``least`` being a score to reach."""
-        bound = np.array([self.maxima[0] * weights.sum()])
-        level = np.zeros(1, dtype=np.int64)
-        column = np.zeros(1, dtype=np.int64)
-        nodes = np.zeros((1, len(rows)), dtype=np.int64)
+    def best(
+        self, rows: np.ndarray, weights: np.ndarray, least: int, k: int, entries: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Columns and scores of all that may be among the ``k`` best, ``least`` being a score to reach.
+
+        ``entries`` are those of the rows, where they are known.
+        """
+        nodes = (self.entries(rows) if entries is None else entries)[None, :]
+        bits = self.row_bits(rows)
+        column, depth = np.zeros(1, dtype=np.int64), self.narrow
+        # a few ranges aren't worth a look at their bounds
+        while depth < self.height and len(nodes) < FEW:
+            nodes = np.concatenate(self.children(nodes, bits[depth]))
+            column, depth = np.concatenate((2 * column, 2 * column + 1)), depth + 1
+        bound = self.maxima.take(nodes) @ weights
+        good = np.flatnonzero(bound >= least)
+        bound, column, nodes = bound[good], column[good], nodes[good]
+        level = np.full(len(good), depth)
         found_columns, found_scores = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
         highest: list[int] = []
         while len(bound):
@@ -149,16 +187,14 @@ class Treap:
                 highest = heapq.nlargest(k, [*highest, *bound[done].tolist()])
                 if len(highest) == k:
                     least = max(least, highest[-1])
-            inner = now[~leaf]
-            row_bit = (rows[None, :] >> (self.height - 1 - level[inner])[:, None]) & 1
+                now = now[~leaf]
             parts = []
-            for column_bit in (0, 1):
-                below = self.children(nodes[inner], 2 * row_bit + column_bit)
-                sums = self.maxima[below] @ weights
-                good = sums >= least
-                parts.append(
-                    (sums[good], level[inner][good] + 1, 2 * column[inner][good] + column_bit, below[good])
-                )
+            if len(now):
+                for column_bit, below in enumerate(self.children(nodes[now], bits[level[now]])):
+                    sums = self.maxima.take(below) @ weights
+                    good = np.flatnonzero(sums >= least)
+                    of = now[good]
+                    parts.append((sums[good], level[of] + 1, 2 * column[of] + column_bit, below[good]))
             stay = later[bound[later] >= least]
             kept = (bound[stay], level[stay], column[stay], nodes[stay])
             bound, level, column, nodes = (np.concatenate(x) for x in zip(*parts, kept))
@@ -187,12 +223,13 @@ def weight(n_docs: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
 
 
-def impacts(tf: np.ndarray, n: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
-    """What a term that a document of ``n`` terms holds ``tf`` times adds to a score, for each unit of weight."""
+def impacts(tf: np.ndarray, n: np.ndarray, sizes: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
+    """What a term that a document holds ``tf`` times adds to a score, for each unit of weight. The documents of
+    ``n`` terms each hold ``sizes`` different ones, which follow each other."""
     # the product may pass 64 bits, so it is taken in Python's whole numbers, once per length
     lengths, where = np.unique(n, return_inverse=True)
     m = np.array([50 + (50 * int(x) * n_docs) // n_terms for x in lengths], dtype=np.int64)
-    return (1_000_000_000 * tf) // (1000 * tf + 20 * m[where])
+    return (1_000_000_000 * tf) // (1000 * tf + np.repeat(20 * m[where], sizes))
 
 
 # --- on Spark ---------------------------------------------------------------------------------------
@@ -206,14 +243,6 @@ INDEX = T.StructType(
         T.StructField("treap", T.BinaryType()),
     ]
 )
-_INDEX = pa.schema(
-    [
-        ("ids", pa.list_(pa.int64())),
-        ("terms", pa.list_(pa.binary())),
-        ("df", pa.list_(pa.int64())),
-        ("treap", pa.binary()),
-    ]
-)
 
 
 def statistics(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
@@ -224,7 +253,7 @@ def statistics(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
         found = total = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                n = len(words_of(text))
+                n = word_count(text)
                 found, total = found + (n > 0), total + n
         yield pa.RecordBatch.from_pydict({"docs": [found], "terms": [total]})
 
@@ -232,6 +261,35 @@ def statistics(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     return counts[0] or 0, counts[1] or 0
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, list[bytes]]]]:
+    """Documents and their words, as many as have ``WORDS`` words together; a longer one comes alone."""
+    some: list[tuple[int | None, list[bytes]]] = []
+    held = 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if words := words_of(text):
+                if some and held + len(words) > WORDS:
+                    yield some
+                    some, held = [], 0
+                some.append((doc_id, words))
+                held += len(words)
+    if some:
+        yield some
+
+
+def _counted(texts: list[list[bytes]]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The different words of some texts, of how many of them each text is made, which these are and how often."""
+    if len(texts) == 1:
+        counts = Counter(texts[0])
+        words, n = pa.array(list(counts), pa.binary()), len(counts)
+        return words, np.array([n]), np.arange(n), np.fromiter(counts.values(), np.int64, n)
+    words = pa.array(list(chain.from_iterable(texts)), pa.binary()).dictionary_encode()
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    keys, tf = np.unique(text * len(words.dictionary) + words.indices.to_numpy(), return_counts=True)
+    text, terms = np.divmod(keys, len(words.dictionary))
+    return words.dictionary, np.bincount(text, minlength=len(texts)), terms, tf
+
+
 class _Block:
     """Documents on their way into a block of the index."""
 
@@ -239,42 +297,46 @@ class _Block:
         self.ids: list[int | None] = []
         self.lengths: list[int] = []
         self.first: list[int] = []
-        self.vocabulary: dict[bytes, int] = {}
+        self.words: list[pa.Array] = []
         self.terms: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.points = 0
 
-    def add(self, doc_id: int | None, words: list[bytes]) -> None:
-        counts = Counter(words)
-        known = self.vocabulary
-        terms = np.fromiter((known.setdefault(w, len(known)) for w in counts), np.int64, len(counts))
-        tf = np.fromiter(counts.values(), np.int64, len(counts))
+    def learn(self, words: pa.Array) -> int:
+        """From which number on these words are numbered; a word may have several."""
+        self.words.append(words)
+        return sum(map(len, self.words[:-1]))
+
+    def add(self, doc_id: int | None, length: int, terms: np.ndarray, tf: np.ndarray) -> None:
         self.ids.append(doc_id)
-        self.lengths.append(len(words))
+        self.lengths.append(length)
         self.first.append(int(terms[np.argmax(tf)]))
         self.terms.append(terms)
         self.counts.append(tf)
         self.points += len(terms)
 
-    def row(self, n_docs: int, n_terms: int) -> dict:
-        sizes = [len(t) for t in self.terms]
-        terms, tf = np.concatenate(self.terms), np.concatenate(self.counts)
-        df = np.bincount(terms, minlength=len(self.vocabulary))
-        by_df = np.argsort(-df, kind="stable")
-        place = np.empty_like(by_df)
+    def row(self, n_docs: int, n_terms: int) -> pa.RecordBatch:
+        sizes = np.array([len(t) for t in self.terms])
+        words = pa.concat_arrays(self.words).dictionary_encode()
+        number = words.indices.to_numpy()
+        terms, tf = number[np.concatenate(self.terms)], np.concatenate(self.counts)
+        df = np.bincount(terms, minlength=len(words.dictionary))
+        # words that only documents of another block have are left out
+        by_df = np.argsort(-df, kind="stable")[: np.count_nonzero(df)]
+        place = np.empty(len(df), dtype=np.int64)
         place[by_df] = np.arange(len(by_df))
         # like documents side by side
-        order = np.lexsort((self.lengths, place[self.first]))
+        order = np.lexsort((self.lengths, place[number[self.first]]))
         column = np.empty_like(order)
         column[order] = np.arange(len(order))
-        value = impacts(tf, np.repeat(self.lengths, sizes), n_docs, n_terms)
-        words = list(self.vocabulary)
-        return {
-            "ids": [self.ids[i] for i in order],
-            "terms": [words[i] for i in by_df],
-            "df": df[by_df],
-            "treap": Treap.of(place[terms], np.repeat(column, sizes), value).to_bytes(),
-        }
+        value = impacts(tf, np.array(self.lengths), sizes, n_docs, n_terms)
+        points = place[terms], np.repeat(column, sizes), value
+        self.terms, self.counts = [], []  # their room is the treap's
+        del terms, tf, value
+        treap = Treap.of(*points).to_bytes()
+        lists = [pa.array([self.ids[i] for i in order], pa.int64()), words.dictionary.take(pa.array(by_df)), pa.array(df[by_df])]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+        return pa.RecordBatch.from_arrays([*lists, pa.array([treap], pa.binary())], names=INDEX.names)
 
 
 def build_index(
@@ -294,16 +356,17 @@ def build_index(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = words_of(text)
-                if words:
-                    block.add(doc_id, words)
+        for docs in _together(batches):
+            known, sizes, terms, tf = _counted([words for _, words in docs])
+            first, ends = block.learn(known), np.cumsum(sizes)
+            for (doc_id, words), start, end in zip(docs, (ends - sizes).tolist(), ends.tolist()):
+                block.add(doc_id, len(words), terms[start:end] + first, tf[start:end])
                 if len(block.ids) >= block_docs or block.points >= block_points:
-                    yield pa.RecordBatch.from_pylist([block.row(n_docs, n_terms)], schema=_INDEX)
+                    yield block.row(n_docs, n_terms)
                     block = _Block()
+                    first = block.learn(known)
         if block.ids:
-            yield pa.RecordBatch.from_pylist([block.row(n_docs, n_terms)], schema=_INDEX)
+            yield block.row(n_docs, n_terms)
 
     return rows.mapInArrow(run, INDEX)
 
@@ -319,22 +382,28 @@ def _slices(queries: DataFrame, id_col: str, text_col: str, slice_bytes: int) ->
         yield [(r["id"], r["text"]) for r in part.collect()]
 
 
+def _met(terms: pa.Array, asked: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a block whose terms are asked for, and which they are."""
+    which = pc.index_in(terms, value_set=asked.cast(terms.type))
+    rows = np.flatnonzero(which.is_valid().to_numpy(zero_copy_only=False))
+    return rows, which.take(pa.array(rows)).to_numpy().astype(np.int64)
+
+
 def _frequencies(index: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
     """In how many documents each of the wanted terms is."""
-    sent = index.sparkSession.sparkContext.broadcast(wanted)
+    sent = index.sparkSession.sparkContext.broadcast(sorted(wanted))
     schema = T.StructType([T.StructField("term", T.BinaryType()), T.StructField("df", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        asked = pa.array(sent.value, pa.binary())
+        total = np.zeros(len(asked), dtype=np.int64)
         for batch in batches:
             for terms, df in zip(batch.column(0), batch.column(1)):
-                for term, n in zip(terms.as_py(), df.as_py()):
-                    if term in sent.value:
-                        total[term] += n
-        if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["term", "df"]
-            )
+                rows, which = _met(terms.values, asked)
+                total[which] += df.values.to_numpy()[rows]
+        some = np.flatnonzero(total)
+        if len(some):
+            yield pa.RecordBatch.from_arrays([asked.take(pa.array(some)), pa.array(total[some])], names=["term", "df"])
 
     found = index.select("terms", "df").mapInArrow(run, schema).groupBy("term").agg(F.sum("df").alias("df"))
     return {bytes(r["term"]): r["df"] for r in found.collect()}
@@ -390,21 +459,26 @@ def search(
 def _search_slice(index: DataFrame, sent, k: int, schema: T.StructType) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = sent.value
-        wanted = {t for _, _, weighted in asked for t, _ in weighted}
+        wanted = sorted({t for _, _, weighted in asked for t, _ in weighted})
+        number = {t: i for i, t in enumerate(wanted)}
+        terms_of = [np.array([(number[t], w) for t, w in weighted], dtype=np.int64).T for _, _, weighted in asked]
+        known = pa.array(wanted, pa.binary())
         best = [_Best(k) for _ in asked]
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, terms, data = (batch.column(c)[i].as_py() for c in range(3))
+                ids, data = (batch.column(c)[i].as_py() for c in (0, 2))
                 named = np.array([x is not None for x in ids])
                 ids = np.array([_LAST if x is None else x for x in ids], dtype=np.int64)
-                place = {t: row for row, t in enumerate(terms) if t in wanted}
+                met, which = _met(batch.column(1)[i].values, known)
                 treap = Treap.from_bytes(data)
-                for (_, _, weighted), kept in zip(asked, best):
-                    rows = [(place[t], w) for t, w in weighted if t in place]
-                    if not rows:
+                place, entry = np.full(len(wanted), -1), np.empty(len(wanted), dtype=np.int64)
+                place[which], entry[which] = met, treap.entries(met)
+                for (terms, weights), kept in zip(terms_of, best):
+                    there = terms[place[terms] >= 0]
+                    if not len(there):
                         continue
-                    rows, weights = np.array(rows, dtype=np.int64).T
-                    columns, scores = treap.best(rows, weights, kept.least(), k)
+                    weights = weights[place[terms] >= 0]
+                    columns, scores = treap.best(place[there], weights, kept.least(), k, entry[there])
                     if len(columns):
                         kept.add(scores, ids[columns], named[columns])
         for (query, own, _), kept in zip(asked, best):

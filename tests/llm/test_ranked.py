@@ -6,10 +6,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from creditloom.llm import ranked
+from creditloom.llm import decontaminate, ranked
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -99,6 +100,63 @@ def test_bounds_leave_ranges_out():
     assert columns.tolist() == [77] and sum(met) < len(values)
 
 
+def test_top_levels_are_walked_once():
+    """More rows than columns: the levels that halve rows only are walked for all queries together."""
+    rng = np.random.default_rng(2)
+    cells = rng.choice(5000 * 20, size=9000, replace=False)
+    rows, cols, values = cells // 20, cells % 20, rng.integers(1, 99, len(cells))
+    treap = ranked.Treap.from_bytes(ranked.Treap.of(rows, cols, values).to_bytes())
+    assert (treap.height, treap.narrow) == (13, 8)
+    grid = np.zeros((5000, 20), dtype=np.int64)
+    grid[rows, cols] = values
+    asked = np.unique(rows)[::7]
+    entries = treap.entries(asked)
+    calls = []
+    children = treap.children
+    treap.children = lambda nodes, bits: calls.append(nodes.shape) or children(nodes, bits)
+    for at in range(0, len(asked) - 5, 5):
+        columns, scores = treap.best(asked[at : at + 5], np.arange(1, 6), 1, 20, entries[at : at + 5])
+        total = np.arange(1, 6) @ grid[asked[at : at + 5]]
+        assert sorted(zip(columns, scores)) == [(j, x) for j, x in enumerate(total) if x]
+    assert len(calls) <= 5 * len(range(0, len(asked) - 5, 5))
+    assert ranked.Treap.of(np.arange(9), np.arange(9), np.ones(9)).narrow == 0
+
+
+def test_word_counts():
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("aZ9 .,_-é日\n\t\x00~", k=rng.randrange(40))) for _ in range(500)]
+    for text in [None, "", " ", "x", "a'b", "  Straße, x1 \x7f y", *texts]:
+        assert decontaminate.word_count(text) == len(decontaminate.words_of(text)) == len(terms(text))
+
+
+def test_documents_counted_together(monkeypatch):
+    """Blocks don't depend on how many documents are counted at a time; a long text is counted alone."""
+    rng = random.Random(4)
+    docs, _ = corpus(rng, 60)
+    docs += [(None, "w1 w1 été"), (7, None), (8, "w5 " * 300 + "zz"), (9, "...")]
+    batches = [pa.RecordBatch.from_pydict({"id": pa.array([i for i, _ in part], pa.int64()), "text": [t for _, t in part]}) for part in (docs[:50], docs[50:])]
+    found = []
+    for words in (1, 90, 1 << 17):
+        monkeypatch.setattr(ranked, "WORDS", words)
+        parts = list(ranked._together(iter(batches)))
+        assert [d for part in parts for d in part] == [(i, decontaminate.words_of(t)) for i, t in docs if terms(t)]
+        assert all(len(part) == 1 or sum(len(w) for _, w in part) <= words for part in parts)
+        points, block = [], ranked._Block()
+        for part in parts:
+            known, sizes, which, tf = ranked._counted([w for _, w in part])
+            first = block.learn(known)
+            for (doc_id, w), start, size in zip(part, np.cumsum(sizes) - sizes, sizes):
+                mine = slice(start, start + size)
+                points.append((doc_id, {known[int(t)].as_py(): int(n) for t, n in zip(which[mine], tf[mine])}))
+                block.add(doc_id, len(w), which[mine] + first, tf[mine])
+        assert points == [(i, Counter(decontaminate.words_of(t))) for i, t in docs if terms(t)]
+        row = block.row(100, 1000).to_pylist()[0]
+        assert sorted(map(str, row["ids"])) == sorted(str(i) for i, _ in points)
+        found.append(sorted(zip(row["terms"], row["df"])))
+        df = Counter(t for _, bag in points for t in bag)
+        assert found[-1] == sorted(df.items()) and sorted(row["df"], reverse=True) == row["df"]
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
